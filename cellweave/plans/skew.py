@@ -9,7 +9,7 @@ points. The facts only choose a plan; results do not depend on them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
@@ -22,6 +22,8 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 TRACKED_KEYS = 50_000
 MAX_SLICES = 4_096
+# A broadcast has this many bytes at most, measured before it is planned.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -39,9 +41,12 @@ class HotKeys:
         """True for rows of a heavy key; never NULL."""
         return F.coalesce(key.isin(list(self.keys)), F.lit(False))
 
-    def only(self, keys: Sequence) -> HotKeys:
-        kept = tuple(k for k in self.keys if k in set(keys))
-        return HotKeys(kept, self.rows, self.min_rows)
+    def only(self, keys: Collection) -> HotKeys:
+        wanted = set(keys)
+        return HotKeys(tuple(k for k in self.keys if k in wanted), self.rows, self.min_rows)
+
+    def without(self, keys: Collection) -> HotKeys:
+        return self.only(set(self.keys) - set(keys))
 
 
 NO_HOT_KEYS = HotKeys()
@@ -138,10 +143,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per ``on``.
 
-    Rows of heavy keys meet a broadcast of at most ``MAX_HOT_KEYS`` right rows
-    and never shuffle; all others take the ordinary shuffle join, where no key
-    is heavy any more.
+    Rows of heavy keys meet a broadcast of their right rows and never shuffle;
+    all others take the ordinary shuffle join. Right rows too large to
+    broadcast stay in the shuffle join, where the adaptive planner splits
+    skewed partitions.
     """
+    hot = _broadcastable(right, on, hot)
     if not hot:
         return left.join(right, on, how)
     key = F.col(on)
@@ -150,3 +157,27 @@ def lookup_join(
         F.broadcast(right.filter(hot.hit(key))), on, how
     )
     return cold.unionByName(heavy)
+
+
+def _broadcastable(right: DataFrame, on: str, hot: HotKeys) -> HotKeys:
+    """The heavy keys whose right rows fit the broadcast budget together, heaviest first."""
+    if not hot:
+        return hot
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    measured = right.filter(hot.hit(F.col(on))).select(on, width.alias("width"))
+    sizes = {r[on]: r["size"] for r in measured.groupBy(on).agg(F.sum("width").alias("size")).collect()}
+    fitting, total = [], 0
+    for key in hot.keys:
+        if total + sizes.get(key, 0) <= MAX_BROADCAST_BYTES:
+            total += sizes.get(key, 0)
+            fitting.append(key)
+    return hot.only(fitting)
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys``; few keys are broadcast, many are not."""
+    wanted = keys.select(on).distinct()
+    size = wanted.agg(F.sum(F.octet_length(on) + 16)).first()[0] or 0
+    if size <= MAX_BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    return df.join(wanted, on, "left_semi")

@@ -16,41 +16,52 @@ DELETE_CELL = "delete_cell"
 DELETE_FAMILY = "delete_family"
 DELETE_ROW = "delete_row"
 
-CELL = T.StructType(
-    [
-        T.StructField("row_key", T.StringType()),
-        T.StructField("family", T.StringType()),
-        T.StructField("qualifier", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("seq", T.LongType()),
-    ]
+
+def record(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+CELL = record(
+    row_key=T.StringType(),
+    family=T.StringType(),
+    qualifier=T.StringType(),
+    value=T.StringType(),
+    ts=T.TimestampType(),
+    seq=T.LongType(),
 )
 
 # family is NULL for delete_row, qualifier is NULL for delete_row and
 # delete_family; '' is a legal qualifier.
-MUTATION = T.StructType(
-    [
-        T.StructField("row_key", T.StringType()),
-        T.StructField("family", T.StringType()),
-        T.StructField("qualifier", T.StringType()),
-        T.StructField("op", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("delta", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("seq", T.LongType()),
-    ]
+MUTATION = record(
+    row_key=T.StringType(),
+    family=T.StringType(),
+    qualifier=T.StringType(),
+    op=T.StringType(),
+    value=T.StringType(),
+    delta=T.LongType(),
+    ts=T.TimestampType(),
+    seq=T.LongType(),
 )
 
-# A conditional operation is a mutation plus the cell to check. A NULL
-# ``expected`` means that the cell must be absent.
-CHECK = T.StructType(
-    MUTATION.fields
-    + [
-        T.StructField("chk_family", T.StringType()),
-        T.StructField("chk_qualifier", T.StringType()),
-        T.StructField("expected", T.StringType()),
-    ]
+# What a conditional operation does to its row once the check holds.
+CHANGE = record(
+    op=T.StringType(),
+    family=T.StringType(),
+    qualifier=T.StringType(),
+    value=T.StringType(),
+)
+
+# A conditional operation checks one cell of a row; a NULL ``expected`` means
+# that the cell must be absent. ``changes`` are all puts or all deletes, name no
+# cell twice, and happen together.
+CHECK = record(
+    row_key=T.StringType(),
+    chk_family=T.StringType(),
+    chk_qualifier=T.StringType(),
+    expected=T.StringType(),
+    changes=T.ArrayType(CHANGE),
+    ts=T.TimestampType(),
+    seq=T.LongType(),
 )
 
 CELL_COLUMNS = CELL.fieldNames()
@@ -86,6 +97,25 @@ def checks(df: DataFrame, **columns: Column) -> DataFrame:
     return conform(df, CHECK, **columns)
 
 
+def put_change(family: str, qualifier: str, value: Column) -> Column:
+    return _change(PUT, family, qualifier, value)
+
+
+def delete_change(family: str | None = None, qualifier: str | None = None) -> Column:
+    """Delete a cell, a family (no qualifier) or the row (no family)."""
+    op = DELETE_ROW if family is None else DELETE_FAMILY if qualifier is None else DELETE_CELL
+    return _change(op, family, qualifier, F.lit(None))
+
+
+def _change(op: str, family: str | None, qualifier: str | None, value: Column) -> Column:
+    return F.struct(
+        F.lit(op).alias("op"),
+        F.lit(family).cast("string").alias("family"),
+        F.lit(qualifier).cast("string").alias("qualifier"),
+        value.cast("string").alias("value"),
+    )
+
+
 def puts_from_wide(
     df: DataFrame,
     row_key: Column,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, for the Python folds.
+
+    Not needed where it is installed on the cluster or passed by ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cellweave-")
+    archive = shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
