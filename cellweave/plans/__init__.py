@@ -1 +1 @@
-"""Skew plans for ordered work, and the catalog of registered queries."""
+"""Skew plans for keyed work, and the registered queries with their SQL."""
