@@ -67,10 +67,14 @@ def check_and_mutate(
     """Run conditional operations against the latest view of a table.
 
     The operations come after all that the table holds, whatever its times.
+    Both results run the fold; write ``decided`` first where both are needed.
     """
+    if hot is None:
+        # Weighed once, on the inputs: what applies is no heavier than what was asked.
+        hot = hot_keys(cell_rows.select("row_key").unionByName(checks.select("row_key")), "row_key")
     decided = decide(cell_rows, checks, hot)
     ops = applied_mutations(decided).withColumn("batch_id", F.lit(0).cast("long"))
-    return Checked(decided, apply(cell_rows, ops, ARRIVAL_ORDER))
+    return Checked(decided, apply(cell_rows, ops, ARRIVAL_ORDER, hot))
 
 
 def applied_mutations(decided: DataFrame) -> DataFrame:

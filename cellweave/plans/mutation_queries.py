@@ -84,9 +84,10 @@ def bulk_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_delete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers who ordered lose their row."""
-    ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("row_key"))
-    return delete_rows(customer_cells(spark, sf_dir), ordered).select(*CELL_TEXT)
+    """Customers with an urgent order lose their row."""
+    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    keys = urgent.select(F.col("o_custkey").cast("string").alias("row_key"))
+    return delete_rows(customer_cells(spark, sf_dir), keys).select(*CELL_TEXT)
 
 
 def bulk_delete_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +296,9 @@ ORACLES = {
            coalesce(a.event_type, s.event_type) AS qualifier,
            CAST(coalesce(a.d, 0) + coalesce(s.v, 0) AS BIGINT) AS value
     FROM added a FULL JOIN start s ON a.user_id = s.user_id AND a.event_type = s.event_type""",
-    "bulk_delete_rows": f"SELECT * FROM ({_CUSTOMERS}) WHERE row_key NOT IN ({_ORDERED})",
+    "bulk_delete_rows": f"""
+    SELECT * FROM ({_CUSTOMERS})
+    WHERE row_key NOT IN ({_ORDERED} WHERE o_orderpriority = '1-URGENT')""",
     "bulk_delete_cells": f"""
     SELECT * FROM ({_CUSTOMERS})
     WHERE NOT (family = 'general' AND qualifier = 'segment' AND row_key IN ({_ORDERED}))""",

@@ -38,7 +38,7 @@ from cellweave.plans.mutation_queries import FUNNEL_CELLS, TOMBSTONES, mix_sql
 from cellweave.plans.skew import spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
-from cellweave.sources.events import message_puts, parse_messages, read_stream, sample, track
+from cellweave.sources.events import message_puts, parse_messages, read_stream, sample, tracked
 from cellweave.streaming.sinks import (
     run_with_restarts,
     stream_checks,
@@ -152,8 +152,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "stream")
-    messages = parse_messages(_message_stream(spark, sf_dir, folder))
-    _to_parquet(track(messages, TRACKED).select("row_key", "lang", "country"), folder).awaitTermination()
+    keep = tracked(TRACKED, text="m.text", lang="m.lang")
+    messages = parse_messages(_message_stream(spark, sf_dir, folder), keep=keep)
+    _to_parquet(messages.select("row_key", "lang", "country"), folder).awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.functions.events import has_keys, tracks
+from cellweave.functions.events import has_keys
 from cellweave.functions.text import ascii_only, from_bytes, to_bytes, utf16_length
 from cellweave.operators.text import total_length, word_count, word_count_puts
 from cellweave.operators.cells import latest
@@ -13,8 +13,13 @@ from cellweave.operators.mutations import put
 from cellweave.plans.inputs import document_cells, message_lines, scratch, table
 from cellweave.plans.skew import spread
 from cellweave.schema import cells
-from cellweave.sources.events import LANGUAGES, REQUIRED_FIELDS, message_puts, parse_messages
-from cellweave.sources.events import sample, track
+from cellweave.sources.events import (
+    REQUIRED_FIELDS,
+    message_puts,
+    parse_messages,
+    sample,
+    tracked,
+)
 from cellweave.sources.tables import append_cells, create_cell_table, read_cells
 from cellweave.sources.text import preview, read_lines, save_pairs, save_values
 
@@ -97,12 +102,12 @@ def json_required(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def track_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return track(docs, TRACKED).select("doc_id")
+    return docs.filter(tracked(TRACKED)).select("doc_id")
 
 
 def ingest_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracking inside the ingest, on the text as it came."""
-    keep = tracks(F.col("m.text"), TRACKED.split(",")) & F.col("m.lang").isin(LANGUAGES)
+    keep = tracked(TRACKED, text="m.text", lang="m.lang")
     messages = parse_messages(spread(message_lines(spark, sf_dir)), keep=keep)
     return messages.select("row_key", "lang", "country")
 

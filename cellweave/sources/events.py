@@ -46,7 +46,7 @@ def parse_messages(
 
     Other messages and malformed lines are skipped. Text, country and hashtags
     keep only ASCII and are empty when missing. ``keep`` is a condition on the
-    message ``m`` as it came, such as ``tracks(col("m.text"), phrases)``.
+    message ``m`` as it came, such as ``tracked(phrases, text="m.text", lang="m.lang")``.
     """
     message = F.from_json(F.col(line), MESSAGE)
     kept = lines.filter(has_keys(F.col(line), REQUIRED_FIELDS)).select(message.alias("m"))
@@ -67,17 +67,16 @@ def parse_messages(
     )
 
 
-def track(
-    messages: DataFrame,
+def tracked(
     phrases: Sequence[str] | str,
     languages: Sequence[str] = LANGUAGES,
     text: str = "text",
     lang: str = "lang",
-) -> DataFrame:
-    """Messages in the languages that match a phrase; a string is split at commas."""
+) -> Column:
+    """True for messages in the languages that match a phrase; a string is split at commas."""
     if isinstance(phrases, str):
         phrases = phrases.split(",")
-    return messages.filter(F.col(lang).isin(list(languages)) & tracks(F.col(text), phrases))
+    return F.col(lang).isin(list(languages)) & tracks(F.col(text), phrases)
 
 
 def sample(
