@@ -61,7 +61,7 @@ def _stream_of(spark, sf_dir, to_ops, compact_after=None) -> MutationTable:
 
     arriving_events(spark, sf_dir, folder, start)
     if compact_after is not None:
-        stored.compact(compact_after)
+        stored.compact(compact_after, F.lit("2024-01-10").cast("timestamp"))
     return stored
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,16 +70,28 @@ class MutationTable:
             ops = keep_keys(ops, rows_of, "row_key")
         return resolve(ops, self.order)
 
-    def compact(self, upto: int) -> None:
+    def compact(self, upto: int, horizon: Column | None = None) -> None:
         """Fold the batches up to ``upto`` to at most one mutation per cell.
 
-        Deletes stay, so that an older put that comes later is still shadowed.
-        The entry that makes readers use the result is written last.
+        In event order, only mutations before ``horizon`` are folded, a time
+        that no later mutation may precede; deletes stay, so that a put which
+        breaks that rule is still shadowed. In arrival order nothing comes
+        before a folded batch, and no horizon is needed. The entry that makes
+        readers use the result is written last.
         """
+        by_event = self.order[0] != "batch_id"
+        if by_event and horizon is None:
+            raise ValueError("a table in event order needs a horizon")
         path = f"{self.path}/compacted/upto={upto}"
-        short = compact(self.history(before=upto + 1), [*self.order])
-        if "batch_id" not in short.columns:
-            short = short.withColumn("batch_id", F.lit(upto).cast("long"))
+        ops = self.history(before=upto + 1)
+        if by_event:
+            settled = F.col("ts") < horizon
+            folded = compact(ops.filter(settled), self.order).withColumn(
+                "batch_id", F.lit(upto).cast("long")
+            )
+            short = folded.unionByName(ops.filter(~settled))
+        else:
+            short = compact(ops, self.order)
         short.select(*_LOGGED.fieldNames()).write.mode("overwrite").parquet(path)
         entry = self.spark.range(1).select(
             F.lit(upto).cast("long").alias("upto"), F.lit(path).alias("path")

@@ -62,16 +62,19 @@ def test_mix_equals_one_after_the_other(spark, at, seed, spread, hot):
 @pytest.mark.parametrize("hot", PLANS, ids=["plain", "hot", "hotter"])
 def test_compaction_keeps_the_outcome(spark, at, hot):
     ops = random_ops(5, 300, at)
-    early, late = ops[:200], ops[200:]  # shuffled: the late ones are older in part
+    early = [o for o in ops if o[6] < at(60)]
+    late = spark.createDataFrame([o for o in ops if o[6] >= at(60)], MUTATION)
     short = m.compact(spark.createDataFrame(early, MUTATION), hot=hot)
     cells = short.filter(F.col("op").isin("put", "increment", "delete_cell"))
     assert cells.count() == cells.select("row_key", "family", "qualifier").distinct().count()
-    # Increments that come late may precede a compacted reset, so only puts and deletes may be late.
-    late = [o for o in late if o[3] != "increment"]
-    whole = spark.createDataFrame(early + late, MUTATION)
-    got = result(m.resolve(short.unionByName(spark.createDataFrame(late, MUTATION)), hot=hot))
-    want = result(m.resolve(whole))
-    assert set(got) == set(want)
+    assert result(m.resolve(short.unionByName(late), hot=hot)) == sequential({}, ops)
+
+
+def test_compaction_shadows_older_puts(spark, at):
+    ops = [("a", "f", "x", "delete_cell"), ("b", "f", None, "delete_family"), ("c", None, None, "delete_row")]
+    history = spark.createDataFrame([(*o, None, None, at(5), i) for i, o in enumerate(ops)], MUTATION)
+    older = spark.createDataFrame([(r, "f", "x", "put", "v", None, at(4), 9) for r in "abcd"], MUTATION)
+    assert set(result(m.resolve(m.compact(history).unionByName(older)))) == {("d", "f", "x")}
 
 
 def test_apply_to_a_table(spark, at):
