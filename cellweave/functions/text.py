@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as blank (all code points up to the space) and as ASCII.
-BLANK = r"\A[\x00-\x20]*\z"
+BLANK = "".join(map(chr, range(0x21)))
 NOT_ASCII = r"[^\x00-\x7F]"
 
 
@@ -17,7 +17,7 @@ def words(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for text of control characters and spaces only; a no-break space is not blank."""
-    return text.rlike(BLANK)
+    return F.ltrim(text, F.lit(BLANK)) == ""
 
 
 def utf16_length(text: Column) -> Column:

@@ -8,7 +8,8 @@ checked cells. What the applied operations do is then an ordinary mutation.
 A row that takes a large part of all operations is cut into slices of the
 order. Where its checked cells do not depend on each other, every slice is
 folded at once for all values its cell may have on entry, and a short chain
-over the slices finds the value each one really starts from.
+over the slices finds the value each one really starts from. Where they do
+depend on each other, the slices take turns.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.operators.mutations import ARRIVAL_ORDER, apply
-from cellweave.plans.skew import HotKeys, hot_keys, order_slices, with_slice
+from cellweave.plans.skew import NO_HOT_KEYS, HotKeys, hot_keys, order_slices, with_slice
 from cellweave.schema import (
+    CELL,
     CELL_KEY,
     CHECK,
     CHECK_COLUMNS,
@@ -35,12 +37,14 @@ from cellweave.schema import (
     mutations,
     record,
 )
+from cellweave.session import scratch_path
 
 CHECKED_CELL = ["row_key", "chk_family", "chk_qualifier"]
 
 # What the folds read: operations (rank 1) after the cells they start from
 # (rank 0, the present value in ``expected``).
 _FOLD = T.StructType([*record(_rank=T.IntegerType(), slice=T.LongType()), *CHECK])
+_SLICED = T.StructType([*CHECK, *record(slice=T.LongType())])
 _DECIDED = T.StructType([*CHECK, *record(applied=T.BooleanType())])
 _ENTRIES = record(
     row_key=T.StringType(),
@@ -98,17 +102,23 @@ def decide(cell_rows: DataFrame, checks: DataFrame, hot: HotKeys | None = None)
     checks = checks.select(*CHECK_COLUMNS)
     if hot is None:
         hot = hot_keys(checks, "row_key")
-    if hot:
-        heavy = checks.filter(hot.hit(F.col("row_key")))
-        hot = hot.without(_entangled_rows(heavy))
     start = _start_cells(cell_rows, checks)
     if not hot:
         return _fold(start, checks, ["row_key"])
-    is_heavy = hot.hit(F.col("row_key"))
-    light = _fold(start.filter(~is_heavy), checks.filter(~is_heavy), ["row_key"])
-    return light.unionByName(
-        _decide_by_slice(start.filter(is_heavy), checks.filter(is_heavy), hot)
-    )
+
+    def of(keys: HotKeys) -> tuple[DataFrame, DataFrame, HotKeys]:
+        hit = keys.hit(F.col("row_key"))
+        return start.filter(hit), checks.filter(hit), keys
+
+    entangled = hot.only(_entangled_rows(checks.filter(hot.hit(F.col("row_key")))))
+    apart = hot.without(entangled.keys)
+    light = ~hot.hit(F.col("row_key"))
+    decided = _fold(start.filter(light), checks.filter(light), ["row_key"])
+    if apart:
+        decided = decided.unionByName(_decide_by_slice(*of(apart)))
+    if entangled:
+        decided = decided.unionByName(_decide_in_turn(*of(entangled)))
+    return decided
 
 
 def _present(cell_rows: DataFrame) -> DataFrame:
@@ -138,15 +148,15 @@ def _fold(start: DataFrame, checks: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def _run_checks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Fold each group's operations; ``state`` holds the group's checked cells only."""
-    names = ["_rank", "chk_family", "chk_qualifier", "expected", "changes"]
+    names = [*keys, "_rank", "chk_family", "chk_qualifier", "expected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, state = None, {}
         for batch in batches:
-            groups = zip(*[batch.column(k).to_pylist() for k in keys])
-            records = zip(*[batch.column(n).to_pylist() for n in names])
+            changes_of = _changes_by_row(batch.column("changes"))
+            records = zip(*[_plain(batch.column(n)) for n in names])
             applied = []
-            for key, (rank, family, qualifier, expected, changes) in zip(groups, records):
+            for row, (*key, rank, family, qualifier, expected) in enumerate(records):
                 if key != group:
                     group, state = key, {}
                 if rank == 0:
@@ -156,7 +166,7 @@ def _run_checks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 holds = state[family, qualifier] == expected
                 applied.append(holds)
                 if holds:
-                    _change(state, changes)
+                    _change(state, changes_of(row))
             flags = pa.array(applied, pa.bool_())
             columns = [batch.column(n) for n in CHECK_COLUMNS] + [flags]
             out = pa.RecordBatch.from_arrays(columns, [*CHECK_COLUMNS, "applied"])
@@ -165,13 +175,23 @@ def _run_checks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def _change(state: dict, changes: list[dict]) -> None:
-    for change in changes:
-        op, family = change["op"], change["family"]
+def _plain(values: pa.Array) -> list:
+    """Python values by way of NumPy, which is several times faster than ``to_pylist``."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _changes_by_row(changes: pa.ListArray) -> Callable[[int], list[tuple]]:
+    """The changes of a row as tuples, from columns that are converted once per batch."""
+    each = list(zip(*[_plain(values) for values in changes.values.flatten()]))
+    offsets = _plain(changes.offsets)
+    return lambda row: each[offsets[row] : offsets[row + 1]]
+
+
+def _change(state: dict, changes: list[tuple]) -> None:
+    for op, family, qualifier, value in changes:
         if op in (PUT, DELETE_CELL):
-            cell = (family, change["qualifier"])
-            if cell in state:
-                state[cell] = change["value"] if op == PUT else None
+            if (family, qualifier) in state:
+                state[family, qualifier] = value if op == PUT else None
         else:
             for cell in state:
                 if op == DELETE_ROW or cell[0] == family:
@@ -199,6 +219,36 @@ def _entangled_rows(heavy: DataFrame) -> list[str]:
     return [r["row_key"] for r in by_wide.union(by_cell).distinct().collect()]
 
 
+def _decide_in_turn(start: DataFrame, checks: DataFrame, hot: HotKeys) -> DataFrame:
+    """Fold the slices of entangled rows one after the other.
+
+    No task holds more of a row than one slice. Each turn starts from cells
+    that the turn before has written to the shared folder.
+    """
+    spark = checks.sparkSession
+    folder = scratch_path(spark, "checks")
+    sliced = with_slice(checks, order_slices(checks, hot))
+    sliced.repartition("slice", "row_key").write.partitionBy("slice").parquet(f"{folder}/ops")
+    ops = spark.read.schema(_SLICED).parquet(f"{folder}/ops")
+    turns = sorted(r["slice"] for r in ops.select("slice").distinct().collect())
+    cells = start.filter(F.col("expected").isNotNull()).select(
+        *[F.col(old).alias(new) for old, new in zip(CHECKED_CELL, CELL_KEY)],
+        F.col("expected").alias("value"),
+    )
+    checked = start.select(*CHECKED_CELL).toDF(*CELL_KEY)
+    for turn in turns:
+        now = ops.filter(F.col("slice") == turn)
+        out = f"{folder}/decided/slice={turn}"
+        _fold(_start_cells(cells, now), now, ["row_key"]).write.parquet(out)
+        changes = applied_mutations(spark.read.schema(_DECIDED).parquet(out))
+        changes = changes.withColumn("batch_id", F.lit(0).cast("long"))
+        after = apply(conform(cells, CELL), changes, ARRIVAL_ORDER, NO_HOT_KEYS)
+        kept = after.join(checked, CELL_KEY, "left_semi")
+        kept.write.parquet(f"{folder}/cells/slice={turn}")
+        cells = spark.read.schema(CELL).parquet(f"{folder}/cells/slice={turn}")
+    return spark.read.schema(_DECIDED).parquet(f"{folder}/decided").select(*_DECIDED.names)
+
+
 def _decide_by_slice(start: DataFrame, checks: DataFrame, hot: HotKeys) -> DataFrame:
     by_slice = [*CHECKED_CELL, "slice"]
     sliced = with_slice(checks, order_slices(checks, hot))
@@ -256,7 +306,7 @@ def _fold_all_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     group, ends, seen = None, {}, set()
     names = [*CHECKED_CELL, "slice", "touches", "expected", "exit"]
     for batch in batches:
-        for *key, touches, expected, value in zip(*[batch.column(n).to_pylist() for n in names]):
+        for *key, touches, expected, value in zip(*[_plain(batch.column(n)) for n in names]):
             if key != group:
                 yield from _emit_steps(group, ends)
                 group, ends, seen = key, {}, set()
@@ -293,7 +343,7 @@ def _chain_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     names = [*CHECKED_CELL, "slice", "_rank", "entry", "exit"]
     for batch in batches:
         rows = []
-        for *key, number, rank, entry, value in zip(*[batch.column(n).to_pylist() for n in names]):
+        for *key, number, rank, entry, value in zip(*[_plain(batch.column(n)) for n in names]):
             if key != group:
                 group, state, opened = key, None, None
             if number < 0:

@@ -58,10 +58,16 @@ PLANS = [NO_HOT_KEYS, HotKeys(("A",), 400, 20), HotKeys(("A", "B"), 500, 3)]
 CELLS = {("A", "f", ""): "a", ("B", "g", "x"): "b", ("Z", "f", ""): "q"}
 
 
-@pytest.mark.parametrize("entangled", [False, True], ids=["own", "entangled"])
 @pytest.mark.parametrize("hot", PLANS, ids=["plain", "hot", "hotter"])
-def test_checks_equal_one_after_the_other(spark, at, hot, entangled):
-    ops = random_checks(4, 500, at, entangled)
+def test_checks_equal_one_after_the_other(spark, at, hot):
+    ops = random_checks(4, 500, at, False)
+    table, checks = frames(spark, at, CELLS, ops)
+    assert outcome(c.check_and_mutate(table, checks, hot)) == sequential(CELLS, ops)
+
+
+@pytest.mark.parametrize("hot", [NO_HOT_KEYS, HotKeys(("A", "B"), 300, 100)], ids=["plain", "turns"])
+def test_entangled_checks_equal_one_after_the_other(spark, at, hot):
+    ops = random_checks(4, 400, at, True)
     table, checks = frames(spark, at, CELLS, ops)
     assert outcome(c.check_and_mutate(table, checks, hot)) == sequential(CELLS, ops)
 
@@ -102,9 +108,9 @@ def test_one_operation_per_row_needs_no_fold(spark, at):
 def test_small_arrow_batches_carry_state(spark, at):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
-        ops = random_checks(9, 200, at, True)
+        ops = random_checks(9, 200, at, False)
         table, checks = frames(spark, at, CELLS, ops)
-        for hot in (NO_HOT_KEYS, HotKeys(("A",), 100, 5)):
+        for hot in (NO_HOT_KEYS, HotKeys(("A",), 100, 20)):
             assert outcome(c.check_and_mutate(table, checks, hot)) == sequential(CELLS, ops)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
