@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import is_blank, utf16_length, words
-from cellweave.plans.skew import spread
-from cellweave.schema import mutations, PUT
+from cellweave.schema import PUT, mutations
 
 WORD_FAMILY = "words"
 WORD_QUALIFIER = "value"
@@ -19,7 +18,7 @@ def word_count(df: DataFrame, text: str = "text") -> DataFrame:
     Words are counted within each task before the shuffle, so a frequent word
     costs one row per task. Catalyst moves the blank filter below the count.
     """
-    each = spread(df.select(text)).select(F.explode(words(F.col(text))).alias("word"))
+    each = df.select(F.explode(words(F.col(text))).alias("word"))
     counts = each.groupBy("word").agg(F.count("*").alias("cnt"))
     return counts.filter(~is_blank(F.col("word")))
 

@@ -120,18 +120,17 @@ def _bucket(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataF
     return bucketizer.transform(df.withColumn(source, value.cast("double"))).drop(source)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly when the input has fewer splits than the cluster has cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal rows out evenly when a scan has fewer splits than the cluster has cores.
 
     A large input has many splits and passes through untouched, so this shuffle
-    only happens where the data is small or sits in a few files.
+    only happens where the data is small or sits in a few files. Meant for plain
+    scans: asking a plan with a shuffle for its partitions would run it.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
 
 
 def lookup_join(

@@ -27,15 +27,19 @@ TRACKED = "the,und,la que"
 FIRST_RUN, SECOND_RUN = 1_000, 2_000
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name).select("text"))
+
+
 def count_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(table(spark, sf_dir, "documents"))
+    return word_count(_texts(spark, sf_dir, "documents"))
 
 
 def count_words_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The word count over a table: read the text cell of each row, then count."""
     stored = document_cells(spark, sf_dir)
     text = stored.filter((F.col("family") == "general") & (F.col("qualifier") == "text"))
-    return word_count(text, "value")
+    return word_count(spread(text.select("value")), "value")
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +48,8 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts stored twice as text: the second run overwrites, vanished words stay."""
-    first = word_count(table(spark, sf_dir, "conversations"))
-    second = word_count(table(spark, sf_dir, "documents"))
+    first = word_count(_texts(spark, sf_dir, "conversations"))
+    second = word_count(_texts(spark, sf_dir, "documents"))
     name = "cellweave_" + scratch(spark, "words").rsplit("-", 1)[1]
     create_cell_table(spark, name, ["words"], scratch(spark, "words"))
     create_cell_table(spark, name, ["words"])
@@ -57,10 +61,10 @@ def word_count_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_count_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as one bulk put of counts into the cells of an earlier count."""
     before = word_count_puts(
-        word_count(table(spark, sf_dir, "conversations")), F.timestamp_millis(F.lit(FIRST_RUN))
+        word_count(_texts(spark, sf_dir, "conversations")), F.timestamp_millis(F.lit(FIRST_RUN))
     )
     after = word_count_puts(
-        word_count(table(spark, sf_dir, "documents")), F.timestamp_millis(F.lit(SECOND_RUN))
+        word_count(_texts(spark, sf_dir, "documents")), F.timestamp_millis(F.lit(SECOND_RUN))
     )
     return put(cells(before), cells(after)).select("row_key", "family", "qualifier", "value")
 
@@ -68,7 +72,7 @@ def word_count_put(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_total_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts written out as log files, read back by a glob and measured."""
     path = scratch(spark, "logs")
-    spread(table(spark, sf_dir, "documents").select("text")).write.text(path)
+    _texts(spark, sf_dir, "documents").write.text(path)
     return total_length(read_lines(spark, f"{path}/*.txt"))
 
 
