@@ -40,8 +40,10 @@ def join_texts(texts: Column, separator: str = ",") -> Column:
 
 
 def to_bytes(text: Column) -> Column:
-    return F.encode(text, "UTF-8")
+    """The bytes of a text; also of a text that was cast from bytes that are no UTF-8."""
+    return text.cast("binary")
 
 
 def from_bytes(data: Column) -> Column:
-    return F.decode(data, "UTF-8")
+    """Bytes read as UTF-8, with U+FFFD for what is not."""
+    return F.make_valid_utf8(data.cast("string"))

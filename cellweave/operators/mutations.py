@@ -42,23 +42,21 @@ def put(cell_rows: DataFrame, puts: DataFrame) -> DataFrame:
 def increment(cell_rows: DataFrame, deltas: DataFrame) -> DataFrame:
     """Add deltas to counters; a missing counter starts at 0.
 
-    Present values and deltas meet in one hash aggregation with a map side, so
-    a counter that takes most of the deltas costs one row per task. Overflow
-    and values that are no number fail the job.
+    Deltas are summed in each task first, so a counter that takes most of them
+    costs one row per task, and then meet the present cells one to one. A cell
+    that takes no delta keeps its text, number or not. Overflow, and a delta to
+    a value that is no number, fail the job.
     """
-    # A cell that takes no delta keeps its text, number or not.
-    before = cell_rows.select(*CELL_KEY, "value", F.lit(None).cast("long").alias("delta"), "ts", "seq")
-    change = deltas.select(*CELL_KEY, F.lit(None).cast("string").alias("value"), "delta", "ts", "seq")
-    totals = before.unionByName(change).groupBy(*CELL_KEY).agg(
-        F.max("value").alias("_before"),
-        F.sum("delta").alias("_added"),
-        F.max(F.struct("ts", "seq")).alias("_at"),
-    )
-    grown = F.coalesce(F.col("_before").cast("long"), F.lit(0).cast("long")) + F.col("_added")
-    value = F.when(F.col("_added").isNull(), F.col("_before")).otherwise(grown.cast("string"))
-    return totals.select(
-        *CELL_KEY, value.alias("value"), F.col("_at.ts").alias("ts"), F.col("_at.seq").alias("seq")
+    totals = deltas.groupBy(*CELL_KEY).agg(
+        F.sum("delta").alias("_added"), F.max(F.struct("ts", "seq")).alias("_at")
     )
+    before = cell_rows.select(*CELL_KEY, "value", F.struct("ts", "seq").alias("_was"))
+    joined = before.join(totals, CELL_KEY, "full_outer")
+    start = F.coalesce(F.col("value").cast("long"), F.lit(0).cast("long"))
+    grown = (start + F.col("_added")).cast("string")
+    value = F.when(F.col("_added").isNull(), F.col("value")).otherwise(grown)
+    at = F.greatest("_was", "_at")
+    return joined.select(*CELL_KEY, value.alias("value"), at["ts"].alias("ts"), at["seq"].alias("seq"))
 
 
 def delete_rows(cell_rows: DataFrame, keys: DataFrame, hot: HotKeys | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import cells as c
 from cellweave.plans.skew import NO_HOT_KEYS, HotKeys
-from cellweave.schema import CELL
+from cellweave.schema import CELL, cells
 from cellweave.sources.tables import read_parquet, write_parquet
 
 
@@ -37,6 +37,17 @@ def test_keys_compare_as_unsigned_bytes(spark, at):
     assert got == {k for k in keys if b"\x7f" <= k.encode() < "ﬀ".encode()}
 
 
+def test_keys_may_be_any_bytes(spark, at, tmp_path):
+    """Bytes that are no UTF-8 keep their order and come back unchanged."""
+    keys = [b"\x00", b"a", b"\x7f", b"\x80", b"\xc3(", b"\xff"]
+    raw = spark.createDataFrame([(bytearray(k),) for k in keys], "k BINARY")
+    df = cells(raw, row_key=F.col("k"), family=F.lit("f"), qualifier=F.lit(""), value=F.col("k"))
+    write_parquet(df, f"{tmp_path}/t")
+    found = c.scan(read_parquet(spark, f"{tmp_path}/t"), start="a").filter(F.col("row_key") < F.lit(b"\xff").cast("string"))
+    rows = c.to_rows(found, hot=NO_HOT_KEYS).select(F.col("row_key").cast("binary").alias("k"))
+    assert sorted(bytes(r["k"]) for r in rows.collect()) == [b"a", b"\x7f", b"\x80", b"\xc3("]
+
+
 def test_scan_by_family_column_and_time(spark, at):
     df = versions(spark, at, [("a", "f", "x", "1", 1, 0), ("a", "f", "y", "2", 2, 0), ("a", "g", "x", "3", 3, 0)])
     values = lambda d: sorted(r["value"] for r in d.collect())
@@ -57,22 +68,22 @@ def test_scan_filters_reach_the_files(spark, at, tmp_path):
 
 
 def test_rows_are_ordered_and_whole(spark, at):
-    cells = [("a", f, q, f + q, 1, 0) for f in "gf" for q in ["z", "", "m"]]
-    (row,) = c.to_rows(versions(spark, at, cells)).collect()
+    given = [("a", f, q, f + q, 1, 0) for f in "gf" for q in ["z", "", "m"]]
+    (row,) = c.to_rows(versions(spark, at, given)).collect()
     got = [(x["family"], x["qualifier"]) for x in row["cells"]]
-    assert got == sorted((f, q) for _, f, q, *_ in cells)
+    assert got == sorted((f, q) for _, f, q, *_ in given)
 
 
 def test_wide_rows_come_in_parts(spark, at):
     rnd = random.Random(3)
-    cells = [(k, "f", f"{i:04d}", "v", 1, 0) for k, n in [("a", 95), ("b", 7)] for i in range(n)]
-    rnd.shuffle(cells)
+    given = [(k, "f", f"{i:04d}", "v", 1, 0) for k, n in [("a", 95), ("b", 7)] for i in range(n)]
+    rnd.shuffle(given)
     for hot in (NO_HOT_KEYS, HotKeys(("a",), 95, 20)):
-        rows = c.to_rows(versions(spark, at, cells), batch=10, hot=hot).collect()
+        rows = c.to_rows(versions(spark, at, given), batch=10, hot=hot).collect()
         assert len({(r["row_key"], r["part"]) for r in rows}) == len(rows)
         assert max(len(r["cells"]) for r in rows) <= 10
         got = sorted((r["row_key"], x["qualifier"]) for r in rows for x in r["cells"])
-        assert got == sorted((k, q) for k, _, q, *_ in cells)
+        assert got == sorted((k, q) for k, _, q, *_ in given)
 
 
 def test_maps_and_missing_cells(spark, at):

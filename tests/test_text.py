@@ -39,6 +39,10 @@ def test_join_keeps_the_place_of_nulls(spark):
 def test_bytes_round_trip(spark):
     assert apply(spark, lambda c: ft.from_bytes(ft.to_bytes(c)), ["é😀", ""]) == ["é😀", ""]
     assert apply(spark, ft.to_bytes, ["é"]) == [bytearray(b"\xc3\xa9")]
+    df = spark.createDataFrame([(bytearray(b"a\xff"),)], "b BINARY")
+    assert df.select(ft.from_bytes(F.col("b"))).collect()[0][0] == "a\ufffd"
+    same = ft.to_bytes(F.col("b").cast("string"))
+    assert df.select(same).collect()[0][0] == bytearray(b"a\xff")
 
 
 def test_word_count(spark):
