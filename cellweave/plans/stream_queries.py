@@ -147,7 +147,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_transient=lambda error: "timed out" in str(error),
         max_restarts=3,
     )
-    return stored.cells().select(*CELL_TEXT, F.col("ts").cast("timestamp_ntz"))
+    return stored.cells().select(*CELL_TEXT, F.unix_millis("ts").alias("ts_ms"))
 
 
 def stream_track(spark: SparkSession, sf_dir: str) -> DataFrame:

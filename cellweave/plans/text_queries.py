@@ -95,7 +95,7 @@ def ascii_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message cells: JSON parsed, required fields tested, fields projected to puts."""
     puts = message_puts(parse_messages(spread(message_lines(spark, sf_dir))))
-    return puts.select("row_key", "family", "qualifier", "value", F.col("ts").cast("timestamp_ntz"))
+    return puts.select("row_key", "family", "qualifier", "value", F.unix_millis("ts").alias("ts_ms"))
 
 
 def json_required(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,14 +208,14 @@ ORACLES = {
              regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS text,
              CASE WHEN lang = 'en' THEN source ELSE '' END AS country,
              CASE WHEN lang = 'es' THEN '' ELSE lang || ',,' || source END AS tags,
-             make_timestamp(n_chars * 1000) AS ts
+             n_chars AS ts_ms
       FROM documents WHERE lang <> 'de')
-    SELECT row_key, 'general' AS family, 'text' AS qualifier, text AS value, ts FROM m
-    UNION ALL SELECT row_key, 'general', 'timestamp', CAST(n_chars AS VARCHAR), ts FROM m
-    UNION ALL SELECT row_key, 'general', 'user_id', CAST(n_chars AS VARCHAR), ts FROM m
-    UNION ALL SELECT row_key, 'general', 'lang', lang, ts FROM m
-    UNION ALL SELECT row_key, 'general', 'country', country, ts FROM m
-    UNION ALL SELECT row_key, 'hashtags', '', tags, ts FROM m""",
+    SELECT row_key, 'general' AS family, 'text' AS qualifier, text AS value, ts_ms FROM m
+    UNION ALL SELECT row_key, 'general', 'timestamp', CAST(n_chars AS VARCHAR), ts_ms FROM m
+    UNION ALL SELECT row_key, 'general', 'user_id', CAST(n_chars AS VARCHAR), ts_ms FROM m
+    UNION ALL SELECT row_key, 'general', 'lang', lang, ts_ms FROM m
+    UNION ALL SELECT row_key, 'general', 'country', country, ts_ms FROM m
+    UNION ALL SELECT row_key, 'hashtags', '', tags, ts_ms FROM m""",
     "json_required": "SELECT CAST(doc_id AS VARCHAR) AS id_str FROM documents WHERE lang <> 'de'",
     "track_lang": f"""
     SELECT doc_id FROM (SELECT doc_id, lang, {_TOKENS} FROM documents)

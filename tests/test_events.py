@@ -83,16 +83,16 @@ def test_message_cells(spark):
 @pytest.mark.parametrize(
     "phrases,text,found",
     [
-        (["dress"], "The DRESS!", True),
-        (["dress"], "a #dress", True),
-        (["dress"], "dresses", False),
-        (["#dress"], "dress", False),
-        (["blue dress"], "dress, so blue", True),
-        (["blue dress"], "dress", False),
-        (["x", "dress"], "dress", True),
-        (["שמלה"], "זו שמלה", True),
-        ([], "dress", False),
-        ([" "], "dress", False),
+        (["storm"], "The STORM!", True),
+        (["storm"], "a #storm", True),
+        (["storm"], "storms", False),
+        (["#storm"], "storm", False),
+        (["blue storm"], "storm, so blue", True),
+        (["blue storm"], "storm", False),
+        (["x", "storm"], "storm", True),
+        (["סופה"], "זו סופה", True),
+        ([], "storm", False),
+        ([" "], "storm", False),
     ],
 )
 def test_tracks(spark, phrases, text, found):
