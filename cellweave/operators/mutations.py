@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from cellweave.operators.cells import latest
 from cellweave.plans.skew import (
     HotKeys,
+    heavy,
     hot_keys,
     lookup_join,
     order_slices,
+    top_keys,
     with_slice,
 )
 from cellweave.schema import (
@@ -95,12 +97,28 @@ def apply(
     return resolve(base.unionByName(ops.select(*base.columns)), order, hot)
 
 
+def weigh(ops: DataFrame) -> tuple[frozenset[str], HotKeys]:
+    """The kinds of mutation there are, and the heavy rows; one pass over two columns."""
+    facts = ops.agg(F.collect_set("op").alias("kinds"), top_keys("row_key").alias("top")).first()
+    return frozenset(facts["kinds"]), heavy(facts["top"])
+
+
 def resolve(
     ops: DataFrame,
     order: Sequence[str] = EVENT_ORDER,
     hot: HotKeys | None = None,
+    kinds: Collection[str] | None = None,
 ) -> DataFrame:
-    """Live cells after all mutations of a history, in the given total order."""
+    """Live cells after all mutations of a history, in the given total order.
+
+    A history of puts alone, or of increments alone, needs no order between
+    tasks and combines before its shuffle. ``hot`` and ``kinds`` are found by
+    ``weigh`` unless the caller knows them.
+    """
+    if hot is None:
+        kinds, hot = weigh(ops)
+    if kinds is not None and set(kinds) in ({PUT}, {INCREMENT}):
+        return _combined(ops, F.struct(*order), set(kinds) == {PUT})
     last = compact(ops, order, hot, tombstones=False)
     value = F.when(F.col("op") == INCREMENT, F.col("delta").cast("string")).otherwise(
         F.col("value")
@@ -108,6 +126,14 @@ def resolve(
     return last.select(*CELL_KEY, value.alias("value"), "ts", "seq")
 
 
+def _combined(ops: DataFrame, at: Column, puts: bool) -> DataFrame:
+    value = F.max_by("value", at) if puts else F.sum("delta").cast("string")
+    cells = ops.groupBy(*CELL_KEY).agg(value.alias("value"), F.max(at).alias("_at"))
+    return cells.select(
+        *CELL_KEY, "value", F.col("_at.ts").alias("ts"), F.col("_at.seq").alias("seq")
+    )
+
+
 def compact(
     ops: DataFrame,
     order: Sequence[str] = EVENT_ORDER,
@@ -124,9 +150,9 @@ def compact(
     if hot is None:
         hot = hot_keys(ops, "row_key")
     if hot:
-        heavy = hot.hit(F.col("row_key"))
-        out = _compact_rows(ops.filter(~heavy), order).unionByName(
-            _compact_hot_rows(ops.filter(heavy), order, hot)
+        is_heavy = hot.hit(F.col("row_key"))
+        out = _compact_rows(ops.filter(~is_heavy), order).unionByName(
+            _compact_hot_rows(ops.filter(is_heavy), order, hot)
         )
     else:
         out = _compact_rows(ops, order)

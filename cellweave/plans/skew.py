@@ -13,7 +13,7 @@ from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # A key with fewer rows than this is never worth a second stage.
@@ -52,16 +52,23 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys()
 
 
+def top_keys(key: str) -> Column:
+    """An aggregate that sketches the most frequent values of ``key``."""
+    return F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
+
+
+def heavy(top: list[Row] | None, min_rows: int = HOT_ROWS) -> HotKeys:
+    """The heavy keys in a result of ``top_keys``."""
+    found = [(r["item"], r["count"]) for r in top or [] if r["count"] >= min_rows]
+    found = [(item, n) for item, n in found if item is not None]
+    if not found:
+        return NO_HOT_KEYS
+    return HotKeys(tuple(item for item, _ in found), sum(n for _, n in found), min_rows)
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
     """Heavy values of ``key`` by a frequent-items sketch; one column is read."""
-    sketch = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top")
-    ).first()
-    heavy = [(r["item"], r["count"]) for r in sketch["top"] or [] if r["count"] >= min_rows]
-    heavy = [(item, n) for item, n in heavy if item is not None]
-    if not heavy:
-        return NO_HOT_KEYS
-    return HotKeys(tuple(item for item, _ in heavy), sum(n for _, n in heavy), min_rows)
+    return heavy(df.agg(top_keys(key).alias("top")).first()["top"], min_rows)
 
 
 @dataclass(frozen=True)

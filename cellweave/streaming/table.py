@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellweave.operators.mutations import EVENT_ORDER, compact, resolve
-from cellweave.plans.skew import hot_keys, keep_keys
+from cellweave.operators.mutations import EVENT_ORDER, compact, resolve, weigh
+from cellweave.plans.skew import keep_keys
 from cellweave.schema import MUTATION, MUTATION_COLUMNS, record, require_families
 
 _LOGGED = T.StructType([*MUTATION, *record(batch_id=T.LongType())])
@@ -66,10 +66,10 @@ class MutationTable:
     def cells(self, before: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
         """The live cells; with ``rows_of``, only those of the row keys it holds."""
         ops = self.history(before)
-        hot = hot_keys(ops, "row_key")
+        kinds, hot = weigh(ops)
         if rows_of is not None:
             ops = keep_keys(ops, rows_of, "row_key")
-        return resolve(ops, self.order, hot)
+        return resolve(ops, self.order, hot, kinds)
 
     def compact(self, upto: int, horizon: Column | None = None) -> None:
         """Fold the batches up to ``upto`` to at most one mutation per cell.

@@ -59,6 +59,15 @@ def test_mix_equals_one_after_the_other(spark, at, seed, spread, hot):
     assert result(m.resolve(df, hot=hot)) == sequential({}, ops)
 
 
+@pytest.mark.parametrize("kind", ["put", "increment"])
+def test_one_kind_combines_before_the_shuffle(spark, at, kind):
+    ops = [o for o in random_ops(6, 300, at) if o[3] == kind]
+    live = m.resolve(spark.createDataFrame(ops, MUTATION))
+    assert result(live) == sequential({}, ops)
+    plan = live._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Repartition" not in plan
+
+
 @pytest.mark.parametrize("hot", PLANS, ids=["plain", "hot", "hotter"])
 def test_compaction_keeps_the_outcome(spark, at, hot):
     ops = random_ops(5, 300, at)
