@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.operators.cells import latest
 from cellweave.plans.skew import (
     HotKeys,
+    broadcast_if_small,
     heavy,
     hot_keys,
     lookup_join,
@@ -194,10 +195,10 @@ def _compact_hot_rows(ops: DataFrame, order: Sequence[str], hot: HotKeys) -> Dat
     by_slice = [*CELL_KEY, *order[:-2], "slice"]
     sliced = with_slice(ops, order_slices(ops, hot))
     # There is at most one row cut per heavy key, so that broadcast is bounded.
-    # Family cuts have no such bound: the adaptive planner measures them, and the
-    # repartition leaves it free to split a skewed join.
+    # Family cuts are measured; where they are many, the repartition below leaves
+    # the adaptive planner free to split a skewed join.
     joined = sliced.join(F.broadcast(row_cuts), "row_key", "left").join(
-        family_cuts, ["row_key", "family"], "left"
+        broadcast_if_small(family_cuts), ["row_key", "family"], "left"
     )
     alive = _after_cuts(joined, at).repartition(*by_slice)
     per_slice = _sum_after_reset(_mark_resets(alive, at, by_slice), order, by_slice)

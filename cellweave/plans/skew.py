@@ -180,10 +180,14 @@ def _broadcastable(right: DataFrame, on: str, hot: HotKeys) -> HotKeys:
     return hot.only(fitting)
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast when it measures small; this runs it once."""
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    size = df.select(width.alias("width")).agg(F.sum("width")).first()[0] or 0
+    return F.broadcast(df) if size <= MAX_BROADCAST_BYTES else df
+
+
 def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys``; few keys are broadcast, many are not."""
-    wanted = keys.select(on).distinct()
-    size = wanted.agg(F.sum(F.octet_length(on) + 16)).first()[0] or 0
-    if size <= MAX_BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
+    wanted = broadcast_if_small(keys.select(on).distinct())
     return df.join(wanted, on, "left_semi")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import mutations as m
+from cellweave.plans import skew
 from cellweave.plans.skew import NO_HOT_KEYS, HotKeys, hot_keys
 from cellweave.schema import CELL, MUTATION
 
@@ -59,6 +60,13 @@ def test_mix_equals_one_after_the_other(spark, at, seed, spread, hot):
     assert result(m.resolve(df, hot=hot)) == sequential({}, ops)
 
 
+def test_many_family_deletes_are_not_broadcast(spark, at, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_BYTES", 0)
+    ops = random_ops(8, 200, at)
+    live = m.resolve(spark.createDataFrame(ops, MUTATION), hot=PLANS[1])
+    assert result(live) == sequential({}, ops)
+
+
 @pytest.mark.parametrize("kind", ["put", "increment"])
 def test_one_kind_combines_before_the_shuffle(spark, at, kind):
     ops = [o for o in random_ops(6, 300, at) if o[3] == kind]
