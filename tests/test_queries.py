@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cellweave.plans import catalog
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
