@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from cellweave.session import scratch_path
 
@@ -24,3 +25,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def widened(df: DataFrame, **kinds: str | DataType) -> StructType:
+    """The schema of ``df`` with further columns."""
+    out = StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
