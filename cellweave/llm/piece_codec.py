@@ -25,8 +25,8 @@ MARK = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-# Words whose ids a task remembers.
-REMEMBER = 300_000
+# Words whose ids a task remembers, and rows that it encodes at once.
+REMEMBER, BATCH = 150_000, 200
 
 
 @dataclass(frozen=True)
@@ -224,14 +224,9 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         tool = codec(model)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = tool.encode([t or "" for t in part.column(at).to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                values = pa.ListArray.from_arrays(pa.array(offsets), flat)
-                yield pa.RecordBatch.from_arrays([*part.columns, values], names=[*part.schema.names, "ids"])
+        for part in _slices(batches):
+            ids = tool.encode([t or "" for t in part.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids)], names=[*part.schema.names, "ids"])
 
     return kept.mapInArrow(run, widened(kept, ids=ArrayType(IntegerType())))
 
@@ -243,11 +238,9 @@ def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                texts = tool.decode([i or [] for i in part.column(at).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, into])
+        for part in _slices(batches):
+            texts = tool.decode([i or [] for i in part.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, into])
 
     return kept.mapInArrow(run, widened(kept, **{into: "string"}))
 
@@ -258,23 +251,36 @@ def parity(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     ``round_trip``: the ids decode to the text. ``same``: the sentencepiece library
     gives the same ids and the same text back. Columns of these names are replaced.
     """
-    encoded = decode(encode(docs.drop("round_trip", "same"), model, text), model, "_decoded")
-    at, ids_at, back_at = (encoded.columns.index(c) for c in (text, "ids", "_decoded"))
+    kept = docs.drop("ids", "round_trip", "same")
+    at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        other = sentencepiece.SentencePieceProcessor(model_file=model)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            theirs = other.encode(texts, num_threads=os.cpu_count() or 1) if texts else []
-            back = other.decode(theirs) if texts else []
-            mine = [i or [] for i in batch.column(ids_at).to_pylist()]
-            decoded = batch.column(back_at).to_pylist()
-            same = [a == b and c == d for a, b, c, d in zip(theirs, mine, back, decoded)]
-            trip = [a == b for a, b in zip(texts, decoded)]
-            columns = [*batch.columns, pa.array(trip, pa.bool_()), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "round_trip", "same"])
-
-    schema = widened(encoded, round_trip="boolean", same="boolean")
-    return encoded.mapInArrow(run, schema).drop("_decoded")
+        tool, other = codec(model), sentencepiece.SentencePieceProcessor(model_file=model)
+        for part in _slices(batches):
+            texts = [t or "" for t in part.column(at).to_pylist()]
+            mine, theirs = tool.encode(texts), other.encode(texts, num_threads=os.cpu_count() or 1)
+            decoded, back = tool.decode(theirs), other.decode(theirs)
+            equal = [len(a) == len(b) and a.tolist() == b for a, b in zip(mine, theirs)]
+            same = [a and b == c for a, b, c in zip(equal, decoded, back)]
+            # Where ids are equal, so are the texts that they decode to.
+            own = [d if e else tool.decode([m.tolist()])[0] for d, e, m in zip(decoded, equal, mine)]
+            trip = [a == b for a, b in zip(texts, own)]
+            columns = [*part.columns, _lists(mine), pa.array(trip, pa.bool_()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "ids", "round_trip", "same"])
+
+    return kept.mapInArrow(run, widened(kept, ids=ArrayType(IntegerType()), round_trip="boolean", same="boolean"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of at most BATCH rows; the library's threads share the words of one part."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH):
+            yield batch.slice(start, BATCH)
+
+
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))

@@ -13,7 +13,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
-    return F.translate(text, UPPER, UPPER.lower())
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

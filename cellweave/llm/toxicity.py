@@ -28,7 +28,7 @@ ROWS = 1 << ROW_BITS
 NGRAMS = (3, 4, 5, 6)
 TOP = 3
 # The classifier is fitted on at most so many labelled rows of either class, those with the smallest hash of their id.
-SAMPLE = 4_000
+SAMPLE = 2_500
 EPOCHS, BATCH, RATE = 8, 64, 0.1
 CACHE = 400_000
 # The log odds of a text without words, before the bias.
@@ -184,17 +184,22 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from ``labelled`` (``doc_id``, ``text``, ``toxic``); rows without a label are left out.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """A model from the texts of ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``toxic``).
 
-    At most ``sample`` rows of each class reach the driver.
+    Labels other than 0 and 1 are left out. At most ``sample`` rows of each class
+    are used: ids are chosen first, by hash, and only their texts reach the driver. Repeated
+    ids enter as often as they repeat, within the same bound.
     """
-    rows = labelled.filter(F.col("toxic").isin(0, 1)).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    taken = []
+    known = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    texts, toxic = [], []
     for label in (0, 1):
-        one = rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
-        taken += one.select("text", "toxic").collect()
-    return train([r["text"] for r in taken], np.array([r["toxic"] for r in taken]))
+        picked = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").limit(sample)
+        for row in rows.select("text").toLocalIterator():
+            texts.append(row["text"])
+            toxic.append(label)
+    return train(texts, np.array(toxic, np.int64))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -60,8 +60,9 @@ def test_spark_scores_equal_plain_ones(spark, model):
 def test_fit_takes_bounded_labelled_rows(spark):
     rows = [(i, t, int(y), "x") for i, (t, y) in enumerate(zip(*made(80, 3)))] + [(900, "stupid", None, "x"), (None, None, 1, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, score string")
-    assert toxicity.Scorer(toxicity.fit(df, sample=30))("stupid worthless pathetic") > 0.5
-    assert toxicity.Scorer(toxicity.fit(df.limit(0)))("stupid") < 0.5
+    docs, labels = df.drop("toxic"), df.drop("text")
+    assert toxicity.Scorer(toxicity.fit(docs, labels, sample=30))("stupid worthless pathetic") > 0.5
+    assert toxicity.Scorer(toxicity.fit(docs, labels.limit(0)))("stupid") < 0.5
 
 
 def test_query(spark, given):
