@@ -17,6 +17,7 @@ from cellweave.plans.skew import broadcast_if_small
 
 # Fixed value: words are runs of digits, a-z and characters past ASCII.
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 _LAST = 2**31 - 1
 
@@ -26,6 +27,11 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(lower_ascii(text.cast("string")), F.lit(WORDS), F.lit(0)), F.array().cast("array<string>"))
 
 
+def word_count(text: Column) -> Column:
+    """How many words ``words_of`` gives, without making them."""
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(ANY_CASE)), F.lit(0)).cast("long")
+
+
 def fingerprints(words: Column, window: int) -> Column:
     """Kept k-grams of ``words``, each packed into a long: 32 bits of hash, then the place counted from the end.
 
@@ -96,7 +102,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         none = F.array()
         return texts.select(
             "doc_id",
-            F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
+            word_count(F.col("text")).alias("n_words"),
             none.cast("array<int>").alias("hits"),
             none.cast("array<string>").alias("items"),
         )
@@ -114,7 +120,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     result = saved(sure.select("_row", places.alias("hits")).join(listed, "_row", "left"), "passage-rows")
-    counted = texts.select("_row", "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    counted = texts.select("_row", "doc_id", word_count(F.col("text")).alias("n_words"))
     return counted.join(broadcast_if_small(result), "_row", "left").select(
         "doc_id",
         "n_words",

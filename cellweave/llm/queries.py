@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import chat_format, decontaminate, piece_codec, secret_scan, toxicity, url_filter
+from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, toxicity, url_filter
 from cellweave.llm.shared import saved, sha256_hex
 from cellweave.plans.inputs import table
 from cellweave.session import ship_package
@@ -112,6 +112,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).drop("url")
 
 
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_piece_codec": op3_piece_codec,
     "op4_decontaminate": op4_decontaminate,
@@ -119,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
+    "op10_bag_minhash": op10_bag_minhash,
 }
 ORACLES: dict[str, str] = {"op4_decontaminate": OP4_SQL}
 
