@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from cellweave.llm.linking import class_ids, linked
 from cellweave.llm.shared import saved, widened
 from cellweave.llm.tokens import chunks, mix
 from cellweave.plans.skew import broadcast_if_small
@@ -157,35 +158,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     # One row per text and band; rows of equal texts meet in the aggregate before they are shuffled.
     open_rows = signed.filter(F.col("signature").isNotNull()).select("node", band.alias("bucket")).distinct()
-    links = _linked(named, nodes, saved(open_rows, "bag-bands"), similarity)
-    root = components(links)
-    members = nodes.join(broadcast_if_small(root), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = members.groupBy("root").agg(F.min("least").alias("class_id"), F.count("*").alias("texts"))
-    many = least.filter("texts > 1").drop("texts")
-    of_node = saved(
-        members.join(broadcast_if_small(many), "root", "left").select(
-            "node", F.when(F.col("class_id").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id")
-        ),
-        "bag-classes",
-    )
-    return signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "class_id")
-
-
-def _linked(named: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (``node``, ``leader``) of similar texts that share a bucket, found in turns."""
-    found = None
-    while True:
-        leaders = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-        met = rows.join(leaders.drop("n"), "bucket").filter("node != leader")
-        met = saved(met, "bag-met")
-        pairs = met.select("node", "leader").distinct()
-        judged = saved(_overlaps(pairs, named, nodes), "bag-pairs")
-        links = judged.filter(F.col("overlap") >= similarity).select("node", "leader")
-        found = links if found is None else found.unionByName(links)
-        apart = judged.filter(F.col("overlap") < similarity).select("node", "leader")
-        if apart.isEmpty():
-            return found
-        rows = saved(met.join(broadcast_if_small(apart), ["node", "leader"], "left_semi").select("node", "bucket"), "bag-bands")
+    links = linked(saved(open_rows, "bag-bands"), lambda pairs: _overlaps(pairs, named, nodes), similarity)
+    return class_ids(signed.select("doc_id", "node"), nodes, links)
 
 
 def _overlaps(pairs: DataFrame, named: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -224,26 +198,3 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())
     return common / max(1, int(a[1].sum()) + int(b[1].sum()) - common)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``root``, the least node of its component, for links (``node``, ``leader``).
-
-    Large and small star operations in turns: nodes move to the least neighbour of
-    their neighbours, which halves the height of a component's tree. Every round is a table.
-    """
-    edges = saved(links.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct(), "stars")
-    before = None
-    while True:
-        mark = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
-        if mark == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = mark
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = saved(large.filter("u != v").distinct(), "stars")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(least.select("u", F.col("m").alias("v")))
-        edges = saved(small.filter("u != v").distinct(), "stars")

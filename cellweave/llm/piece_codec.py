@@ -26,7 +26,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Words whose ids a task remembers, and rows that it encodes at once.
-REMEMBER, BATCH = 150_000, 200
+REMEMBER, BATCH = 500_000, 200
 
 
 @dataclass(frozen=True)
@@ -126,16 +126,16 @@ def build(model: PieceModel):
 
 
 class Codec:
-    """Encodes and decodes lists of texts with one model file."""
+    """Encodes and decodes lists of texts with one model file; ``verify`` keeps the other library at hand."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, verify: bool = False):
         with open(path, "rb") as file:
             self.model = parse(file.read())
         self.tokenizer = build(self.model)
         # Merges never cross from another character to a mark unless some piece has one inside;
         # without such pieces, and with nothing to normalise, words are encoded by themselves.
         inside = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER))
-        self.by_word = self.model.kind == BPE and not (inside or self.model.rules or self.model.squeeze)
+        self.by_word = self.model.kind == BPE and self.model.dummy_prefix and not (inside or self.model.rules or self.model.squeeze)
         self.known: dict[str, list[int]] = {}
         self.bytes = [_plain(p, kind) for p, _, kind in self.model.pieces]
         if self.by_word:
@@ -144,6 +144,11 @@ class Codec:
             # Words come with their marks, so the pipeline for words changes nothing.
             self.words = build(self.model)
             self.words.normalizer = normalizers.Sequence([])
+        self.other, self.odd = None, set()
+        if verify:
+            import sentencepiece
+
+            self.other = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; empty texts have none."""
@@ -151,15 +156,38 @@ class Codec:
             found = self.tokenizer.encode_batch([t for t in texts if t], add_special_tokens=False)
             rest = iter(found)
             return [np.array(next(rest).ids if t else [], np.int32) for t in texts]
-        split = [_words(t, self.model.dummy_prefix) if t else [] for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-            new = list({w for ws in split for w in ws})
-        for word, found in zip(new, self.words.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = found.ids
+        known = self._learn(split := [self._split(t) for t in texts])
+        chain = itertools.chain.from_iterable
+        return [np.array(list(chain([known[w] for w in words])), np.int32) for words in split]
+
+    def agreed(self, texts: list[str]) -> list[bool]:
+        """Whether the sentencepiece library, ``self.other``, gives each text the ids of ``encode``.
+
+        Where words are encoded by themselves, here as there, each is compared once.
+        """
+        if not self.by_word:
+            return [a.tolist() == b for a, b in zip(self.encode(texts), self.other.encode(texts, num_threads=_threads()))]
+        self._learn(split := [self._split(t) for t in texts])
+        return [not self.odd or self.odd.isdisjoint(words) for words in split]
+
+    def _split(self, text: str) -> list[str]:
+        return _words(text) if text else []
+
+    def _learn(self, split: list[list[str]]) -> dict[str, list[int]]:
+        """The ids of all words in ``split``, by word."""
         known = self.known
-        return [np.fromiter(itertools.chain.from_iterable([known[w] for w in ws]), np.int32) for ws in split]
+        words = set(itertools.chain.from_iterable(split))
+        if len(known) > REMEMBER:
+            known.clear()
+        new = [w for w in words if w not in known]
+        found = self.words.encode_batch_fast(new, add_special_tokens=False)
+        known.update(zip(new, (f.ids for f in found)))
+        if self.other is not None and new:
+            # The other library puts a mark before the first word only, so each word follows another one.
+            lead = len(self.other.encode("x"))
+            theirs = self.other.encode(["x" + w.replace(MARK, " ") for w in new], num_threads=_threads())
+            self.odd.update(w for w, ids in zip(new, theirs) if known[w] != ids[lead:])
+        return known
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of lists of ids.
@@ -193,12 +221,10 @@ def _plain(piece: str, kind: int) -> bytes:
     return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
 
-def _words(text: str, dummy_prefix: bool) -> list[str]:
-    """The words of a text, each with the marks before it; marks at the end are a word."""
-    marked = (MARK if dummy_prefix else "") + text.replace(" ", MARK)
-    parts = marked.split(MARK)
-    words, waiting = ([parts[0]] if parts[0] else []), 0
-    for part in parts[1:]:
+def _words(text: str) -> list[str]:
+    """The words of a text, each with the marks before it, of which the first gets one more; marks at the end are a word."""
+    words, waiting = [], 0
+    for part in text.replace(" ", MARK).split(MARK):
         waiting += 1
         if part:
             words.append(MARK * waiting + part)
@@ -209,8 +235,12 @@ def _words(text: str, dummy_prefix: bool) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec(path: str, verify: bool = False) -> Codec:
+    return Codec(path, verify)
+
+
+def _threads() -> int:
+    return os.cpu_count() or 1
 
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
@@ -249,25 +279,18 @@ def parity(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` and two checks of each row.
 
     ``round_trip``: the ids decode to the text. ``same``: the sentencepiece library
-    gives the same ids and the same text back. Columns of these names are replaced.
+    gives the same ids. Columns of these names are replaced.
     """
     kept = docs.drop("ids", "round_trip", "same")
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        tool, other = codec(model), sentencepiece.SentencePieceProcessor(model_file=model)
+        tool = codec(model, verify=True)
         for part in _slices(batches):
             texts = [t or "" for t in part.column(at).to_pylist()]
-            mine, theirs = tool.encode(texts), other.encode(texts, num_threads=os.cpu_count() or 1)
-            decoded, back = tool.decode(theirs), other.decode(theirs)
-            equal = [len(a) == len(b) and a.tolist() == b for a, b in zip(mine, theirs)]
-            same = [a and b == c for a, b, c in zip(equal, decoded, back)]
-            # Where ids are equal, so are the texts that they decode to.
-            own = [d if e else tool.decode([m.tolist()])[0] for d, e, m in zip(decoded, equal, mine)]
-            trip = [a == b for a, b in zip(texts, own)]
-            columns = [*part.columns, _lists(mine), pa.array(trip, pa.bool_()), pa.array(same, pa.bool_())]
+            ids = tool.encode(texts)
+            trip = [a == b for a, b in zip(texts, tool.decode([i.tolist() for i in ids]))]
+            columns = [*part.columns, _lists(ids), pa.array(trip, pa.bool_()), pa.array(tool.agreed(texts), pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "ids", "round_trip", "same"])
 
     return kept.mapInArrow(run, widened(kept, ids=ArrayType(IntegerType()), round_trip="boolean", same="boolean"))

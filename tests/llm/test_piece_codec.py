@@ -20,6 +20,13 @@ def test_same_ids_and_text_as_the_other_library(theirs, text):
     assert tool.decode([ids]) == [theirs.decode(ids)]
 
 
+def test_verification_by_words(theirs):
+    tool = piece_codec.Codec(MODEL, verify=True)
+    assert all(tool.agreed(ODD)) and not tool.odd
+    tool.odd.add("▁a")
+    assert [tool.agreed([t])[0] for t in ("a b", "b ab", "")] == [False, True, True]
+
+
 @pytest.mark.parametrize("ids", [[], [1, 22557, 2], [200], [22557, 3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [13, 13]])
 def test_decode_any_ids(theirs, ids):
     assert piece_codec.codec(MODEL).decode([ids]) == [theirs.decode(ids)]
