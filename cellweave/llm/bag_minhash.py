@@ -8,7 +8,7 @@ with a probability equal to their weighted Jaccard similarity. Points past a
 time by which all slots are surely filled are never drawn.
 
 Signatures are cut into bands. Texts that share a band are compared, all
-with the least of them, exactly: by multiset overlap. Those that differ from it
+with a leader among them, exactly: by multiset overlap. Those that differ from it
 meet again among themselves, until none are left. Connected texts form a class.
 """
 
@@ -158,18 +158,25 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     # One row per text and band; rows of equal texts meet in the aggregate before they are shuffled.
     open_rows = signed.filter(F.col("signature").isNotNull()).select("node", band.alias("bucket")).distinct()
-    links = linked(saved(open_rows, "bag-bands"), lambda pairs: _overlaps(pairs, named, nodes), similarity)
+    open_rows = saved(open_rows, "bag-bands")
+    shared = open_rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = open_rows.join(broadcast_if_small(shared.select("bucket")), "bucket", "left_semi").select("node").distinct()
+    texts = saved(_texts(named, nodes.join(broadcast_if_small(met), "node", "left_semi")), "bag-texts")
+    links = linked(open_rows, lambda pairs: _overlaps(pairs, texts), similarity)
     return class_ids(signed.select("doc_id", "node"), nodes, links)
 
 
-def _overlaps(pairs: DataFrame, named: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``pairs`` with ``overlap``, their exact weighted Jaccard similarity."""
-    both = pairs.select("node").union(pairs.select(F.col("leader").alias("node"))).distinct()
-    wanted = nodes.join(broadcast_if_small(both), "node", "left_semi").withColumnRenamed("node", "_node")
+def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the wanted nodes, each from the row with its least id."""
+    wanted = saved(wanted.withColumnRenamed("node", "_node"), "bag-wanted")
     rows = named.join(
         broadcast_if_small(wanted), (named["node"] == wanted["_node"]) & named["doc_id"].eqNullSafe(wanted["least"])
     )
-    texts = saved(rows.select("node", "text").dropDuplicates(["node"]), "bag-texts")
+    return rows.select("node", "text").dropDuplicates(["node"])
+
+
+def _overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` with ``overlap``, their exact weighted Jaccard similarity."""
     other = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
     joined = pairs.join(texts, "node").join(other, "leader").select("node", "leader", "text", "leader_text")
 

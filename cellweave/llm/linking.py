@@ -12,25 +12,38 @@ from cellweave.plans.skew import broadcast_if_small
 
 
 def linked(rows: DataFrame, judge: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """Pairs (``node``, ``leader``) of similar nodes among ``rows`` (``node``, ``bucket``), found in turns.
+    """Pairs (``node``, ``leader``) of similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
 
-    ``judge`` adds ``overlap`` to pairs. In each turn the nodes of a bucket are
-    judged against the least of them, which is one pair a node; those below
-    ``similarity`` go on without it, until no bucket has two nodes left.
+    ``judge`` adds ``overlap`` to pairs. In the first turn all nodes of a bucket are
+    judged against one of them, which is one pair a node: the node that meets
+    most others over all buckets, such as the text that a group was copied from.
+    Those below ``similarity`` go on without it against 4 leaders, then 16 and so on,
+    until no bucket has two nodes left. So pairs grow with the nodes, times the
+    turns; a link is missed only where, in every bucket that its nodes share,
+    one of them had found a leader that the other is too far from.
     """
-    found = None
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    rows = saved(rows.join(sizes, "bucket"), "link-rows")
+    degrees = rows.groupBy("node").agg(F.sum("size").alias("degree"))
+    rows = saved(rows.drop("size").join(degrees, "node"), "link-rows")
+    found, leaders_each = None, 1
     while True:
-        leaders = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-        met = rows.join(leaders.drop("n"), "bucket").filter("node != leader")
-        met = saved(met, "met")
+        share = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
+        leaders = rows.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("degree", "node")).alias("top"))
+        leaders = saved(leaders.select("bucket", F.col("top.node").alias("leader")), "link-leaders")
+        met = saved(rows.join(leaders, "bucket").filter("node != leader"), "link-met")
         pairs = met.select("node", "leader").distinct()
-        judged = saved(judge(pairs), "pairs")
+        judged = saved(judge(pairs), "link-pairs")
         links = judged.filter(F.col("overlap") >= similarity).select("node", "leader")
         found = links if found is None else found.unionByName(links)
-        apart = judged.filter(F.col("overlap") < similarity).select("node", "leader")
-        if apart.isEmpty():
+        settled = met.join(broadcast_if_small(links), ["node", "leader"], "left_semi").select("bucket", "node")
+        settled = settled.unionByName(leaders.withColumnRenamed("leader", "node"))
+        rows = rows.join(broadcast_if_small(saved(settled.distinct(), "link-settled")), ["bucket", "node"], "left_anti")
+        many = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
+        rows = saved(rows.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows")
+        if rows.isEmpty():
             return found
-        rows = saved(met.join(broadcast_if_small(apart), ["node", "leader"], "left_semi").select("node", "bucket"), "bands")
+        leaders_each *= 4
 
 
 def components(links: DataFrame) -> DataFrame:

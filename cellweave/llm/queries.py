@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, spot_sigs, toxicity, url_filter
+from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, spot_sigs, suffix_tree_lm, toxicity, url_filter
 from cellweave.llm.shared import saved, sha256_hex
 from cellweave.plans.inputs import table
 from cellweave.session import ship_package
@@ -23,6 +23,14 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 TOKENIZERS = os.environ.get("CELLWEAVE_TOKENIZERS", "/opt/tokenizers")
 
 
+def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = suffix_tree_lm.score(docs, ~held_out(7, 2))
+    return scored.select(
+        "doc_id", held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, whether they decode to it, and whether the sentencepiece library agrees on both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,6 +129,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_tree_lm": op1_suffix_tree_lm,
     "op3_piece_codec": op3_piece_codec,
     "op4_decontaminate": op4_decontaminate,
     "op5_spot_sigs": op5_spot_sigs,

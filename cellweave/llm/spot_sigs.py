@@ -95,14 +95,14 @@ def edits(docs: DataFrame) -> DataFrame:
     target = ids.select(F.col("doc_id").alias("target"), F.floor(F.col("n") / 2).cast("int").alias("need"))
     links = links.join(target, "target").join(ids.select("doc_id", "pick"), "doc_id")
     links = saved(links.select(F.col("doc_id").alias("sender"), "target", "need", "pick"), "spot-links")
-    own = texts.withColumn("signs", signatures(F.col("text")))
-    sent = own.join(broadcast_if_small(links), F.col("doc_id") == F.col("sender"))
+    sent = texts.join(broadcast_if_small(links), F.col("doc_id") == F.col("sender"))
     if repeated:
         sent = sent.filter(F.xxhash64("text") == F.col("pick"))
-    sent = sent.select("target", F.expr("left(text, need)").alias("head"), F.col("signs").alias("next_signs"))
+    sent = sent.select("target", F.expr("left(text, need)").alias("head"), signatures(F.col("text")).alias("next_signs"))
     if repeated:
         sent = sent.dropDuplicates(["target"])
-    joined = own.join(sent, F.col("doc_id") == F.col("target"), "left")
+    # A text's own set is made after the join: it is cheaper to make twice than to shuffle.
+    joined = texts.join(sent, F.col("doc_id") == F.col("target"), "left")
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.char_length("text") - half),
@@ -112,7 +112,7 @@ def edits(docs: DataFrame) -> DataFrame:
     changed = joined.select(
         "doc_id",
         n_chars.alias("n_chars"),
-        "signs",
+        signatures(F.col("text")).alias("signs"),
         F.coalesce("next_signs", none).alias("next_signs"),
         edited.alias("edited"),
     ).withColumn("edited_signs", signatures(F.col("edited")))
