@@ -136,7 +136,7 @@ class Codec:
         # without such pieces, and with nothing to normalise, words are encoded by themselves.
         inside = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER))
         self.by_word = self.model.kind == BPE and self.model.dummy_prefix and not (inside or self.model.rules or self.model.squeeze)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.bytes = [_plain(p, kind) for p, _, kind in self.model.pieces]
         if self.by_word:
             from tokenizers import normalizers
@@ -156,9 +156,14 @@ class Codec:
             found = self.tokenizer.encode_batch([t for t in texts if t], add_special_tokens=False)
             rest = iter(found)
             return [np.array(next(rest).ids if t else [], np.int32) for t in texts]
-        known = self._learn(split := [self._split(t) for t in texts])
-        chain = itertools.chain.from_iterable
-        return [np.array(list(chain([known[w] for w in words])), np.int32) for words in split]
+        split = [_words(t) for t in texts]
+        known = self.known
+        try:
+            packed = [b"".join([known[w] for w in words]) for words in split]
+        except KeyError:
+            self._learn(split)
+            packed = [b"".join([known[w] for w in words]) for words in split]
+        return [np.frombuffer(p, np.int32) for p in packed]
 
     def agreed(self, texts: list[str]) -> list[bool]:
         """Whether the sentencepiece library, ``self.other``, gives each text the ids of ``encode``.
@@ -167,27 +172,25 @@ class Codec:
         """
         if not self.by_word:
             return [a.tolist() == b for a, b in zip(self.encode(texts), self.other.encode(texts, num_threads=_threads()))]
-        self._learn(split := [self._split(t) for t in texts])
+        self._learn(split := [_words(t) for t in texts])
         return [not self.odd or self.odd.isdisjoint(words) for words in split]
 
-    def _split(self, text: str) -> list[str]:
-        return _words(text) if text else []
-
-    def _learn(self, split: list[list[str]]) -> dict[str, list[int]]:
-        """The ids of all words in ``split``, by word."""
+    def _learn(self, split: list[list[str]]) -> None:
+        """Make the ids of all words in ``split`` known, as packed numbers."""
+        if len(self.known) > REMEMBER:
+            self.known.clear()
         known = self.known
-        words = set(itertools.chain.from_iterable(split))
-        if len(known) > REMEMBER:
-            known.clear()
-        new = [w for w in words if w not in known]
-        found = self.words.encode_batch_fast(new, add_special_tokens=False)
-        known.update(zip(new, (f.ids for f in found)))
-        if self.other is not None and new:
+        new = list({w for words in split for w in words if w not in known})
+        if not new:
+            return
+        marked = [w if w[0] == MARK else MARK + w for w in new]
+        ids = [f.ids for f in self.words.encode_batch_fast(marked, add_special_tokens=False)]
+        known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
+        if self.other is not None:
             # The other library puts a mark before the first word only, so each word follows another one.
             lead = len(self.other.encode("x"))
-            theirs = self.other.encode(["x" + w.replace(MARK, " ") for w in new], num_threads=_threads())
-            self.odd.update(w for w, ids in zip(new, theirs) if known[w] != ids[lead:])
-        return known
+            theirs = self.other.encode(["x" + w.replace(MARK, " ") for w in marked], num_threads=_threads())
+            self.odd.update(w for w, a, b in zip(new, ids, theirs) if a != b[lead:])
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of lists of ids.
@@ -222,7 +225,14 @@ def _plain(piece: str, kind: int) -> bytes:
 
 
 def _words(text: str) -> list[str]:
-    """The words of a text, each with the marks before it, of which the first gets one more; marks at the end are a word."""
+    """The words of a text: plain where one space parts them, else with the marks before them.
+
+    Marks at the end of a text are a word.
+    """
+    if not text:
+        return []
+    if "  " not in text and MARK not in text and text[0] != " " != text[-1]:
+        return text.split(" ")
     words, waiting = [], 0
     for part in text.replace(" ", MARK).split(MARK):
         waiting += 1
@@ -290,7 +300,9 @@ def parity(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
             texts = [t or "" for t in part.column(at).to_pylist()]
             ids = tool.encode(texts)
             trip = [a == b for a, b in zip(texts, tool.decode([i.tolist() for i in ids]))]
-            columns = [*part.columns, _lists(ids), pa.array(trip, pa.bool_()), pa.array(tool.agreed(texts), pa.bool_())]
+            # Every word was compared as it became known; without a difference no text needs another look.
+            same = tool.agreed(texts) if tool.odd or not tool.by_word else [True] * len(texts)
+            columns = [*part.columns, _lists(ids), pa.array(trip, pa.bool_()), pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "ids", "round_trip", "same"])
 
     return kept.mapInArrow(run, widened(kept, ids=ArrayType(IntegerType()), round_trip="boolean", same="boolean"))
