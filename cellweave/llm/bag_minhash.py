@@ -140,6 +140,24 @@ def content_of(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-8")))
 
 
+def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` whose id is that of their class, so one document of each class, with all columns.
+
+    Of equal rows one stays; rows without an id all stay, and so do different texts with one id that names their class.
+    """
+    named = _rows(docs, similarity)
+    away = named.filter(F.col("doc_id") != F.col("class_id")).select("doc_id", "node")
+    kept = docs.withColumn("_node", content_of(F.col("text")))
+    away = saved(away.distinct(), "bag-away").select(F.col("doc_id").alias("_id"), F.col("node").alias("_away"))
+    kept = kept.join(
+        broadcast_if_small(away), (F.col("_node") == F.col("_away")) & (F.col("doc_id") == F.col("_id")), "left_anti"
+    )
+    if not named.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        unnamed = kept.filter("doc_id IS NULL")
+        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_node"]).unionByName(unnamed)
+    return kept.drop("_node")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id`` and ``class_id``, the least id among its near duplicates, for each row of ``docs`` (``doc_id``, ``text``).
 
@@ -147,6 +165,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     connect. A text without words is in a class with equal texts only. Rows
     without an id take their place in classes, whose id is NULL if none has one.
     """
+    return _rows(docs, similarity).select("doc_id", "class_id")
+
+
+def _rows(docs: DataFrame, similarity: float) -> DataFrame:
+    """``doc_id``, ``node`` and ``class_id`` of each row."""
     named = docs.select("doc_id", content_of(F.col("text")).alias("node"), "text")
     signed = saved(signatures(named).drop("text"), "bag-signatures")
     nodes = saved(signed.groupBy("node").agg(F.min("doc_id").alias("least")), "bag-nodes")

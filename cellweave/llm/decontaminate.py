@@ -92,41 +92,46 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     words have no windows; items without an id mark words, but are not listed.
     Equal rows give equal results; other columns are left out.
     """
+    counted = docs.select(_row(), "doc_id", word_count(F.col("text")).alias("n_words"))
+    result = broadcast_if_small(_contaminated(docs, items, window))
+    return counted.join(result, "_row", "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that hold no window of ``items``, with all columns."""
+    result = _contaminated(docs, items, window).select("_row")
+    return docs.withColumn("_row", _row()).join(broadcast_if_small(result), "_row", "left_anti").drop("_row")
+
+
+def _row() -> Column:
+    return F.xxhash64("doc_id", "text").alias("_row")
+
+
+def _contaminated(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """``_row``, ``hits`` and ``items`` of the rows with hits."""
     windows = saved(item_windows(items, window), "passages")
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())
-    row = F.xxhash64("doc_id", "text").alias("_row")
-    texts = docs.select(row, "doc_id", "text")
-    words = docs.select(row, words_of(F.col("text")).alias("_w"))
-    found = [_met(words, windows.filter(F.col("n") == n), n) for n in lengths]
-    if not found:
-        none = F.array()
-        return texts.select(
-            "doc_id",
-            word_count(F.col("text")).alias("n_words"),
-            none.cast("array<int>").alias("hits"),
-            none.cast("array<string>").alias("items"),
-        )
-    met = found[0]
-    for more in found[1:]:
-        met = met.unionByName(more)
+    words = docs.select(_row(), words_of(F.col("text")).alias("_w"))
+    met = docs.sparkSession.createDataFrame([], "_row long, start int, n int, passage string")
+    for n in lengths:
+        met = met.unionByName(_met(words, windows.filter(F.col("n") == n), n))
     met = saved(met.distinct(), "passage-hits")
     per_row = met.groupBy("_row").agg(F.collect_set(F.struct("start", "n", "passage")).alias("_met"))
     sure = saved(_extended(per_row, words), "passage-matches")
-    places = F.array_sort(F.array_distinct(F.flatten(F.transform("_sure", lambda m: F.sequence(m["start"], m["start"] + m["n"] - 1)))))
+    covered = F.transform("_sure", lambda m: F.sequence(m["start"], m["start"] + m["n"] - 1))
+    places = F.array_sort(F.array_distinct(F.flatten(covered)))
     listed = (
         sure.select("_row", F.explode(F.array_distinct(F.transform("_sure", lambda m: m["passage"]))).alias("passage"))
         .join(broadcast_if_small(windows.select("passage", "item_id").distinct()), "passage")
         .groupBy("_row")
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
-    result = saved(sure.select("_row", places.alias("hits")).join(listed, "_row", "left"), "passage-rows")
-    counted = texts.select("_row", "doc_id", word_count(F.col("text")).alias("n_words"))
-    return counted.join(broadcast_if_small(result), "_row", "left").select(
-        "doc_id",
-        "n_words",
-        F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-    )
+    return saved(sure.select("_row", places.alias("hits")).join(listed, "_row", "left"), "passage-rows")
 
 
 def _met(words: DataFrame, windows: DataFrame, n: int) -> DataFrame:

@@ -70,7 +70,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def class_ids(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc_id`` and ``class_id`` for ``rows`` (``doc_id``, ``node``).
+    """``rows`` (``doc_id``, ``node``) with ``class_id``.
 
     ``nodes`` has the ``least`` id of each node. A class is a node with all that links
     connect to it; its id is the least of their ids.
@@ -83,4 +83,4 @@ def class_ids(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
     of_node = members.join(broadcast_if_small(many), "root", "left").select(
         "node", F.coalesce("shared", "least").alias("class_id")
     )
-    return rows.join(saved(of_node, "classes"), "node").select("doc_id", "class_id")
+    return rows.join(saved(of_node, "classes"), "node").select("doc_id", "node", "class_id")

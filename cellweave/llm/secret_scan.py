@@ -139,6 +139,26 @@ def findings(files: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES)
 
     Spans are ordered by start, then by the order of ``rules``, then by end.
     """
+    rows = files.select("path", blob_of(F.col("content")).alias("blob"))
+    return rows.join(broadcast_if_small(_by_blob(ledger, rules)), "blob", "left").select(
+        "path", "blob", F.coalesce("spans", _no_spans()).alias("spans")
+    )
+
+
+def redacted(docs: DataFrame, ledger: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """``docs`` with every finding in ``text`` replaced, and all other columns and texts as they are."""
+    columns = [redact(F.col(text), F.coalesce("_spans", _no_spans())).alias(c) if c == text else c for c in docs.columns]
+    found = _by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    rows = docs.withColumn("_name", blob_of(F.col(text)))
+    return rows.join(broadcast_if_small(found), F.col("_name") == F.col("_blob"), "left").select(columns)
+
+
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<rule:string,start:int,end:int>>")
+
+
+def _by_blob(ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``blob`` and ``spans`` of the blobs in which ``rules`` found something."""
     order = F.map_from_arrays(
         F.array(*(F.lit(f"{r.name}@{r.version}") for r in rules)), F.array(*(F.lit(i) for i in range(len(rules))))
     )
@@ -148,16 +168,9 @@ def findings(files: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES)
         .select("blob", "rule", "_rank", F.explode("spans").alias("_s"))
     )
     spans = F.array_sort(F.collect_list(F.struct("_s.start", "_rank", "_s.end", "rule")))
+    plain = lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end"))
     per_blob = single.groupBy("blob").agg(spans.alias("_spans"))
-    per_blob = saved(
-        per_blob.select("blob", F.transform("_spans", lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans")),
-        "secret-findings",
-    )
-    rows = files.select("path", blob_of(F.col("content")).alias("blob"))
-    none = F.array().cast("array<struct<rule:string,start:int,end:int>>")
-    return rows.join(broadcast_if_small(per_blob), "blob", "left").select(
-        "path", "blob", F.coalesce("spans", none).alias("spans")
-    )
+    return saved(per_blob.select("blob", F.transform("_spans", plain).alias("spans")), "secret-findings")
 
 
 def listed(spans: Column) -> Column:

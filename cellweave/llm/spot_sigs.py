@@ -180,4 +180,4 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return both.select("node", "leader", F.when(fits, likeness(F.col("a"), F.col("b"))).otherwise(0.0).alias("overlap"))
 
     links = linked(saved(rows, "spot-index"), judge, similarity)
-    return class_ids(signed.select("doc_id", "node"), nodes, links)
+    return class_ids(signed.select("doc_id", "node"), nodes, links).select("doc_id", "class_id")
