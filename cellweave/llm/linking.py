@@ -11,39 +11,55 @@ from cellweave.llm.shared import saved
 from cellweave.plans.skew import broadcast_if_small
 
 
-def linked(rows: DataFrame, judge: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+Judge = Callable[[DataFrame], DataFrame]
+
+
+def linked(
+    rows: DataFrame, judge: Judge, similarity: float, finer: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Pairs (``node``, ``leader``) of similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
 
     ``judge`` adds ``overlap`` to pairs. In the first turn all nodes of a bucket are
     judged against one of them, which is one pair a node: the node that meets
     most others over all buckets, such as the text that a group was copied from.
-    Those below ``similarity`` go on without it against 4 leaders, then 16 and so on,
-    until no bucket has two nodes left. So pairs grow with the nodes, times the
-    turns; a link is missed only where, in every bucket that its nodes share,
+    Those below ``similarity`` go on without it; ``finer`` may deal such nodes
+    (a table of ``node``) into buckets in which less similar nodes rarely meet. They are
+    judged against one leader a bucket, then 4, then 16 and so on, until no bucket has two nodes
+    left. A link is missed only where, in every bucket that its nodes share,
     one of them had found a leader that the other is too far from.
     """
+    found, rest = _turn(_ranked(rows), judge, similarity, 1)
+    leaders_each = 4
+    if finer is not None and not rest.isEmpty():
+        rest, leaders_each = _ranked(saved(finer(rest.select("node").distinct()), "link-finer")), 1
+    while not rest.isEmpty():
+        links, rest = _turn(rest, judge, similarity, leaders_each)
+        found = found.unionByName(links)
+        leaders_each *= 4
+    return found
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with two nodes or more, with ``degree``: how many its node meets over all buckets."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     rows = saved(rows.join(sizes, "bucket"), "link-rows")
     degrees = rows.groupBy("node").agg(F.sum("size").alias("degree"))
-    rows = saved(rows.drop("size").join(degrees, "node"), "link-rows")
-    found, leaders_each = None, 1
-    while True:
-        share = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
-        leaders = rows.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("degree", "node")).alias("top"))
-        leaders = saved(leaders.select("bucket", F.col("top.node").alias("leader")), "link-leaders")
-        met = saved(rows.join(leaders, "bucket").filter("node != leader"), "link-met")
-        pairs = met.select("node", "leader").distinct()
-        judged = saved(judge(pairs), "link-pairs")
-        links = judged.filter(F.col("overlap") >= similarity).select("node", "leader")
-        found = links if found is None else found.unionByName(links)
-        settled = met.join(broadcast_if_small(links), ["node", "leader"], "left_semi").select("bucket", "node")
-        settled = settled.unionByName(leaders.withColumnRenamed("leader", "node"))
-        rows = rows.join(broadcast_if_small(saved(settled.distinct(), "link-settled")), ["bucket", "node"], "left_anti")
-        many = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
-        rows = saved(rows.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows")
-        if rows.isEmpty():
-            return found
-        leaders_each *= 4
+    return saved(rows.drop("size").join(degrees, "node"), "link-rows")
+
+
+def _turn(rows: DataFrame, judge: Judge, similarity: float, leaders_each: int) -> tuple[DataFrame, DataFrame]:
+    """The links to leaders, and the rows of nodes that neither lead nor found one in a bucket."""
+    share = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
+    leaders = rows.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("degree", "node")).alias("top"))
+    leaders = saved(leaders.select("bucket", F.col("top.node").alias("leader")), "link-leaders")
+    met = saved(rows.join(leaders, "bucket").filter("node != leader"), "link-met")
+    judged = saved(judge(met.select("node", "leader").distinct()), "link-pairs")
+    links = judged.filter(F.col("overlap") >= similarity).select("node", "leader")
+    settled = met.join(broadcast_if_small(links), ["node", "leader"], "left_semi").select("bucket", "node")
+    settled = saved(settled.unionByName(leaders.withColumnRenamed("leader", "node")).distinct(), "link-settled")
+    rest = rows.join(broadcast_if_small(settled), ["bucket", "node"], "left_anti")
+    many = rest.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
+    return links, saved(rest.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows")
 
 
 def components(links: DataFrame) -> DataFrame:
