@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, spot_sigs, suffix_tree_lm, toxicity, url_filter
+from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, spot_sigs, suffix_dedup, suffix_tree_lm, toxicity, url_filter
 from cellweave.llm.shared import saved, sha256_hex
 from cellweave.plans.inputs import table
 from cellweave.session import ship_package
@@ -31,6 +31,17 @@ def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, whether they decode to it, and whether the sentencepiece library agrees on both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -130,6 +141,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_lm": op1_suffix_tree_lm,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_piece_codec": op3_piece_codec,
     "op4_decontaminate": op4_decontaminate,
     "op5_spot_sigs": op5_spot_sigs,

@@ -26,7 +26,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     if len(_powers.get("up", ())) < n:
         size = max(n, CHUNK + 1024)
@@ -42,7 +42,7 @@ def token_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(buffer, np.uint8)
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    up, down = _power(len(data) + 1)
+    up, down = powers(len(data) + 1)
     blank = SPACE[data]
     edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
