@@ -31,6 +31,7 @@ TOP = 3
 SAMPLE = 2_500
 EPOCHS, BATCH, RATE = 8, 64, 0.1
 CACHE = 400_000
+BLOCK = 20_000  # words whose n-grams are made together
 # The log odds of a text without words, before the bias.
 NO_WORDS = -4.0
 
@@ -80,11 +81,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         return Model(np.zeros(ROWS, np.float32), 4.0 if share > 0.5 else -4.0)
     vocabulary: dict[str, int] = {}
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], np.int64) for t in texts]
-    parts = list(grams(list(vocabulary)))
-    owner = np.concatenate([o for _, o in parts]) if parts else np.zeros(0, np.int64)
-    order = np.argsort(owner, kind="stable")
-    flat = np.concatenate([r for r, _ in parts])[order] if parts else owner
-    bounds = np.searchsorted(owner[order], np.arange(len(vocabulary) + 1))
+    flat, bounds = _rows_of(list(vocabulary))
     sizes = np.diff(bounds)
     random = np.random.default_rng(seed)
     embed = random.normal(0, 0.1, (ROWS, DIM)).astype(np.float32)
@@ -136,6 +133,16 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     return Model((embed @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
+def _rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed rows of all words, one word after another, and where each word's begin; worked on in blocks."""
+    flat, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for at in range(0, len(words), BLOCK):
+        rows, owner = (np.concatenate(part) for part in zip(*grams(words[at : at + BLOCK])))
+        flat.append(rows[np.argsort(owner, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(owner))
+    return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
+
+
 def _word_scores(flat: np.ndarray, bounds: np.ndarray, weight: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0.0], np.cumsum(weight[flat], dtype=np.float64)])
     return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(np.diff(bounds), 1)
