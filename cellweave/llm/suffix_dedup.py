@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.shared import saved
-from cellweave.llm.tokens import CHUNK, mix, powers
+from cellweave.llm.tokens import mix, powers
 
 LENGTH = 50
 HALF = LENGTH // 2
 # Suffixes of one bucket, about; a bucket is sorted in one task's memory.
-BUCKET_ROWS = 1_500_000
+BUCKET_ROWS = 500_000
+# Bytes of text that are worked on together.
+PIECE = 1 << 18
 # Segments as short as this are left to numpy's sort.
 SHORT = 1 << 15
 # Suffixes for one anchor, about.
@@ -38,17 +40,17 @@ _VALUE = np.random.default_rng(50_025).integers(1, 2**63, 256).astype(np.uint64)
 DECIDED, OPEN, EDGE = 0, 1, 2
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Bytes of about CHUNK together, and of each part: its text's number, its place there, and its end in the bytes.
+def _pieces(texts: list[str | None], size_each: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Bytes of about ``size_each`` together, and of each part: its text's number, its place there, and its end in the bytes.
 
     A longer text comes in parts that share LENGTH - 1 bytes, so each of its suffixes starts in one part.
     """
     held, size = [], 0
     for i, text in enumerate(texts):
         raw = (text or "").encode("utf-8", "surrogatepass")
-        for at in range(0, len(raw) - LENGTH + 1, CHUNK):
-            part = raw[at : at + CHUNK + LENGTH - 1]
-            if held and size + len(part) > 2 * CHUNK:
+        for at in range(0, len(raw) - LENGTH + 1, size_each):
+            part = raw[at : at + size_each + LENGTH - 1]
+            if held and size + len(part) > 2 * size_each:
                 yield _joined(held)
                 held, size = [], 0
             held.append((part, i, at))
@@ -62,9 +64,9 @@ def _joined(held: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, np.ndarray,
     return data, np.array([i for _, i, _ in held]), np.array([a for _, _, a in held]), np.cumsum([len(p) for p, _, _ in held])
 
 
-def suffixes(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+def suffixes(texts: list[str | None], size_each: int = PIECE) -> Iterator[tuple[np.ndarray, ...]]:
     """Of every suffix of LENGTH bytes and more: text, place, both tokens, and its anchor's code and place in the bytes."""
-    for data, text, offset, ends in _pieces(texts):
+    for data, text, offset, ends in _pieces(texts, size_each):
         up, down = powers(len(data) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * up[: len(data)], dtype=np.uint64)])
         code = mix((sums[HALF:] - sums[:-HALF]) * down[: len(data) - HALF + 1])

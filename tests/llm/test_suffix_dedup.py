@@ -67,12 +67,22 @@ def test_odd_rows(spark):
     assert run(spark, docs) == plain(docs)
 
 
-def test_long_text(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
+def test_long_text(spark):
     rng = random.Random(3)
-    long = "".join(rng.choice("abcdefgh ") for _ in range(20_000))
+    long = "".join(rng.choice("abcdefgh ") for _ in range(600_000))
     docs = [(1, long[700:9_000]), (2, long), (3, long[:1100] + "-" + long[1100:])]
-    assert run(spark, docs) == plain(docs)
+    got = {r[0]: r[1:4] for r in run(spark, docs)}
+    assert got == {1: (8_300, 0, 0), 2: (600_000, 8_300, 1), 3: (600_001, 600_000, 2)}
+
+
+def test_parts_hold_the_same_suffixes():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abé ") for _ in range(rng.choice([0, 40, 60, 500, 3_000]))) for _ in range(40)] + [None, ""]
+
+    def every(size):
+        return sorted(row for part in suffix_dedup.suffixes(texts, size) for row in zip(*(c.tolist() for c in part[:5])))
+
+    assert every(100) == every(1 << 20)
 
 
 def test_empty(spark):
