@@ -77,9 +77,10 @@ def delete_cells(cell_rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def delete_families(cell_rows: DataFrame, keys: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Drop whole families of rows."""
-    tagged = cell_rows.withColumn("_row_family", F.to_json(F.struct("row_key", "family")))
-    doomed = keys.select(F.to_json(F.struct("row_key", "family")).alias("_row_family")).distinct()
+    """Drop whole families of rows; keys may be any bytes."""
+    row_family = F.concat(F.hex("row_key"), F.lit(":"), F.hex("family")).alias("_row_family")
+    tagged = cell_rows.select("*", row_family)
+    doomed = keys.select(row_family).distinct()
     if hot is None:
         hot = hot_keys(tagged, "_row_family")
     return lookup_join(tagged, doomed, "_row_family", "left_anti", hot).select(*cell_rows.columns)

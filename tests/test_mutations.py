@@ -140,3 +140,11 @@ def test_hot_keys_finds_heavy_keys_only(spark):
     found = hot_keys(df, "k", min_rows=100)
     assert found.keys == ("hot",) and found.rows == 400
     assert not hot_keys(df.filter("k <> 'hot'"), "k", min_rows=100)
+
+
+def test_delete_families_tells_bytes_apart(spark):
+    rows = [(bytes([b]), "f", "q", "1", 1, 1) for b in (0x80, 0xFF)]
+    cells = spark.createDataFrame(rows, "row_key binary, family string, qualifier string, value string, ts long, seq long")
+    keys = spark.createDataFrame([(b"\xff", "f")], "row_key binary, family string")
+    left = m.delete_families(cells, keys).collect()
+    assert [bytes(r["row_key"]) for r in left] == [b"\x80"]
