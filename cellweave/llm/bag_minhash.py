@@ -9,7 +9,8 @@ time by which all slots are surely filled are never drawn.
 
 Signatures are cut into bands. Texts that share a band are compared, all
 with a leader among them, exactly: by multiset overlap. Those that differ from it
-meet again among themselves, until none are left. Connected texts form a class.
+meet again among themselves, until none are left; then all that share a band and are not
+connected yet meet, but for those that exact bounds part. Connected texts form a class.
 """
 
 from __future__ import annotations
@@ -198,7 +199,8 @@ def _rows(docs: DataFrame, similarity: float) -> DataFrame:
         )
         return rows.select("node", F.explode(buckets).alias("bucket")).distinct()
 
-    links = linked(open_rows, lambda pairs: _overlaps(pairs, texts), similarity, finer)
+    sizes = signed.select("node", F.col("shingles").alias("size")).dropDuplicates(["node"])
+    links = linked(open_rows, lambda pairs: _overlaps(pairs, texts), similarity, sizes, finer)
     return class_ids(signed.select("doc_id", "node"), nodes, links)
 
 

@@ -14,29 +14,87 @@ from cellweave.plans.skew import broadcast_if_small
 Judge = Callable[[DataFrame], DataFrame]
 
 
+# Nodes of a bucket that meet in one cell of a join, at most about, on either side.
+CELL = 256
+
+
 def linked(
-    rows: DataFrame, judge: Judge, similarity: float, finer: Callable[[DataFrame], DataFrame] | None = None
+    rows: DataFrame,
+    judge: Judge,
+    similarity: float,
+    sizes: DataFrame,
+    finer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Pairs (``node``, ``leader``) of similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
 
-    ``judge`` adds ``overlap`` to pairs. In the first turn all nodes of a bucket are
+    ``judge`` adds ``overlap``, the exact Jaccard similarity, to pairs; ``sizes`` has the ``size`` of each ``node``'s
+    bag. In the first turn all nodes of a bucket are
     judged against one of them, which is one pair a node: the node that meets
     most others over all buckets, such as the text that a group was copied from.
     Those below ``similarity`` go on without it; ``finer`` may deal such nodes
     (a table of ``node``) into buckets in which less similar nodes rarely meet. They are
     judged against one leader a bucket, then 4, then 16 and so on, until no bucket has two nodes
-    left. A link is missed only where, in every bucket that its nodes share,
-    one of them had found a leader that the other is too far from.
+    left. At last all nodes of a bucket of ``rows`` that the links so far leave unconnected are
+    judged, but for those that exact bounds part, so the links connect all that similar pairs within buckets connect.
     """
-    found, rest = _turn(_ranked(rows), judge, similarity, 1)
+    found, rest, near = _turn(_ranked(rows), judge, similarity, 1)
+    near = saved(near, "link-near")
     leaders_each = 4
     if finer is not None and not rest.isEmpty():
         rest, leaders_each = _ranked(saved(finer(rest.select("node").distinct()), "link-finer")), 1
     while not rest.isEmpty():
-        links, rest = _turn(rest, judge, similarity, leaders_each)
+        links, rest, _ = _turn(rest, judge, similarity, leaders_each)
         found = found.unionByName(links)
         leaders_each *= 4
-    return found
+    pairs = saved(_unconnected(near, components(found), sizes, similarity), "link-unconnected")
+    judged = saved(judge(pairs), "link-pairs")
+    return found.unionByName(judged.filter(F.col("overlap") >= similarity).select("node", "leader"))
+
+
+def _unconnected(near: DataFrame, root: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes that share a bucket of ``near`` (``bucket``, ``node``, ``near``) and no ``root``, and may be similar.
+
+    One less the similarity is a metric, so two nodes whose similarities (``near``) to their bucket's leader are further apart
+    are not similar; nor are bags whose sizes differ too much. Large buckets are cut into cells.
+    """
+    rows = near.join(broadcast_if_small(root), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = saved(rows.join(sizes, "node"), "link-roots")
+    roots = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    buckets = roots.groupBy("bucket").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")
+    )
+    # Each pair has a node outside of the bucket's largest group.
+    cells = lambda n: F.ceil(n / CELL).cast("int")
+    buckets = buckets.filter("roots > 1").select(
+        "bucket",
+        F.col("most.root").alias("main"),
+        cells(F.col("all") - F.col("most.n")).alias("outer_cells"),
+        cells(F.col("all")).alias("cells"),
+    )
+    rows = saved(rows.join(broadcast_if_small(buckets), "bucket"), "link-open")
+    own = F.xxhash64("node", F.lit(1))
+    one = rows.filter("root != main").select(
+        "bucket", "node", "root", "near", "size",
+        F.pmod(own, "outer_cells").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("j"),
+    )
+    other = rows.select(
+        "bucket",
+        F.col("node").alias("leader"),
+        F.col("root").alias("_root"),
+        F.col("near").alias("_near"),
+        F.col("size").alias("_size"),
+        (F.col("root") != F.col("main")).alias("_outer"),
+        F.explode(F.sequence(F.lit(0), F.col("outer_cells") - 1)).alias("i"),
+        F.pmod(own, "cells").cast("int").alias("j"),
+    )
+    both = one.join(other, ["bucket", "i", "j"]).filter(
+        (F.col("root") != F.col("_root"))
+        & (~F.col("_outer") | (F.col("node") < F.col("leader")))
+        & (F.abs(F.col("near") - F.col("_near")) <= 1 - similarity + 1e-9)
+        & (F.least("size", "_size") >= similarity * F.greatest("size", "_size") - 1e-9)
+    )
+    return both.select(F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -47,8 +105,8 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return saved(rows.drop("size").join(degrees, "node"), "link-rows")
 
 
-def _turn(rows: DataFrame, judge: Judge, similarity: float, leaders_each: int) -> tuple[DataFrame, DataFrame]:
-    """The links to leaders, and the rows of nodes that neither lead nor found one in a bucket."""
+def _turn(rows: DataFrame, judge: Judge, similarity: float, leaders_each: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The links to leaders, the rows of nodes that neither lead nor found one in a bucket, and how ``near`` all are to leaders."""
     share = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
     leaders = rows.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("degree", "node")).alias("top"))
     leaders = saved(leaders.select("bucket", F.col("top.node").alias("leader")), "link-leaders")
@@ -59,7 +117,9 @@ def _turn(rows: DataFrame, judge: Judge, similarity: float, leaders_each: int) -
     settled = saved(settled.unionByName(leaders.withColumnRenamed("leader", "node")).distinct(), "link-settled")
     rest = rows.join(broadcast_if_small(settled), ["bucket", "node"], "left_anti")
     many = rest.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
-    return links, saved(rest.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows")
+    near = met.join(judged, ["node", "leader"]).select("bucket", "node", F.col("overlap").alias("near"))
+    near = near.unionByName(leaders.select("bucket", F.col("leader").alias("node"), F.lit(1.0).alias("near")))
+    return links, saved(rest.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows"), near
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -176,8 +176,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         mine = sets.select("node", F.col("signs").alias("a"))
         theirs = sets.select(F.col("node").alias("leader"), F.col("signs").alias("b"))
         both = pairs.join(mine, "node").join(theirs, "leader")
-        fits = F.least(F.size("a"), F.size("b")) >= similarity * F.greatest(F.size("a"), F.size("b"))
-        return both.select("node", "leader", F.when(fits, likeness(F.col("a"), F.col("b"))).otherwise(0.0).alias("overlap"))
+        return both.select("node", "leader", likeness(F.col("a"), F.col("b")).alias("overlap"))
 
-    links = linked(saved(rows, "spot-index"), judge, similarity)
+    links = linked(saved(rows, "spot-index"), judge, similarity, sets.select("node", F.size("signs").alias("size")))
     return class_ids(signed.select("doc_id", "node"), nodes, links).select("doc_id", "class_id")

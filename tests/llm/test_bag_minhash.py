@@ -124,3 +124,33 @@ def test_query(spark, folder, given):
     rows = [(r["doc_id"], r["text"]) for r in given("documents").collect()]
     got = queries.queries()["op10_bag_minhash"](spark, folder).collect()
     assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr) == plain(rows)
+
+
+def test_second_edits_beside_a_large_star(spark):
+    """A is near its source D; B is an edit of A, near A and not D. D leads where A and B meet."""
+    _, rng, word = texts(9, 1)
+    base = [word() + str(i) for i in range(300)]
+    rows = [(1000 + i, " ".join(base + [f"tail{i}"])) for i in range(60)]
+    for i in range(24):
+        own = list(base)
+        own[20] = f"first{i}"
+        rows.append((2000 + i, " ".join(own)))
+        for k in range(6):
+            own[45 + 40 * k] = f"second{i}x{k}"
+        rows.append((3000 + i, " ".join(own)))
+    by = dict(rows)
+    far = [overlap(by[3000 + i], by[1000]) for i in range(24)]
+    assert max(far) < 0.8 <= min(overlap(by[3000 + i], by[2000 + i]) for i in range(24))
+    assert run(spark, rows) == plain(rows)
+
+
+def test_links_of_settled_nodes(spark):
+    """In the one bucket of all, b is too far from its leader d, and near a, which d settles."""
+    from cellweave.llm import linking
+
+    near = {frozenset("ad"): 0.96, frozenset("ab"): 0.818, frozenset("bd"): 0.786}
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("d", 1), ("d", 2), ("e", 2), ("d", 3), ("e", 3)], "node string, bucket int")
+    sizes = rows.select("node").distinct().selectExpr("node", "100 AS size")
+    table = spark.createDataFrame([(x, y, near.get(frozenset(x + y), 0.9)) for x in "abde" for y in "abde"], "node string, leader string, overlap double")
+    links = linking.linked(rows, lambda pairs: pairs.join(table, ["node", "leader"]), 0.8, sizes)
+    assert frozenset("ab") in {frozenset((r["node"], r["leader"])) for r in links.collect()}
