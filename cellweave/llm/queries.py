@@ -9,7 +9,21 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bag_minhash, chat_format, decontaminate, piece_codec, secret_scan, spot_sigs, suffix_dedup, suffix_tree_lm, toxicity, url_filter
+from cellweave.llm import (
+    bag_minhash,
+    chat_format,
+    conversation_repair,
+    decontaminate,
+    piece_codec,
+    quality_ranking,
+    secret_scan,
+    source_divergence,
+    spot_sigs,
+    suffix_dedup,
+    suffix_tree_lm,
+    toxicity,
+    url_filter,
+)
 from cellweave.llm.shared import saved, sha256_hex
 from cellweave.plans.inputs import table
 from cellweave.session import ship_package
@@ -139,6 +153,147 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults put in by a checksum of their place; NULL reads as one space."""
+    blank = F.lit(" ")
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))
+    kind = F.crc32(place.cast("binary")) % 20
+    text, role = (F.coalesce(F.col(c), blank) for c in ("text", "role"))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged(turns)
+    planned = saved(conversation_repair.plans(conversation_repair.signatures(rows)), "repair-plans")
+    report = conversation_repair.digests(rows, planned)
+    # Conversations of which no row is left.
+    lost = turns.select("conv_id").distinct().join(planned.select(F.col("conv_id").alias("found")), F.col("conv_id").eqNullSafe(F.col("found")), "left_anti")
+    nothing = {"audit": F.lit(""), "repaired_sha256": sha256_hex(F.lit(""))}
+    return report.unionByName(lost.select("conv_id", *(nothing.get(f.name, F.lit(0)).cast(f.dataType).alias(f.name) for f in report.schema.fields[1:])))
+
+
+# CRC-32 bit by bit; the cheapest path of each conversation, row by row, for the four states of the grammar. A path is its
+# cost in nine digits with its audit, so that the least text is the cheapest path and of equal ones the least audit.
+def _repair_sql() -> str:
+    def then(path: str, cost: int, edit: str, line: str = "") -> str:
+        key = f"lpad(CAST(CAST(left({path}.k, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({path}.k, 10) || '{edit}'"
+        text = f"{path}.t || [{line}]" if line else f"{path}.t"
+        return f"CASE WHEN {path} IS NOT NULL THEN {{'k': {key}, 't': {text}}} END"
+
+    def inserted(source: str) -> str:
+        """Before a row, or at the end: up to two empty turns."""
+        user = ", ".join(["u", *(then(p, 3, "I", "'user:'") for p in ("z", "s", "a"))])
+        first = f"SELECT *, least({user}) AS u1 FROM {source}"
+        return f"(SELECT * REPLACE (u1 AS u, least(a, {then('u1', 3, 'I', repr('assistant:'))}) AS a) FROM ({first}))"
+
+    def moved(names: str, role: str, kept: str) -> str:
+        paths = []
+        for p in names:
+            if kept:
+                paths.append(f"CASE WHEN live AND initial = '{kept}' THEN {then(p, 0, 'K', 'line')} END")
+            if role:
+                paths.append(f"CASE WHEN live THEN {then(p, 3, 'R', f"'{role}:' || text")} END")
+        return ", ".join(paths)
+
+    deleted = {p: then(p, 4, "D") for p in "zsua"}
+    return f"""
+WITH RECURSIVE place AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS s FROM conversations),
+kinds AS (
+  SELECT *, xor(4294967295, list_reduce(list_transform(s, lambda c: CAST(ascii(c) AS BIGINT)), lambda h, b: list_reduce(
+    range(8), lambda g, i: CASE WHEN (g & 1) = 1 THEN xor(g >> 1, 3988292384) ELSE g >> 1 END, xor(h, b)), CAST(4294967295 AS BIGINT))) % 20 AS kind FROM place),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+numbered AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+marked AS (
+  SELECT *, shown = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM numbered),
+turns AS (
+  SELECT conv_id, i, initial, role || ':' || text AS line, text, NOT blank AND NOT again AS live,
+    CASE WHEN blank OR again OR right(shown, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS cut,
+    blank, again AND NOT blank AS again, coalesce(illegal, false) AS illegal, turn FROM marked),
+paths AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'k': '000000000', 't': CAST([] AS VARCHAR[])}} AS z,
+    CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS s, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS u, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS a
+  FROM (SELECT DISTINCT conv_id FROM turns)
+  UNION ALL
+  SELECT conv_id, i, z, {", ".join(f"CASE WHEN {p} IS NOT NULL THEN {{'k': lpad(CAST(CAST(left({p}.k, 9) AS INT) + CASE WHEN right({p}.k, 1) = 'D' THEN 0 ELSE cut END AS VARCHAR), 9, '0') || substr({p}.k, 10), 't': {p}.t}} END AS {p}" for p in "sua")}
+  FROM (
+    SELECT conv_id, i, cut, {deleted["z"]} AS z, least({deleted["s"]}, {moved("z", "", "s")}) AS s,
+      least({deleted["u"]}, {moved("zsa", "user", "u")}) AS u, least({deleted["a"]}, {moved("u", "assistant", "a")}) AS a
+    FROM (SELECT p.conv_id, t.i, t.cut, t.live, t.initial, t.line, t.text, z, s, u, a
+      FROM {inserted("paths")} p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1))),
+ends AS (
+  SELECT conv_id, least(z, a) AS best FROM {inserted("paths")} p
+  WHERE i = (SELECT max(t.i) FROM turns t WHERE t.conv_id IS NOT DISTINCT FROM p.conv_id)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(again) AS duplicate,
+    count_if(cut > 0) AS truncated, count_if(illegal) AS illegal FROM turns GROUP BY conv_id)
+SELECT o.conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+  CAST(coalesce(CAST(left(best.k, 9) AS INT), 0) AS BIGINT) AS cost, coalesce(substr(best.k, 10), '') AS audit,
+  sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+OP11_SQL = _repair_sql()
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+v AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+vs AS (SELECT lang, count(*) AS vocabulary FROM v GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN v USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+gs AS (SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2)) // (coalesce(size, 0) + 2 * vocabulary) AS p
+  FROM g JOIN v USING (lang) JOIN vs USING (lang) LEFT JOIN gs USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+q AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * vocabulary) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN vs USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)), 0) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+  UNION ALL
+  SELECT a.lang, a.source, b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.lang NOT IN (SELECT lang FROM vs)),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op13_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_ranking.fit(docs, table(spark, sf_dir, "labels").filter(~held_out(5, 0)))
+    scored = quality_ranking.score(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= quality_ranking.THRESHOLD).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_lm": op1_suffix_tree_lm,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -150,8 +305,15 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
     "op10_bag_minhash": op10_bag_minhash,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_quality_ranking": op13_quality_ranking,
+}
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": OP4_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
-ORACLES: dict[str, str] = {"op4_decontaminate": OP4_SQL}
 
 
 def _shipped(query: Query) -> Query:
