@@ -182,7 +182,7 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 # CRC-32 bit by bit; the cheapest path of each conversation, row by row, for the four states of the grammar. A path is its
 # cost in nine digits with its audit, so that the least text is the cheapest path and of equal ones the least audit.
 def _repair_sql() -> str:
-    def then(path: str, cost: int, edit: str, line: str = "") -> str:
+    def then(path: str, cost: int | str, edit: str, line: str = "") -> str:
         key = f"lpad(CAST(CAST(left({path}.k, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({path}.k, 10) || '{edit}'"
         text = f"{path}.t || [{line}]" if line else f"{path}.t"
         return f"CASE WHEN {path} IS NOT NULL THEN {{'k': {key}, 't': {text}}} END"
@@ -197,9 +197,9 @@ def _repair_sql() -> str:
         paths = []
         for p in names:
             if kept:
-                paths.append(f"CASE WHEN live AND initial = '{kept}' THEN {then(p, 0, 'K', 'line')} END")
+                paths.append(f"CASE WHEN live AND initial = '{kept}' THEN {then(p, 'cut', 'K', 'line')} END")
             if role:
-                paths.append(f"CASE WHEN live THEN {then(p, 3, 'R', f"'{role}:' || text")} END")
+                paths.append(f"CASE WHEN live THEN {then(p, '3 + cut', 'R', f"'{role}:' || text")} END")
         return ", ".join(paths)
 
     deleted = {p: then(p, 4, "D") for p in "zsua"}
@@ -229,12 +229,10 @@ paths AS (
     CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS s, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS u, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS a
   FROM (SELECT DISTINCT conv_id FROM turns)
   UNION ALL
-  SELECT conv_id, i, z, {", ".join(f"CASE WHEN {p} IS NOT NULL THEN {{'k': lpad(CAST(CAST(left({p}.k, 9) AS INT) + CASE WHEN right({p}.k, 1) = 'D' THEN 0 ELSE cut END AS VARCHAR), 9, '0') || substr({p}.k, 10), 't': {p}.t}} END AS {p}" for p in "sua")}
-  FROM (
-    SELECT conv_id, i, cut, {deleted["z"]} AS z, least({deleted["s"]}, {moved("z", "", "s")}) AS s,
-      least({deleted["u"]}, {moved("zsa", "user", "u")}) AS u, least({deleted["a"]}, {moved("u", "assistant", "a")}) AS a
-    FROM (SELECT p.conv_id, t.i, t.cut, t.live, t.initial, t.line, t.text, z, s, u, a
-      FROM {inserted("paths")} p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1))),
+  SELECT conv_id, i, {deleted["z"]} AS z, least({deleted["s"]}, {moved("z", "", "s")}) AS s,
+    least({deleted["u"]}, {moved("zsa", "user", "u")}) AS u, least({deleted["a"]}, {moved("u", "assistant", "a")}) AS a
+  FROM (SELECT p.conv_id, t.i, t.cut, t.live, t.initial, t.line, t.text, z, s, u, a
+    FROM {inserted("paths")} p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1)),
 ends AS (
   SELECT conv_id, least(z, a) AS best FROM {inserted("paths")} p
   WHERE i = (SELECT max(t.i) FROM turns t WHERE t.conv_id IS NOT DISTINCT FROM p.conv_id)),
