@@ -7,12 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.plans.skew import HOT_ROWS, HotKeys, hot_keys
+from cellweave.plans.skew import HotKeys, hot_keys
 from cellweave.schema import CELL_KEY
-
-# Cells per scanned row before the row is handed out in parts.
-ROW_BATCH = 100_000
-_PART_STRIDE = 1 << 32
+from cellweave.session import scratch_path
 
 
 def position() -> Column:
@@ -81,48 +78,155 @@ def scan(
 
 def to_rows(
     cell_rows: DataFrame,
-    batch: int = ROW_BATCH,
+    versions: int | None = 1,
+    batch: int | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """One ``(row_key, part, cells)`` per row, cells ordered by family and qualifier.
+    """One ``(row_key, cells)`` per row, cells ordered by family and qualifier.
+
+    Of each cell the newest ``versions`` are handed out, newest first; None
+    takes all there are. Cells are (family, qualifier, value) where one version
+    is asked for, and carry ``ts`` and ``seq`` otherwise.
 
-    A row with more than ``batch`` cells comes as several parts, so no array
-    grows without bound. Heavy rows are dealt over several tasks by cell; their
-    parts hold all cells between them, each part ordered in itself.
+    With ``batch`` a row comes as ``(row_key, part, cells)`` with ``batch`` cells
+    in every part but its last, numbered in key order.
+
+    A heavy row is cut into consecutive ranges of its cells, each put in order
+    by a task of its own, and the ranges are strung together; the records are
+    the same as those of a light row. Without ``batch`` a row is one value and
+    has to fit into a task.
     """
     if hot is None:
-        hot = hot_keys(cell_rows, "row_key", min_rows=max(batch, HOT_ROWS))
-    if hot:
-        share = max(1, -(-hot.rows // hot.min_rows))
-        lane = F.when(
-            hot.hit(F.col("row_key")), F.pmod(F.xxhash64("family", "qualifier"), F.lit(share))
-        ).otherwise(F.lit(0))
+        hot = hot_keys(cell_rows, "row_key")
+    light = cell_rows.filter(~hot.hit(F.col("row_key"))) if hot else cell_rows
+    rows = _light_rows(light, versions)
+    if batch:
+        last = F.floor((F.size("cells") - 1) / F.lit(batch)).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("cells", i * batch + 1, batch))
+        rows = rows.select("row_key", F.posexplode(cut).alias("part", "cells")).withColumn(
+            "part", F.col("part").cast("long")
+        )
+    if not hot:
+        return rows
+    heavy = _heavy_rows(cell_rows.filter(hot.hit(F.col("row_key"))), versions, batch, hot)
+    return rows.unionByName(heavy)
+
+
+def _ranked() -> Column:
+    """A version with its place: by family and qualifier, and the newest first."""
+    return F.struct(
+        "family",
+        "qualifier",
+        F.bitwise_not(F.unix_micros("ts")).alias("_older"),
+        F.bitwise_not("seq").alias("_earlier"),
+        "value",
+        "ts",
+        "seq",
+    )
+
+
+def _shown(cell: Column, versions: int | None) -> Column:
+    names = ["family", "qualifier", "value"] + ([] if versions == 1 else ["ts", "seq"])
+    return F.struct(*[cell[name].alias(name) for name in names])
+
+
+def _light_rows(cell_rows: DataFrame, versions: int | None) -> DataFrame:
+    """Rows by one shuffle; versions are chosen in the sorted row, which is no larger than a light row may be."""
+    rows = cell_rows.groupBy("row_key").agg(F.array_sort(F.collect_list(_ranked())).alias("_all"))
+    if versions is None:
+        kept = F.col("_all")
     else:
-        lane = F.lit(0)
-    lanes = ["row_key", "_lane"] if hot else ["row_key"]
-    tagged = cell_rows.withColumn("_lane", lane.cast("long"))
-    within = Window.partitionBy(*lanes).orderBy("family", "qualifier")
-    number = (F.row_number().over(within) - 1).cast("long")
-    part = F.col("_lane") * _PART_STRIDE + F.floor(number / batch)
-    return (
-        tagged.withColumn("part", part)
-        .groupBy(*lanes, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("family", "qualifier", "value"))).alias("cells"))
-        .select("row_key", "part", "cells")
+
+        def is_new(cell: Column, i: Column) -> Column:
+            before = F.get("_all", i - versions)
+            same = (before["family"] == cell["family"]) & (before["qualifier"] == cell["qualifier"])
+            return F.when(i < versions, True).otherwise(~same)
+
+        kept = F.filter("_all", is_new)
+    return rows.select("row_key", F.transform(kept, lambda c: _shown(c, versions)).alias("cells"))
+
+
+def _heavy_rows(
+    cell_rows: DataFrame, versions: int | None, batch: int | None, hot: HotKeys
+) -> DataFrame:
+    """Heavy rows from ranges of their cells.
+
+    Versions combine in each task before they travel. The ranges are written to
+    the shared folder, so that their bounds are drawn once.
+    """
+    if versions == 1:
+        chosen = latest(cell_rows)
+    elif versions is None:
+        chosen = cell_rows
+    else:
+        chosen = last_versions(cell_rows, versions)
+    spark = cell_rows.sparkSession
+    ranges = max(2, 2 * -(-hot.rows // hot.min_rows))
+    place = ["row_key", "family", "qualifier", F.desc("ts"), F.desc("seq")]
+    sliced = (
+        chosen.select(*CELL_KEY, "value", "ts", "seq")
+        .repartitionByRange(ranges, *place)
+        .withColumn("slice", F.spark_partition_id())
+    )
+    path = scratch_path(spark, "row-ranges")
+    sliced.write.parquet(path)
+    stored = spark.read.schema(sliced.schema).parquet(path)
+    runs = stored.groupBy("row_key", "slice").agg(F.array_sort(F.collect_list(_ranked())).alias("_all"))
+    runs = runs.select(
+        "row_key", "slice", F.transform("_all", lambda c: _shown(c, versions)).alias("cells")
     )
+    if not batch:
+        return _strung(runs, ["row_key"])
+    before = Window.partitionBy("row_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("row_key", "slice").agg(F.count("*").alias("n"))
+    offsets = sizes.select(
+        "row_key", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset")
+    )
+    # A range holds the end of one row and the start of the next, so there are no more
+    # offsets than ranges and heavy rows together.
+    placed = runs.join(F.broadcast(offsets), ["row_key", "slice"])
+    end = F.col("_offset") + F.size("cells") - 1
+    parts = F.sequence(F.floor(F.col("_offset") / batch), F.floor(end / batch))
+
+    def piece(part: Column) -> Column:
+        first = F.greatest(part * batch - F.col("_offset"), F.lit(0))
+        stop = (part + 1) * batch - F.col("_offset")
+        cells = F.slice("cells", (first + 1).cast("int"), F.least(stop - first, F.lit(batch)).cast("int"))
+        return F.struct(part.alias("part"), cells.alias("cells"))
+
+    cut = placed.select("row_key", "slice", F.inline(F.transform(parts, piece)))
+    return _strung(cut, ["row_key", "part"])
+
+
+def _strung(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Runs of cells one after the other, in the order of their slices."""
+    in_order = F.array_sort(F.collect_list(F.struct("slice", "cells")))
+    whole = F.flatten(F.transform(F.col("_runs"), lambda r: r["cells"]))
+    return runs.groupBy(*keys).agg(in_order.alias("_runs")).select(*keys, whole.alias("cells"))
 
 
 def to_maps(rows: DataFrame) -> DataFrame:
-    """Rows as ``MAP<family, MAP<qualifier, value>>`` in column ``families``."""
+    """Rows as ``MAP<family, MAP<qualifier, value>>`` in column ``families``.
+
+    Of a cell with several versions the first in ``cells`` counts, which is the newest.
+    """
 
     def one_family(family: Column) -> Column:
         of_family = F.filter("cells", lambda c: c["family"] == family)
-        entries = F.transform(of_family, lambda c: F.struct(c["qualifier"], c["value"]))
+        newest = F.filter(
+            of_family,
+            lambda c, i: (i == 0) | (F.get(of_family, i - 1)["qualifier"] != c["qualifier"]),
+        )
+        entries = F.transform(newest, lambda c: F.struct(c["qualifier"], c["value"]))
         return F.struct(family, F.map_from_entries(entries))
 
     names = F.array_distinct(F.transform("cells", lambda c: c["family"]))
     nested = F.map_from_entries(F.transform(names, one_family))
-    return rows.select("row_key", "part", nested.alias("families"))
+    return rows.select(*_keys(rows), nested.alias("families"))
+
+
+def _keys(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c in ("row_key", "part")]
 
 
 def map_value(families: Column, family: str, qualifier: str) -> Column:
@@ -131,7 +235,7 @@ def map_value(families: Column, family: str, qualifier: str) -> Column:
 
 
 def map_rows(rows: DataFrame, *columns: Column) -> DataFrame:
-    """A scan with a row function: ``columns`` are expressions over row_key, part and cells."""
+    """A scan with a row function: ``columns`` are expressions over row_key and cells."""
     return rows.select(*columns)
 
 
@@ -151,7 +255,7 @@ def project(cell_rows: DataFrame, columns: Mapping[str, tuple[str, str]]) -> Dat
 
 def render(rows: DataFrame) -> DataFrame:
     """Key and row as strings, the row as a JSON array of its cells."""
-    return rows.select("row_key", "part", F.to_json("cells").alias("value"))
+    return rows.select(*_keys(rows), F.to_json("cells").alias("value"))
 
 
 def _is_cell(family: str, qualifier: str) -> Column:

@@ -74,6 +74,53 @@ def scan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_rows(customer_cells(spark, sf_dir)).select("row_key", _as_text().alias("cells"))
 
 
+def _times(cell_array: str = "cells") -> Column:
+    each = F.transform(
+        cell_array,
+        lambda c: F.concat(c["qualifier"], F.lit("="), c["value"], F.lit("@"), c["seq"].cast("string")),
+    )
+    return F.array_join(each, ";")
+
+
+def _wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as cells with many versions: a row a user, and all views and clicks in one heavy row."""
+    events = table(spark, sf_dir, "events")
+    busy = F.col("event_type").isin("view", "click")
+    return cells(
+        events,
+        row_key=F.when(busy, F.lit("busy")).otherwise(F.col("user_id").cast("string")),
+        family=F.when(busy, F.col("event_type")).otherwise(F.lit("events")),
+        qualifier=F.when(busy, F.col("user_id").cast("string")).otherwise(F.col("event_type")),
+        value=F.get_json_object("props", "$.k"),
+        ts=F.col("ts").cast("timestamp"),
+        seq=F.col("event_id"),
+    )
+
+
+def scan_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the two newest versions of every cell, the heavy row put together from ranges."""
+    found = _wide_events(spark, sf_dir)
+    rows = to_rows(found, versions=2, hot=weighed(found, "row_key"))
+    return rows.select("row_key", _times().alias("cells"))
+
+
+def scan_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest view of a table with many versions, as rows and as maps."""
+    found = _wide_events(spark, sf_dir)
+    rows = to_rows(found, hot=weighed(found, "row_key"))
+    maps = to_maps(rows).select(F.col("row_key").alias("_row"), F.map_keys("families").alias("families"))
+    joined = rows.join(maps, F.col("row_key") == F.col("_row"))
+    families = F.array_join(F.array_sort("families"), ",")
+    return joined.select("row_key", _as_text().alias("cells"), families.alias("families"))
+
+
+def scan_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of every row in parts of a hundred cells."""
+    found = _wide_events(spark, sf_dir)
+    rows = to_rows(found, versions=None, batch=100, hot=weighed(found, "row_key"))
+    return rows.select("row_key", "part", _times().alias("cells"))
+
+
 def scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scan of two named columns in different families."""
     found = scan(
@@ -146,6 +193,9 @@ QUERIES = {
     "cells_as_of": cells_as_of,
     "scan_range": scan_range,
     "scan_rows": scan_rows,
+    "scan_versions": scan_versions,
+    "scan_latest": scan_latest,
+    "scan_parts": scan_parts,
     "scan_columns": scan_columns,
     "scan_row_function": scan_row_function,
     "row_maps": row_maps,
@@ -177,6 +227,18 @@ def _rows(where: str = "true") -> str:
     FROM ({_CELLS}) WHERE {where} GROUP BY row_key"""
 
 
+# Versions of the wide events: n counts those of a cell from the newest, place all of a row.
+_WIDE = """
+    SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier, n) AS place
+    FROM (SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS n
+          FROM (SELECT CASE WHEN busy THEN 'busy' ELSE CAST(user_id AS VARCHAR) END AS row_key,
+                       CASE WHEN busy THEN event_type ELSE 'events' END AS family,
+                       CASE WHEN busy THEN CAST(user_id AS VARCHAR) ELSE event_type END AS qualifier,
+                       json_extract_string(props, '$.k') AS value, ts, event_id AS seq
+                FROM (SELECT *, event_type IN ('view', 'click') AS busy FROM events)))"""
+_VERSION = "string_agg(qualifier || '=' || value || '@' || seq, ';' ORDER BY place) AS cells"
+
+
 def _get(key: str) -> str:
     return f"""
     SELECT o_orderkey, row_key, c_name AS name, c_mktsegment AS segment,
@@ -196,6 +258,13 @@ ORACLES = {
     "cells_as_of": _LATEST.format("WHERE ts <= TIMESTAMP '2024-01-15'"),
     "scan_range": _rows("family = 'general' AND row_key >= '10' AND row_key < '20'"),
     "scan_rows": _rows(),
+    "scan_versions": f"SELECT row_key, {_VERSION} FROM ({_WIDE}) WHERE n <= 2 GROUP BY row_key",
+    "scan_latest": f"""
+    SELECT row_key, string_agg(family || ':' || qualifier || '=' || value, ';' ORDER BY place) AS cells,
+           array_to_string(list_sort(list(DISTINCT family)), ',') AS families
+    FROM ({_WIDE}) WHERE n = 1 GROUP BY row_key""",
+    "scan_parts": f"""
+    SELECT row_key, (place - 1) // 100 AS part, {_VERSION} FROM ({_WIDE}) GROUP BY row_key, part""",
     "scan_columns": _rows("qualifier IN ('segment', 'nation')"),
     "scan_row_function": f"""
     SELECT row_key, CAST(count(*) AS INTEGER) AS n_cells,

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import cells as c
@@ -74,16 +75,69 @@ def test_rows_are_ordered_and_whole(spark, at):
     assert got == sorted((f, q) for _, f, q, *_ in given)
 
 
-def test_wide_rows_come_in_parts(spark, at):
-    rnd = random.Random(3)
-    given = [(k, "f", f"{i:04d}", "v", 1, 0) for k, n in [("a", 95), ("b", 7)] for i in range(n)]
-    rnd.shuffle(given)
-    for hot in (NO_HOT_KEYS, HotKeys(("a",), 95, 20)):
-        rows = c.to_rows(versions(spark, at, given), batch=10, hot=hot).collect()
-        assert len({(r["row_key"], r["part"]) for r in rows}) == len(rows)
-        assert max(len(r["cells"]) for r in rows) <= 10
-        got = sorted((r["row_key"], x["qualifier"]) for r in rows for x in r["cells"])
-        assert got == sorted((k, q) for k, _, q, *_ in given)
+def random_versions(seed, at):
+    rnd = random.Random(seed)
+    given, used = [], set()
+    for k, n in [("a", 190), ("b", 9), ("c", 1), ("d", 150), ("é", 40)]:
+        for _ in range(n):
+            cell = (k, rnd.choice(["f", "", "gé"]), f"{rnd.randrange(n // 3 + 1):03d}"[rnd.randrange(3) :])
+            t, s = rnd.randrange(5), rnd.randrange(1000)
+            if (cell, t, s) not in used:
+                used.add((cell, t, s))
+                given.append((*cell, rnd.choice(["v", "", "w" * 9]), t, s))
+    return given
+
+
+def by_row(given, versions):
+    """Rows of (family, qualifier, value, ts, seq) in order, in plain Python."""
+    rows = {}
+    for r, f, q, v, t, s in sorted(given, key=lambda g: (g[0].encode(), g[1].encode(), g[2].encode(), -g[4], -g[5])):
+        own = rows.setdefault(r, [])
+        if versions is None or sum(x[:2] == (f, q) for x in own) < versions:
+            own.append((f, q, v, t, s))
+    return rows
+
+
+@pytest.mark.parametrize("versions", [1, 2, None])
+@pytest.mark.parametrize("batch", [None, 1, 10, 64])
+def test_heavy_rows_equal_light_rows(spark, at, versions, batch):
+    given = random_versions(4, at)
+    df = versions_of(spark, at, given).repartition(5)
+    want = by_row(given, versions)
+    for hot in (NO_HOT_KEYS, HotKeys(("a", "é"), 230, 40), HotKeys(("a", "b", "c", "d", "é", "none"), 390, 20)):
+        rows = c.to_rows(df, versions=versions, batch=batch, hot=hot).collect()
+        got = {}
+        for r in sorted(rows, key=lambda r: r["part"] if batch else 0):
+            own = got.setdefault(r["row_key"], [])
+            if batch:
+                assert r["part"] * batch == len(own) and len(r["cells"]) <= batch
+            else:
+                assert not own
+            own += [tuple(x) for x in r["cells"]]
+        if versions == 1:
+            assert got == {k: [x[:3] for x in own] for k, own in want.items()}
+        else:
+            assert got == {k: [(*x[:3], at(x[3]), x[4]) for x in own] for k, own in want.items()}
+
+
+versions_of = versions
+
+
+def test_a_table_put_twice_has_one_version_a_cell(spark, at):
+    df = versions(spark, at, [("a", "f", "q", "1", 1, 0), ("a", "f", "q", "2", 2, 0), ("a", "f", "p", "3", 1, 0)])
+    for hot in (NO_HOT_KEYS, HotKeys(("a",), 3, 1)):
+        (row,) = c.to_rows(df, hot=hot).collect()
+        assert [tuple(x) for x in row["cells"]] == [("f", "p", "3"), ("f", "q", "2")]
+        for wanted in (1, 2, None):
+            (row,) = c.to_maps(c.to_rows(df, versions=wanted, hot=hot)).collect()
+            assert row["families"] == {"f": {"p": "3", "q": "2"}}
+
+
+def test_light_rows_cost_one_shuffle(spark, at):
+    df = versions(spark, at, [("a", "f", "q", "1", 1, 0)])
+    for wanted in (1, 3, None):
+        plan = c.to_rows(df, versions=wanted, hot=NO_HOT_KEYS)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
 
 
 def test_maps_and_missing_cells(spark, at):

@@ -148,3 +148,11 @@ def test_delete_families_tells_bytes_apart(spark):
     keys = spark.createDataFrame([(b"\xff", "f")], "row_key binary, family string")
     left = m.delete_families(cells, keys).collect()
     assert [bytes(r["row_key"]) for r in left] == [b"\x80"]
+
+
+def test_increment_meets_the_newest_version(spark, at):
+    cells = spark.createDataFrame([("a", "f", "n", v, at(t), 0) for v, t in [("1", 1), ("5", 3), ("2", 2)]], CELL)
+    deltas = spark.createDataFrame([("a", "f", "n", "increment", None, 10, at(4), 0)], MUTATION)
+    assert [(r["value"], r["ts"]) for r in m.increment(cells, deltas).collect()] == [("15", at(4))]
+    plan = m.increment(cells, deltas)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
