@@ -32,6 +32,7 @@ from cellweave.schema import (
     DELETE_CELL,
     DELETE_FAMILY,
     DELETE_ROW,
+    MUTATION,
     PUT,
     conform,
     mutations,
@@ -81,11 +82,13 @@ def check_and_mutate(
     return Checked(decided, apply(cell_rows, ops, ARRIVAL_ORDER, hot))
 
 
-def applied_mutations(decided: DataFrame) -> DataFrame:
-    """The mutations of the operations whose check held."""
-    return mutations(
-        decided.filter("applied").select("row_key", "ts", "seq", F.inline("changes"))
-    )
+def applied_mutations(decided: DataFrame, *more: str) -> DataFrame:
+    """The mutations of the operations whose check held, with ``more`` columns of theirs."""
+    changes = decided.filter("applied").select("row_key", "ts", "seq", *more, F.inline("changes"))
+    if not more:
+        return mutations(changes)
+    kept = T.StructType([*MUTATION, *[changes.schema[name] for name in more]])
+    return conform(changes, kept)
 
 
 def decide_single(cell_rows: DataFrame, checks: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ from cellweave.plans.inputs import (
     table,
 )
 from cellweave.plans.mutation_queries import FUNNEL_CELLS, TOMBSTONES, mix_sql
+from cellweave.plans.mutation_queries import ORACLES as MUTATION_ORACLES
 from cellweave.plans.skew import spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
@@ -86,7 +87,8 @@ def stream_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.select("row_key", F.col("value").cast("long").alias("score"))
 
 
-def stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _checked(spark: SparkSession, sf_dir: str) -> MutationTable:
+    """Run the events as a stream of conditional operations into a new table."""
     folder = scratch(spark, "stream")
     stored = MutationTable(spark, f"{folder}/table", ARRIVAL_ORDER)
 
@@ -94,7 +96,17 @@ def stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stream_checks(stream, stored, f"{folder}/checkpoint", event_checks)
 
     arriving_events(spark, sf_dir, folder, start)
-    return stored.cells().select(*CELL_TEXT)
+    return stored
+
+
+def stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked(spark, sf_dir).cells().select(*CELL_TEXT)
+
+
+def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which operations of the stream applied."""
+    decided = _checked(spark, sf_dir).decisions()
+    return decided.select(F.col("seq").alias("event_id"), "applied")
 
 
 def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,6 +304,7 @@ QUERIES = {
     "stream_delete": stream_delete,
     "stream_mixed": stream_mixed,
     "stream_check": stream_check,
+    "stream_decisions": stream_decisions,
     "stream_get": stream_lookup,
     "stream_join": stream_join,
     "stream_ingest": stream_ingest,
@@ -322,6 +335,7 @@ ORACLES = {
     "stream_delete": TOMBSTONES,
     "stream_mixed": mix_sql("CAST(user_id AS VARCHAR)"),
     "stream_check": FUNNEL_CELLS,
+    "stream_decisions": MUTATION_ORACLES["cas_decisions"],
     "stream_get": _LOOKUP,
     "stream_join": _LOOKUP,
     "stream_ingest": TEXT_ORACLES["ingest_messages"],

@@ -15,10 +15,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from cellweave.operators.conditional import applied_mutations, decide
 from cellweave.operators.lookup import bulk_get
 from cellweave.operators.partitions import Resource, foreach_partition
 from cellweave.schema import checks, mutations
+from cellweave.streaming.keyed import decide_stream, first_cells, keyed_state
 from cellweave.streaming.table import MutationTable
 
 ToOps = Callable[[DataFrame], DataFrame]
@@ -63,19 +63,17 @@ def stream_checks(
 ) -> StreamingQuery:
     """Check-and-put and check-and-delete against the table as earlier batches left it.
 
-    The table must use ``ARRIVAL_ORDER``. A batch that runs again does not see
-    its own outcome, and decides the same.
+    The table must use ``ARRIVAL_ORDER``, and no one else may write to it: once
+    the stream has begun, its state is what operations are checked against. Each
+    batch leaves its decisions, and the mutations that applied. A batch that
+    runs again starts from the state before it, and decides the same.
     """
+    spark = stream.sparkSession
+    cells = first_cells(spark, checkpoint, lambda: table.cells())
+    decided = decide_stream(to_checks(stream), cells)
 
-    def action(batch: DataFrame, batch_id: int) -> None:
-        ops = to_checks(batch).persist()
-        try:
-            present = table.cells(before=batch_id, rows_of=ops)
-            table.write(applied_mutations(decide(present, ops)), batch_id)
-        finally:
-            ops.unpersist()
-
-    return each_batch(stream, action, checkpoint, **trigger)
+    with keyed_state(spark):
+        return each_batch(decided, table.write_decisions, checkpoint, **trigger)
 
 
 def stream_get(

@@ -13,14 +13,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellweave.operators.conditional import applied_mutations
 from cellweave.operators.mutations import EVENT_ORDER, compact, resolve, weigh
 from cellweave.plans.skew import keep_keys
-from cellweave.schema import MUTATION, MUTATION_COLUMNS, record, require_families
+from cellweave.schema import CHECK, MUTATION, MUTATION_COLUMNS, record, require_families
 
 _LOGGED = T.StructType([*MUTATION, *record(batch_id=T.LongType())])
+_DECIDED = T.StructType([*CHECK, *record(applied=T.BooleanType(), batch_id=T.LongType())])
 _DONE = record(upto=T.LongType(), path=T.StringType())
 
 
+def _require_changed_families(allowed: Sequence[str]) -> Column:
+    """The changes of an operation; one that names an unknown family fails the job."""
+    odd = F.filter(
+        F.filter("changes", lambda c: c["family"].isNotNull()), lambda c: ~c["family"].isin(list(allowed))
+    )
+    message = F.concat(F.lit("unknown column family: "), F.get(odd, 0)["family"])
+    return F.when(F.size(odd) > 0, F.raise_error(message).cast(CHECK["changes"].dataType)).otherwise(
+        F.col("changes")
+    )
+
+
 class MutationTable:
     """``order`` is the total order that mutations take effect in.
 
@@ -48,12 +61,26 @@ class MutationTable:
             f"{self.path}/log/batch_id={batch_id}"
         )
 
+    def write_decisions(self, decided: DataFrame, batch_id: int) -> None:
+        """Store one batch of conditional operations, of which those that applied are mutations; the same batch again takes its place."""
+        if self.families is not None:
+            decided = decided.withColumn("changes", _require_changed_families(self.families))
+        decided.select(*_DECIDED.fieldNames()[:-1]).write.mode("overwrite").parquet(
+            f"{self.path}/decisions/batch_id={batch_id}"
+        )
+
+    def decisions(self) -> DataFrame:
+        """The conditional operations of all batches with ``applied`` and ``batch_id``."""
+        return self._read(f"{self.path}/decisions", _DECIDED)
+
     def history(self, before: int | None = None) -> DataFrame:
         """Mutations of all batches, or of those before a batch.
 
         Batches that a compaction covers are read from it.
         """
-        log = self._read(f"{self.path}/log", _LOGGED)
+        log = self._read(f"{self.path}/log", _LOGGED).unionByName(
+            applied_mutations(self.decisions(), "batch_id")
+        )
         done = self._compacted(before)
         if done is not None:
             log = log.filter(F.col("batch_id") > done["upto"])

@@ -83,9 +83,49 @@ def test_stream_checks_equal_batch_checks(spark, tmp_path, at):
     table.write(spark.createDataFrame(start, MUTATION), -1)
     query = stream_checks(stream, table, f"{tmp_path}/cp", lambda df: df)
     query.awaitTermination()
+    cells, applied = sequential_checks(CELLS, ops)
+    assert result(table.cells()) == cells
+    assert {r["seq"]: r["applied"] for r in table.decisions().collect()} == applied
+    assert table.decisions().select("batch_id").distinct().count() == 3
+    again = table.decisions().filter("batch_id = 1").drop("batch_id")
+    table.write_decisions(spark.createDataFrame(again.collect(), again.schema), 1)
+    assert result(table.cells()) == cells
+    table.compact(1)
+    assert result(table.cells()) == cells
+
+
+def test_later_batches_of_checks_need_no_history(spark, tmp_path, at, monkeypatch):
+    """Started again, the stream goes on from its state: the table is not read, and an idle row costs nothing."""
+    ops = sorted(random_checks(17, 120, at, True), key=lambda o: (o[5], o[6]))
+    table = MutationTable(spark, f"{tmp_path}/t", ARRIVAL_ORDER)
+    start = [(*k, "put", v, None, at(0), 0) for k, v in CELLS.items()]
+    table.write(spark.createDataFrame(start, MUTATION), -1)
+    run = lambda: stream_checks(spark.readStream.schema(CHECK).parquet(f"{tmp_path}/in"), table, f"{tmp_path}/cp", lambda df: df)
+    spark.createDataFrame(ops[:60], CHECK).write.parquet(f"{tmp_path}/in")
+    run().awaitTermination()
+
+    def unread(*args):
+        raise AssertionError("the history was read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(MutationTable, "history", unread)
+        spark.createDataFrame(ops[60:], CHECK).write.mode("append").parquet(f"{tmp_path}/in")
+        query = run()
+        query.awaitTermination()
+    rows = {o[0] for o in ops[60:]}
+    (state,) = query.lastProgress["stateOperators"]
+    assert state["numRowsUpdated"] <= 20 * len(rows)
     assert result(table.cells()) == sequential_checks(CELLS, ops)[0]
 
 
+def test_checks_that_name_an_unknown_family_stop_the_batch(spark, tmp_path, at):
+    ops = [("a", "f", "x", None, [("put", "h", "x", "1")], at(1), 0)]
+    stream = write_parts(spark, ops, CHECK, f"{tmp_path}/in", 1)
+    table = MutationTable(spark, f"{tmp_path}/t", ARRIVAL_ORDER, families=["f"])
+    with pytest.raises(StreamingQueryException, match="unknown column family: h"):
+        stream_checks(stream, table, f"{tmp_path}/cp", lambda df: df).awaitTermination()
+
+
 def test_restart_goes_on_after_a_transient_failure(spark, tmp_path, at):
     ops = random_ops(14, 90, at)
     stream = write_parts(spark, ops, MUTATION, f"{tmp_path}/in")
