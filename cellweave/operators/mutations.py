@@ -147,7 +147,8 @@ def compact(
 
     A cell's last put or delete is a reset; increments after it add to it. With
     ``tombstones`` the deletes stay, so that an older put that comes late is
-    still shadowed. ``order`` must end with ``ts, seq``.
+    still shadowed. ``order`` holds ``ts, seq``; what stands before them orders
+    batches, what stands after them breaks ties.
     """
     ops = ops.select(*dict.fromkeys([*MUTATION_COLUMNS, *order]))
     if hot is None:
@@ -194,7 +195,7 @@ def _compact_hot_rows(ops: DataFrame, order: Sequence[str], hot: HotKeys) -> Dat
     family_cuts = ops.filter(F.col("op") == DELETE_FAMILY).groupBy("row_key", "family").agg(
         F.max(at).alias("_family_cut")
     )
-    by_slice = [*CELL_KEY, *order[:-2], "slice"]
+    by_slice = [*CELL_KEY, *order[: order.index("ts")], "slice"]
     sliced = with_slice(ops, order_slices(ops, hot))
     # There is at most one row cut per heavy key, so that broadcast is bounded.
     # Family cuts are measured; where they are many, the repartition below leaves

@@ -106,8 +106,12 @@ def order_slices(ops: DataFrame, hot: HotKeys) -> Slices:
 
 
 def with_slice(df: DataFrame, slices: Slices) -> DataFrame:
-    """Add ``slice``, a number that grows with ``(ts, seq)``; binary search, JVM side."""
-    out = _bucket(df, F.unix_micros("ts"), slices.ts_cuts, "_ts_slice")
+    """Add ``slice``, a number that grows with ``(ts, seq)``; binary search, JVM side.
+
+    A NULL time comes first, as it does in that order.
+    """
+    micros = F.coalesce(F.unix_micros("ts").cast("double"), F.lit(float("-inf")))
+    out = _bucket(df, micros, slices.ts_cuts, "_ts_slice")
     if not slices.tied:
         return out.withColumn("slice", F.col("_ts_slice").cast("long")).drop("_ts_slice")
     out = _bucket(out, F.col("seq"), slices.seq_cuts, "_seq_slice")

@@ -39,6 +39,7 @@ from cellweave.plans.mutation_queries import ORACLES as MUTATION_ORACLES
 from cellweave.plans.skew import spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
+from cellweave.schema import DELETE_ROW, INCREMENT, PUT
 from cellweave.sources.events import message_puts, parse_messages, read_stream, sample, tracked
 from cellweave.streaming.sinks import (
     run_with_restarts,
@@ -87,6 +88,30 @@ def stream_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.select("row_key", F.col("value").cast("long").alias("score"))
 
 
+def stream_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table that a batch job and two streams at a time write: resets, deletes, and additions."""
+    folder = scratch(spark, "stream")
+    stored = MutationTable(spark, f"{folder}/table")
+    ops = event_mix(table(spark, sf_dir, "events"))
+    stored.write(ops.filter(F.col("op") == PUT), 0, writer="load")
+
+    def only(op: str):
+        return lambda batch: event_mix(batch).filter(F.col("op") == op)
+
+    def start(stream: DataFrame):
+        queries = [
+            stream_mutations(stream, stored, f"{folder}/checkpoint-{op}", only(op), writer=op)
+            for op in (DELETE_ROW, INCREMENT)
+        ]
+        queries[0].awaitTermination()
+        return queries[1]
+
+    arriving_events(spark, sf_dir, folder, start)
+    # Batches 0 and 1 of both streams and of the load are folded; the rest is read as it came.
+    stored.compact({"load": 0, DELETE_ROW: 1, INCREMENT: 1}, F.lit("2024-01-10").cast("timestamp"))
+    return stored.cells().select("row_key", F.col("value").cast("long").alias("score"))
+
+
 def _checked(spark: SparkSession, sf_dir: str) -> MutationTable:
     """Run the events as a stream of conditional operations into a new table."""
     folder = scratch(spark, "stream")
@@ -303,6 +328,7 @@ QUERIES = {
     "stream_increment": stream_increment,
     "stream_delete": stream_delete,
     "stream_mixed": stream_mixed,
+    "stream_two_writers": stream_two_writers,
     "stream_check": stream_check,
     "stream_decisions": stream_decisions,
     "stream_get": stream_lookup,
@@ -334,6 +360,7 @@ ORACLES = {
     FROM events GROUP BY user_id, event_type""",
     "stream_delete": TOMBSTONES,
     "stream_mixed": mix_sql("CAST(user_id AS VARCHAR)"),
+    "stream_two_writers": mix_sql("CAST(user_id AS VARCHAR)"),
     "stream_check": FUNNEL_CELLS,
     "stream_decisions": MUTATION_ORACLES["cas_decisions"],
     "stream_get": _LOOKUP,

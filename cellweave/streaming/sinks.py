@@ -19,7 +19,7 @@ from cellweave.operators.lookup import bulk_get
 from cellweave.operators.partitions import Resource, foreach_partition
 from cellweave.schema import checks, mutations
 from cellweave.streaming.keyed import decide_stream, first_cells, keyed_state
-from cellweave.streaming.table import MutationTable
+from cellweave.streaming.table import MAIN, MutationTable
 
 ToOps = Callable[[DataFrame], DataFrame]
 
@@ -40,16 +40,17 @@ def stream_mutations(
     table: MutationTable,
     checkpoint: str,
     to_ops: ToOps = mutations,
+    writer: str = MAIN,
     **trigger: Any,
 ) -> StreamingQuery:
     """Put, increment, delete or any mix: append each batch to the table's history.
 
     A batch costs one pass without a shuffle. Reading the table puts the
-    mutations in order.
+    mutations in order. Streams that share a table need a ``writer`` name each.
     """
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        table.write(to_ops(batch), batch_id)
+        table.write(to_ops(batch), batch_id, writer)
 
     return each_batch(stream, action, checkpoint, **trigger)
 

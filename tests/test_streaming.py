@@ -1,8 +1,11 @@
+import shutil
+
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from cellweave.operators.mutations import ARRIVAL_ORDER
+from cellweave.operators.mutations import ARRIVAL_ORDER, resolve
+from cellweave.plans.skew import NO_HOT_KEYS, HotKeys
 from cellweave.schema import CHECK, MUTATION
 from cellweave.streaming.sinks import run_with_restarts, stream_checks, stream_mutations
 from cellweave.streaming.table import MutationTable
@@ -34,7 +37,7 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path, at):
     want = sequential({}, ops)
     assert table.history().select("batch_id").distinct().count() == 3
     assert result(table.cells()) == want
-    again = table.history().filter("batch_id = 1").drop("batch_id").collect()
+    again = table.history().filter("batch_id = 1").drop("batch_id", "writer").collect()
     table.write(spark.createDataFrame(again, MUTATION), 1)
     assert result(table.cells()) == want
 
@@ -57,6 +60,73 @@ def test_compaction_and_later_batches(spark, tmp_path, at):
         table.compact(3)
 
 
+def test_writers_do_not_replace_each_other(spark, tmp_path, at):
+    """Three writers with the same batch numbers, replays and a compaction of some of them."""
+    ops = random_ops(21, 300, at)
+    table = MutationTable(spark, f"{tmp_path}/t")
+    names = ["a=b/c", "main", "7"]
+    for i, name in enumerate(names):
+        for batch in range(2):
+            part = [o for k, o in enumerate(ops) if k % 3 == i and k // 3 % 2 == batch]
+            table.write(spark.createDataFrame(part, MUTATION), batch, writer=name)
+    want = sequential({}, ops)
+    assert result(table.cells()) == want
+    assert {r["writer"] for r in table.history().select("writer").distinct().collect()} == set(names)
+    part = [o for k, o in enumerate(ops) if k % 3 == 1 and k // 3 % 2 == 0]
+    table.write(spark.createDataFrame(part, MUTATION), 0)
+    assert result(table.cells()) == want
+    horizon = F.lit(at(10**6)).cast("timestamp")
+    table.compact({"main": 0}, horizon)
+    assert result(table.cells()) == want
+    table.compact({"7": 1, "a=b/c": 0}, horizon)
+    assert result(table.cells()) == want
+    plan = table.history()._jdf.queryExecution().executedPlan().toString()
+    assert "writer#" in plan.split("PartitionFilters: [")[2].split("]")[0]
+    table.compact(1, horizon)
+    assert result(table.cells()) == want
+
+
+def test_equal_positions_of_two_writers_have_an_order(spark, tmp_path, at):
+    put = lambda v: spark.createDataFrame([("r", "f", "x", "put", v, None, at(1), 0)] * 1, MUTATION)
+    for names in (("a", "b"), ("b", "a")):
+        table = MutationTable(spark, f"{tmp_path}/{names[0]}")
+        for name in names:
+            table.write(put(name), 0, writer=name)
+        assert result(table.cells()) == {("r", "f", "x"): "b"}
+        table.compact(0, F.lit(at(5)).cast("timestamp"))
+        assert result(table.cells()) == {("r", "f", "x"): "b"}
+
+
+def test_a_moved_table_keeps_its_compactions(spark, tmp_path, at):
+    ops = sorted(random_ops(22, 90, at), key=lambda o: o[6])
+    table = MutationTable(spark, f"{tmp_path}/old")
+    for i in range(3):
+        table.write(spark.createDataFrame(ops[i * 30 : (i + 1) * 30], MUTATION), i)
+    table.compact(1, F.lit(at(10**6)).cast("timestamp"))
+    shutil.copytree(tmp_path / "old", tmp_path / "new")
+    shutil.rmtree(tmp_path / "old")
+    for batch in (0, 1):
+        shutil.rmtree(tmp_path / "new" / "log" / "writer=main" / f"batch_id={batch}")
+    moved = MutationTable(spark, f"{tmp_path}/new")
+    assert result(moved.cells()) == sequential({}, ops)
+    shutil.rmtree(tmp_path / "new" / "compacted")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        moved.cells()
+
+
+def test_mutations_without_a_time_come_first_and_stay(spark, tmp_path, at):
+    rows = [("r", "f", "n", "increment", None, 5, None, 2), ("r", "f", "n", "put", "1", None, None, 1), ("r", "f", "n", "increment", None, 7, at(1), 0)]
+    rows += [("s", "f", "n", "put", "old", None, None, 9), ("s", "f", "n", "put", "new", None, at(0), 0)]
+    for hot in (NO_HOT_KEYS, HotKeys(("r", "s"), 5, 2)):
+        assert result(resolve(spark.createDataFrame(rows, MUTATION), hot=hot)) == {("r", "f", "n"): "13", ("s", "f", "n"): "new"}
+    table = MutationTable(spark, f"{tmp_path}/t")
+    table.write(spark.createDataFrame(rows, MUTATION), 0)
+    want = {("r", "f", "n"): "13", ("s", "f", "n"): "new"}
+    assert result(table.cells()) == want
+    table.compact(0, F.lit(at(5)).cast("timestamp"))
+    assert result(table.cells()) == want
+
+
 def test_arrival_order_compaction(spark, tmp_path, at):
     table = MutationTable(spark, f"{tmp_path}/t", ARRIVAL_ORDER)
     put = lambda v, t: spark.createDataFrame([("a", "f", "x", "put", v, None, at(t), 0)], MUTATION)
@@ -87,7 +157,7 @@ def test_stream_checks_equal_batch_checks(spark, tmp_path, at):
     assert result(table.cells()) == cells
     assert {r["seq"]: r["applied"] for r in table.decisions().collect()} == applied
     assert table.decisions().select("batch_id").distinct().count() == 3
-    again = table.decisions().filter("batch_id = 1").drop("batch_id")
+    again = table.decisions().filter("batch_id = 1").drop("batch_id", "writer")
     table.write_decisions(spark.createDataFrame(again.collect(), again.schema), 1)
     assert result(table.cells()) == cells
     table.compact(1)
