@@ -9,7 +9,11 @@ A row that takes a large part of all operations is cut into slices of the
 order. Where its checked cells do not depend on each other, every slice is
 folded at once for all values its cell may have on entry, and a short chain
 over the slices finds the value each one really starts from. Where they do
-depend on each other, the slices take turns.
+depend on each other, a slice is folded for all cases of entry values that its
+operations tell apart, and a chain over the slices picks the case of each. Only rows
+with more checked cells, or slices with more cases, than a bound take turns slice by slice.
+
+Keys and values are compared as bytes, and need not be text.
 """
 
 from __future__ import annotations
@@ -58,6 +62,31 @@ _ENTRIES = record(
 )
 _OUT_ROWS = 50_000
 
+# Entangled rows with more checked cells, or with more cases in a slice, are decided in turn.
+MAX_CELLS = 64
+MAX_CASES = 4_096
+_NAMED = [("family", T.StringType()), ("qualifier", T.StringType())]
+_ASSIGNED = record(**dict(_NAMED), value=T.StringType())
+_CONDITION = record(**dict(_NAMED), equal=T.BooleanType(), value=T.StringType())
+_CASES = record(
+    row_key=T.StringType(),
+    slice=T.LongType(),
+    number=T.IntegerType(),
+    conditions=T.ArrayType(_CONDITION),
+    after=T.ArrayType(_ASSIGNED),
+)
+_OPENING = record(
+    row_key=T.StringType(),
+    slice=T.LongType(),
+    chk_family=T.StringType(),
+    chk_qualifier=T.StringType(),
+    expected=T.StringType(),
+)
+
+
+# As the folds see them.
+_PUT, _DELETE_CELL, _DELETE_ROW = (op.encode() for op in (PUT, DELETE_CELL, DELETE_ROW))
+
 
 class Checked(NamedTuple):
     """The operations with their ``applied`` flag, and the table after them."""
@@ -119,8 +148,14 @@ def decide(cell_rows: DataFrame, checks: DataFrame, hot: HotKeys | None = None)
     decided = _fold(start.filter(light), checks.filter(light), ["row_key"])
     if apart:
         decided = decided.unionByName(_decide_by_slice(*of(apart)))
-    if entangled:
-        decided = decided.unionByName(_decide_in_turn(*of(entangled)))
+    narrow = entangled.only(_narrow_rows(start.filter(entangled.hit(F.col("row_key"))))) if entangled else entangled
+    wide = entangled.without(narrow.keys)
+    if narrow:
+        by_case, rest = _decide_by_case(*of(narrow))
+        wide = entangled.only([*wide.keys, *rest])
+        decided = decided.unionByName(by_case)
+    if wide:
+        decided = decided.unionByName(_decide_in_turn(*of(wide)))
     return decided
 
 
@@ -179,10 +214,17 @@ def _run_checks(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 def _plain(values: pa.Array) -> list:
-    """Python values by way of NumPy, which is several times faster than ``to_pylist``."""
+    """Python values by way of NumPy, which is several times faster than ``to_pylist``; text as its bytes."""
+    if pa.types.is_string(values.type):
+        values = values.view(pa.binary())
     return values.to_numpy(zero_copy_only=False).tolist()
 
 
+def _text(values: list[bytes | None]) -> pa.Array:
+    """A text column from bytes, which need not be UTF-8."""
+    return pa.array(values, pa.binary()).view(pa.string())
+
+
 def _changes_by_row(changes: pa.ListArray) -> Callable[[int], list[tuple]]:
     """The changes of a row as tuples, from columns that are converted once per batch."""
     each = list(zip(*[_plain(values) for values in changes.values.flatten()]))
@@ -192,12 +234,12 @@ def _changes_by_row(changes: pa.ListArray) -> Callable[[int], list[tuple]]:
 
 def _change(state: dict, changes: list[tuple]) -> None:
     for op, family, qualifier, value in changes:
-        if op in (PUT, DELETE_CELL):
+        if op in (_PUT, _DELETE_CELL):
             if (family, qualifier) in state:
-                state[family, qualifier] = value if op == PUT else None
+                state[family, qualifier] = value if op == _PUT else None
         else:
             for cell in state:
-                if op == DELETE_ROW or cell[0] == family:
+                if op == _DELETE_ROW or cell[0] == family:
                     state[cell] = None
 
 
@@ -222,6 +264,188 @@ def _entangled_rows(heavy: DataFrame) -> list[str]:
     return [r["row_key"] for r in by_wide.union(by_cell).distinct().collect()]
 
 
+def _narrow_rows(start: DataFrame) -> list[str]:
+    """Heavy rows with few checked cells."""
+    counts = start.groupBy("row_key").count().filter(F.col("count") <= MAX_CELLS)
+    return [r["row_key"] for r in counts.collect()]
+
+
+def _decide_by_case(
+    start: DataFrame, checks: DataFrame, hot: HotKeys
+) -> tuple[DataFrame, list[str]]:
+    """Decisions on entangled rows with few checked cells, and the rows that have too many cases.
+
+    As many jobs for any number of slices: all slices are folded at once for all their cases,
+    one pass over the cases finds the state that each slice starts from, and all are folded again from there.
+    """
+    spark = checks.sparkSession
+    folder = scratch_path(spark, "cases")
+    sliced = with_slice(checks, order_slices(checks, hot))
+    sliced.write.parquet(f"{folder}/ops")
+    sliced = spark.read.schema(sliced.schema).parquet(f"{folder}/ops")
+    # Heavy rows are few and so are their cells, so this is small.
+    named = F.struct(F.col("chk_family").alias("family"), F.col("chk_qualifier").alias("qualifier"))
+    cells = start.groupBy("row_key").agg(F.collect_set(named).alias("_cells"))
+    by_slice = ["row_key", "slice"]
+    cases = (
+        sliced.join(F.broadcast(cells), "row_key")
+        .select(*by_slice, "ts", "seq", "chk_family", "chk_qualifier", "expected", _assignments().alias("after"))
+        .repartition(*by_slice)
+        .sortWithinPartitions(*by_slice, "ts", "seq")
+        .mapInArrow(_fold_cases, _CASES)
+    )
+    cases.write.parquet(f"{folder}/cases")
+    cases = spark.read.schema(_CASES).parquet(f"{folder}/cases")
+    rest = [r["row_key"] for r in cases.filter("number < 0").select("row_key").distinct().collect()]
+    kept = ~F.col("row_key").isin(rest) if rest else F.lit(True)
+    first = F.struct("chk_family", "chk_qualifier", F.col("expected").alias("value"))
+    assigned = F.collect_list(first).cast(_CASES["after"].dataType)
+    begin = start.groupBy("row_key").agg(assigned.alias("after"))
+    begin = conform(begin, _CASES, slice=F.lit(-1), number=F.lit(0))
+    opening = (
+        cases.unionByName(begin)
+        .filter(kept)
+        .repartition("row_key")
+        .sortWithinPartitions(*by_slice, "number")
+        .mapInArrow(_chain_cases, _OPENING)
+    )
+    return _fold(opening, sliced.filter(kept), by_slice), rest
+
+
+def _assignments() -> Column:
+    """What an operation does to the checked cells of its row, once it applies: cells and their values, NULL for absent."""
+    cells = F.col("_cells")
+
+    def each(change: Column) -> Column:
+        hit = F.filter(
+            cells,
+            lambda c: F.when(change["op"] == DELETE_ROW, True)
+            .when(change["op"] == DELETE_FAMILY, c["family"] == change["family"])
+            .otherwise((c["family"] == change["family"]) & (c["qualifier"] == change["qualifier"])),
+        )
+        value = F.when(change["op"] == PUT, change["value"])
+        return F.transform(hit, lambda c: F.struct(c["family"], c["qualifier"], value.alias("value")))
+
+    return F.flatten(F.transform("changes", each))
+
+
+def _fold_cases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per row and slice, the cases of entry values that its operations tell apart, and what each ends in."""
+    group, cases = None, None
+    names = ["row_key", "slice", "chk_family", "chk_qualifier", "expected"]
+    for batch in batches:
+        after_of = _changes_by_row(batch.column("after"))
+        for row, (*key, family, qualifier, expected) in enumerate(
+            zip(*[_plain(batch.column(n)) for n in names])
+        ):
+            if key != group:
+                if cases is not None:
+                    yield cases.emit(group)
+                group, cases = key, Cases()
+            cases.step((family, qualifier), expected, after_of(row))
+    if cases is not None:
+        yield cases.emit(group)
+
+
+class Cases:
+    """All that a run of operations may do, by the values that cells have before it.
+
+    ``groups`` holds, for each state that some case has led to, that state and the cases. A state
+    is what is known of the cells by now: their values, or for a cell never told, the values it has not.
+    A case is what the cells had on entry: their values, or the values they had not.
+    """
+
+    def __init__(self) -> None:
+        self.groups: dict = {}
+        self.count = 1
+        self._join({}, {}, [({}, {})])
+
+    def _join(self, values: dict, others: dict, cases: list) -> None:
+        key = (frozenset(values.items()), frozenset(others.items()))
+        self.groups.setdefault(key, (values, others, []))[2].extend(cases)
+
+    def step(self, cell: tuple, expected: bytes | None, after: list[tuple]) -> None:
+        if self.count > MAX_CASES:
+            return
+        if not any(self._may_apply(v, o, cell, expected) for v, o, _ in self.groups.values()):
+            return
+        before, self.groups = self.groups, {}
+        for values, others, cases in before.values():
+            if not self._may_apply(values, others, cell, expected):
+                self._join(values, others, cases)
+                continue
+            if cell not in values:
+                # Cases where the cell has another value stay apart; in the rest it is now known.
+                denied = others.get(cell, frozenset()) | {expected}
+                self._join(values, others | {cell: denied}, [(e, o | {cell: denied}) for e, o in cases])
+                values, others = values | {cell: expected}, {c: x for c, x in others.items() if c != cell}
+                cases = [(e | {cell: expected}, {c: x for c, x in o.items() if c != cell}) for e, o in cases]
+            changed = {(family, qualifier): value for family, qualifier, value in after}
+            unknown = {c: x for c, x in others.items() if c not in changed}
+            self._join(values | changed, unknown, cases)
+        self.count = sum(len(cases) for *_, cases in self.groups.values())
+
+    @staticmethod
+    def _may_apply(values: dict, others: dict, cell: tuple, expected: bytes | None) -> bool:
+        if cell in values:
+            return values[cell] == expected
+        return expected not in others.get(cell, ())
+
+    def emit(self, group: list) -> pa.RecordBatch:
+        if self.count > MAX_CASES:
+            rows = [(-1, [], [])]
+        else:
+            found = [(case, values) for values, _, cases in self.groups.values() for case in cases]
+            rows = [
+                (
+                    number,
+                    [(*c, True, v) for c, v in had.items()] + [(*c, False, v) for c, vs in had_not.items() for v in vs],
+                    [(*c, v) for c, v in values.items()],
+                )
+                for number, ((had, had_not), values) in enumerate(found)
+            ]
+        numbers, conditions, after = zip(*rows)
+        columns = [
+            _text([group[0]] * len(rows)),
+            pa.array([group[1]] * len(rows), pa.int64()),
+            pa.array(numbers, pa.int32()),
+            _structs(conditions, ["family", "qualifier", "equal", "value"]),
+            _structs(after, ["family", "qualifier", "value"]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, _CASES.fieldNames())
+
+
+def _structs(lists: Sequence[list[tuple]], names: list[str]) -> pa.Array:
+    flat = [item for items in lists for item in items]
+    fields = [
+        pa.array([item[i] for item in flat], pa.bool_()) if name == "equal" else _text([item[i] for item in flat])
+        for i, name in enumerate(names)
+    ]
+    offsets = [0]
+    for items in lists:
+        offsets.append(offsets[-1] + len(items))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names))
+
+
+def _chain_cases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walk each row's slices in order; give every slice the values of the checked cells that it starts from."""
+    row, state, before, at = None, {}, {}, None
+    for batch in batches:
+        conditions_of, after_of = (_changes_by_row(batch.column(n)) for n in ("conditions", "after"))
+        rows = []
+        for i, (key, number) in enumerate(zip(*[_plain(batch.column(n)) for n in ("row_key", "slice")])):
+            if number < 0:
+                row, state, at = key, {(f, q): v for f, q, v in after_of(i)}, None
+                continue
+            if number != at:
+                # The case that is met changes the state for the slices after this one.
+                at, before = number, dict(state)
+                rows.extend((row, number, *cell, value) for cell, value in before.items())
+            if all((before[f, q] == value) == equal for f, q, equal, value in conditions_of(i)):
+                state.update({(f, q): v for f, q, v in after_of(i)})
+        yield _batch(rows, _OPENING)
+
+
 def _decide_in_turn(start: DataFrame, checks: DataFrame, hot: HotKeys) -> DataFrame:
     """Fold the slices of entangled rows one after the other.
 
@@ -360,7 +584,14 @@ def _chain_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
-    columns = list(zip(*rows)) if rows else [()] * len(types)
-    arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-    return pa.RecordBatch.from_arrays(arrays, _ENTRIES.fieldNames())
+    return _batch(rows, _ENTRIES)
+
+
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32()}
+    arrays = [
+        _text(list(c)) if f.dataType == T.StringType() else pa.array(list(c), kinds[f.dataType])
+        for c, f in zip(columns, schema.fields)
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema.fieldNames())

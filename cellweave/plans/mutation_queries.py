@@ -155,6 +155,28 @@ def check_hot_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select(F.col("seq").alias("event_id"), "applied")
 
 
+def check_entangled_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events on one row whose two checked cells change each other, or go with the row."""
+    kind = F.col("event_type")
+    state = ("door", "state")
+    on_state = kind.isin("signup", "click", "error")
+    ops = checks(
+        table(spark, sf_dir, "events"),
+        row_key=F.lit("all"),
+        chk_family=F.lit("door"),
+        chk_qualifier=F.when(on_state, "state").otherwise("gate"),
+        expected=F.when(kind == "view", "open").when(kind == "click", "view").when(kind == "purchase", "shut").when(kind == "error", "purchase"),
+        changes=F.when(kind == "signup", F.array(put_change(*state, kind), put_change("door", "gate", F.lit("open"))))
+        .when(kind == "click", F.array(put_change("door", "gate", F.lit("shut")), put_change("door", "last", F.col("event_id"))))
+        .when(kind == "error", F.array(delete_change()))
+        .otherwise(F.array(put_change(*state, kind))),
+        ts=F.col("ts"),
+        seq=F.col("event_id"),
+    )
+    decided = decide(_no_cells(spark), ops, hot=weighed(ops, "row_key"))
+    return decided.select(F.col("seq").alias("event_id"), "applied")
+
+
 def check_and_put_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One check-and-put per customer: those of one segment get a new one."""
     ops = checks(
@@ -199,6 +221,7 @@ QUERIES = {
     "cas_funnel": check_funnel,
     "cas_decisions": check_decisions,
     "cas_hotkey": check_hot_row,
+    "cas_entangled_hot": check_entangled_row,
     "check_and_put": check_and_put_single,
     "check_and_delete": check_and_delete,
 }
@@ -315,6 +338,24 @@ ORACLES = {
     "cas_funnel": FUNNEL_CELLS,
     "cas_decisions": _decisions("CAST(user_id AS VARCHAR)"),
     "cas_hotkey": _decisions("'all'"),
+    "cas_entangled_hot": """
+    WITH folded AS (
+      SELECT list_reduce(
+        list({'kind': event_type, 'id': event_id, 'state': NULL::VARCHAR, 'gate': NULL::VARCHAR, 'ids': []::BIGINT[]} ORDER BY ts, event_id),
+        lambda a, x: CASE
+          WHEN x.kind = 'signup' AND a.state IS NULL THEN
+            {'kind': x.kind, 'id': x.id, 'state': 'signup', 'gate': 'open', 'ids': list_append(a.ids, x.id)}
+          WHEN x.kind = 'view' AND a.gate = 'open' OR x.kind = 'purchase' AND a.gate = 'shut' THEN
+            {'kind': x.kind, 'id': x.id, 'state': x.kind, 'gate': a.gate, 'ids': list_append(a.ids, x.id)}
+          WHEN x.kind = 'click' AND a.state = 'view' THEN
+            {'kind': x.kind, 'id': x.id, 'state': a.state, 'gate': 'shut', 'ids': list_append(a.ids, x.id)}
+          WHEN x.kind = 'error' AND a.state = 'purchase' THEN
+            {'kind': x.kind, 'id': x.id, 'state': NULL::VARCHAR, 'gate': NULL::VARCHAR, 'ids': list_append(a.ids, x.id)}
+          ELSE a END,
+        {'kind': '', 'id': -1::BIGINT, 'state': NULL::VARCHAR, 'gate': NULL::VARCHAR, 'ids': []::BIGINT[]}) AS r
+      FROM events),
+    hits AS (SELECT unnest(r.ids) AS event_id FROM folded)
+    SELECT e.event_id, h.event_id IS NOT NULL AS applied FROM events e LEFT JOIN hits h ON e.event_id = h.event_id""",
     "check_and_put": """
     SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_mktsegment = 'BUILDING' AS applied
     FROM customer""",
