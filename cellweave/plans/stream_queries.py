@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -11,8 +10,6 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +37,9 @@ from cellweave.plans.skew import spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
 from cellweave.schema import DELETE_ROW, INCREMENT, PUT
+from cellweave.session import qualified
 from cellweave.sources.events import message_puts, parse_messages, read_stream, sample, tracked
+from cellweave.sources.outbox import Outbox, Staged
 from cellweave.streaming.sinks import (
     run_with_restarts,
     stream_checks,
@@ -235,92 +234,65 @@ def stream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").groupBy("user_id").agg(F.sum("k").alias("k"))
 
 
-class _Folder:
-    """A resource: a folder of the shared file system that tasks write files to."""
-
-    def __init__(self, uri: str):
-        self.uri = uri
-
-    @contextmanager
-    def __call__(self) -> Iterator[tuple[fs.FileSystem, str]]:
-        system, path = fs.FileSystem.from_uri(self.uri)
-        system.create_dir(path, recursive=True)
-        yield system, path
-
-
-def _write_part(batches: Iterator[pa.RecordBatch], folder: tuple[fs.FileSystem, str]) -> None:
-    """One file per partition; a task that runs again replaces its file."""
-    system, path = folder
+def _write_part(batches: Iterator[pa.RecordBatch], staged: Staged) -> list[str]:
+    """The rows of a partition as one file."""
     writer = None
-    context = TaskContext.get()
-    part = f"{path}/{context.stageId()}-{context.partitionId():06d}"
-    temporary = f"{part}.attempt{context.taskAttemptId()}"
     for batch in batches:
         if writer is None:
-            writer = pq.ParquetWriter(temporary, batch.schema, filesystem=system)
+            writer = pq.ParquetWriter(staged.new(), batch.schema, filesystem=staged.system)
         writer.write_batch(batch)
     if writer is not None:
         writer.close()
-        system.move(temporary, f"{part}.parquet")
-
-
-def _uri(path: str) -> str:
-    return path if ":" in path else os.path.abspath(path)
+    return staged.receipt()
 
 
 def partition_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each partition writes its events through a file system handle."""
-    path = _uri(scratch(spark, "parts"))
+    outbox = Outbox(qualified(spark, scratch(spark, "parts")))
     events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"))
-    foreach_partition(events, _Folder(path), _write_part)
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    foreach_partition(events, outbox, _write_part, outbox.commit, outbox.abort)
+    return spark.read.parquet(outbox.sent).drop("batch_id")
 
 
 def stream_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partitions of every micro-batch write their events."""
     folder = scratch(spark, "stream")
-    path = _uri(f"{folder}/parts")
+    outbox = Outbox(qualified(spark, f"{folder}/parts"))
 
     def start(stream: DataFrame):
         events = stream.select("event_id", "user_id", "event_type")
         return stream_foreach_partition(
-            events, _Folder(path), _write_part, f"{folder}/checkpoint"
+            events, outbox, _write_part, f"{folder}/checkpoint", outbox.commit, outbox.abort
         )
 
     arriving_events(spark, sf_dir, folder, start)
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    return spark.read.parquet(outbox.sent).drop("batch_id")
 
 
-@contextmanager
-def _lines_file(uri: str) -> Iterator[Any]:
-    system, path = fs.FileSystem.from_uri(uri)
-    system.create_dir(path, recursive=True)
-    part = f"{path}/{TaskContext.get().partitionId():06d}"
-    temporary = f"{part}.attempt{TaskContext.get().taskAttemptId()}"
-    with system.open_output_stream(temporary) as stream:
-        yield stream
-    system.move(temporary, f"{part}.jsonl")
+class _Lines(Outbox):
+    """Opens as a file for lines of text."""
 
+    @contextmanager
+    def __call__(self) -> Iterator[tuple[Staged, Any]]:
+        with super().__call__() as staged, staged.system.open_output_stream(staged.new()) as stream:
+            yield staged, stream
 
-class _LinesFile:
-    def __init__(self, uri: str):
-        self.uri = uri
 
-    def __call__(self):
-        return _lines_file(self.uri)
+def _write_line(record: dict, opened: tuple[Staged, Any]) -> None:
+    opened[1].write(json.dumps(record).encode() + b"\n")
 
 
-def _write_line(record: dict, stream: Any) -> None:
-    stream.write(json.dumps(record).encode() + b"\n")
+def _finished(opened: tuple[Staged, Any]) -> list[str]:
+    return opened[0].receipt()
 
 
 def record_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record is written as a JSON line through its partition's file."""
-    path = _uri(scratch(spark, "lines"))
+    outbox = _Lines(qualified(spark, scratch(spark, "lines")), ".jsonl")
     events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"))
-    foreach(events, _LinesFile(path), _write_line)
+    foreach(events, outbox, _write_line, _finished, outbox.commit, outbox.abort)
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING"
-    return spark.read.schema(schema).option("pathGlobFilter", "*.jsonl").json(path)
+    return spark.read.schema(schema).json(outbox.sent).drop("batch_id")
 
 
 QUERIES = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -60,6 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, for tools that do not know Spark's default file system."""
+    if re.match(r"[a-z][a-z0-9+.-]*:", path):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if default.startswith("file:"):
+        return f"file://{os.path.abspath(path)}"
+    return f"{default.rstrip('/')}/{path.lstrip('/')}"
+
+
 _shipped: set[str] = set()
 
 

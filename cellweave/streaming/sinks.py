@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from cellweave.operators.lookup import bulk_get
-from cellweave.operators.partitions import Resource, foreach_partition
+from cellweave.operators.partitions import Commit, Resource, register_action
 from cellweave.schema import checks, mutations
 from cellweave.streaming.keyed import decide_stream, first_cells, keyed_state
 from cellweave.streaming.table import MAIN, MutationTable
@@ -101,16 +101,21 @@ def stream_get(
 def stream_foreach_partition(
     stream: DataFrame,
     resource: Resource,
-    fn: Callable[[Iterator[pa.RecordBatch], Any], None],
+    fn: Callable[[Iterator[pa.RecordBatch], Any], Any],
     checkpoint: str,
+    commit: Commit,
+    abort: Commit | None = None,
     **trigger: Any,
 ) -> StreamingQuery:
-    """Run an action on the partitions of every micro-batch with an open resource."""
+    """Run an action on the partitions of every micro-batch with an open resource.
 
-    def action(batch: DataFrame, batch_id: int) -> None:
-        foreach_partition(batch, resource, fn)
-
-    return each_batch(stream, action, checkpoint, **trigger)
+    ``commit`` gets the receipts that ``fn`` returned and the number of the
+    batch. A batch may run again, after a failure or in another session; its
+    number is then the same, and ``commit`` has to replace what it did before.
+    """
+    name = register_action(stream.sparkSession, resource, fn, commit, abort)
+    writer = stream.writeStream.format(name).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def run_with_restarts(
