@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,8 +18,8 @@ def has_keys(json: Column, names: Sequence[str]) -> Column:
 
     NULL for text that is no JSON object.
     """
-    keys = F.json_object_keys(json)
-    return reduce(lambda a, b: a & b, [F.array_contains(keys, name) for name in names])
+    found = F.array_intersect(F.json_object_keys(json), F.array(*[F.lit(n) for n in set(names)]))
+    return F.when(found.isNotNull(), F.size(found) == len(set(names)))
 
 
 def millis_timestamp(text: Column) -> Column:
@@ -36,18 +36,42 @@ def tracks(text: Column, phrases: Sequence[str]) -> Column:
 
     A plain word also matches the hashtag and the mention of that word; a
     phrase word that starts with ``#`` or ``@`` matches only itself.
+
+    The text is split once, for any number of phrases. A phrase is looked at
+    only where the text has its rarest word, the one that the fewest phrases have.
     """
-    wanted = [p.lower().split() for p in phrases if p.strip()]
+    wanted = sorted({tuple(sorted(set(p.lower().split()))) for p in phrases} - {()})
     if not wanted:
         return F.lit(False)
-    found = tokens(text)
-
-    def has(word: str) -> Column:
-        forms = [word] if word[0] in "#@" else [word, f"#{word}", f"@{word}"]
-        return F.arrays_overlap(found, F.array(*[F.lit(f) for f in forms]))
-
-    alternatives = [reduce(lambda a, b: a & b, [has(w) for w in ws]) for ws in wanted]
-    return reduce(lambda a, b: a | b, alternatives)
+    uses = Counter(word for words in wanted for word in words)
+    by_rarest: dict[str, list[list[str]]] = {}
+    for words in wanted:
+        rarest = min(words, key=lambda w: (uses[w], -len(w), w))
+        by_rarest.setdefault(rarest, []).append([w for w in words if w != rarest])
+    rest = F.create_map(
+        *[F.lit(x) for word, others in by_rarest.items() for x in (word, others)]
+    ).cast("map<string,array<array<string>>>")
+    alone = [word for word, others in by_rarest.items() if [] in others]
+    several = [word for word in by_rarest if word not in set(alone)]
+
+    def whole(found: Column, word: Column) -> Column:
+        has_all = lambda words: F.forall(words, lambda w: F.array_contains(found, w))
+        return F.exists(F.try_element_at(rest, word), has_all)
+
+    def met(found: Column) -> Column:
+        hit = F.exists(found, lambda t: t.isin(alone)) if alone else F.lit(False)
+        if not several:
+            return hit
+        return hit | F.exists(found, lambda t: t.isin(several) & whole(found, t))
+
+    # Bound by lambdas, so that the split is evaluated once.
+    return F.exists(F.transform(F.array(tokens(text)), _forms), met)
+
+
+def _forms(found: Column) -> Column:
+    """Tokens, and the plain words of hashtags and mentions."""
+    plain = F.transform(found, lambda t: F.regexp_extract(t, "^[#@]([^#@].*)$", 1))
+    return F.array_union(found, F.filter(plain, lambda t: t != ""))
 
 
 def in_sample(key: Column, fraction: float) -> Column:

@@ -12,6 +12,7 @@ from cellweave.plans.skew import (
     HotKeys,
     broadcast_if_small,
     heavy,
+    heavy_rows,
     hot_keys,
     lookup_join,
     order_slices,
@@ -29,6 +30,7 @@ from cellweave.schema import (
     PUT,
     as_puts,
 )
+from cellweave.session import scratch_path
 
 EVENT_ORDER = ("ts", "seq")
 # Mutations of a later batch win over earlier batches, whatever their time.
@@ -154,10 +156,8 @@ def compact(
     if hot is None:
         hot = hot_keys(ops, "row_key")
     if hot:
-        is_heavy = hot.hit(F.col("row_key"))
-        out = _compact_rows(ops.filter(~is_heavy), order).unionByName(
-            _compact_hot_rows(ops.filter(is_heavy), order, hot)
-        )
+        light, heavy, hot = _by_weight(ops, hot)
+        out = _compact_rows(light, order).unionByName(_compact_hot_rows(heavy, order, hot))
     else:
         out = _compact_rows(ops, order)
     if tombstones:
@@ -165,6 +165,25 @@ def compact(
     return out.filter(F.col("op") != DELETE_CELL)
 
 
+def _by_weight(ops: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame, HotKeys]:
+    """Mutations of light rows, those of heavy rows, and how many the latter are.
+
+    Where the sketch has named as many heavy rows as it can, there may be more:
+    then they are counted, and kept as a table that the driver never sees.
+    """
+    if not hot.full:
+        is_heavy = hot.hit(F.col("row_key"))
+        return ops.filter(~is_heavy), ops.filter(is_heavy), hot
+    path = scratch_path(ops.sparkSession, "heavy-rows")
+    counted = heavy_rows(ops, "row_key", hot.min_rows)
+    counted.write.parquet(path)
+    table = ops.sparkSession.read.schema(counted.schema).parquet(path)
+    total = table.agg(F.sum("rows")).first()[0] or 0
+    named = broadcast_if_small(table.select("row_key"))
+    light, heavy = (ops.join(named, "row_key", how).select(*ops.columns) for how in ("left_anti", "left_semi"))
+    return light, heavy, HotKeys(hot.keys, total, hot.min_rows)
+
+
 def _compact_rows(ops: DataFrame, order: Sequence[str]) -> DataFrame:
     """One shuffle, by row key.
 
@@ -197,10 +216,9 @@ def _compact_hot_rows(ops: DataFrame, order: Sequence[str], hot: HotKeys) -> Dat
     )
     by_slice = [*CELL_KEY, *order[: order.index("ts")], "slice"]
     sliced = with_slice(ops, order_slices(ops, hot))
-    # There is at most one row cut per heavy key, so that broadcast is bounded.
-    # Family cuts are measured; where they are many, the repartition below leaves
+    # Cuts are measured; where they are many, the repartition below leaves
     # the adaptive planner free to split a skewed join.
-    joined = sliced.join(F.broadcast(row_cuts), "row_key", "left").join(
+    joined = sliced.join(broadcast_if_small(row_cuts), "row_key", "left").join(
         broadcast_if_small(family_cuts), ["row_key", "family"], "left"
     )
     alive = _after_cuts(joined, at).repartition(*by_slice)

@@ -20,7 +20,7 @@ from cellweave.operators.cells import (
 from cellweave.operators.lookup import bulk_get
 from cellweave.plans.inputs import customer_cells, event_puts, scratch, table, weighed
 from cellweave.schema import cells
-from cellweave.sources.tables import read_parquet, read_raw, write_parquet
+from cellweave.sources.tables import read_parquet, read_raw, scan_ranged, write_parquet, write_ranged
 
 CUSTOMER_COLUMNS = {
     "name": ("general", "name"),
@@ -69,6 +69,22 @@ def scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_rows(found).select("row_key", _as_text().alias("cells"))
 
 
+def scan_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key range from files clustered by key, of which only those that meet it are opened."""
+    path = scratch(spark, "ranged")
+    write_ranged(customer_cells(spark, sf_dir), path, 16)
+    found = scan_ranged(spark, path, families=["general", "geo"], start="10", stop="105")
+    return to_rows(found).select("row_key", _as_text().alias("cells"))
+
+
+def scan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single rows of a table by ranges."""
+    path = scratch(spark, "ranged")
+    write_ranged(customer_cells(spark, sf_dir), path, 16)
+    found = scan_ranged(spark, path, keys=["7", "42", "11", "none"])
+    return to_rows(found).select("row_key", _as_text().alias("cells"))
+
+
 def scan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table as rows of ordered cells."""
     return to_rows(customer_cells(spark, sf_dir)).select("row_key", _as_text().alias("cells"))
@@ -192,6 +208,8 @@ QUERIES = {
     "cell_versions3": cell_versions,
     "cells_as_of": cells_as_of,
     "scan_range": scan_range,
+    "scan_ranges": scan_ranges,
+    "scan_keys": scan_keys,
     "scan_rows": scan_rows,
     "scan_versions": scan_versions,
     "scan_latest": scan_latest,
@@ -257,6 +275,8 @@ ORACLES = {
     WHERE version <= 3""",
     "cells_as_of": _LATEST.format("WHERE ts <= TIMESTAMP '2024-01-15'"),
     "scan_range": _rows("family = 'general' AND row_key >= '10' AND row_key < '20'"),
+    "scan_ranges": _rows("row_key >= '10' AND row_key < '105'"),
+    "scan_keys": _rows("row_key IN ('7', '42', '11', 'none')"),
     "scan_rows": _rows(),
     "scan_versions": f"SELECT row_key, {_VERSION} FROM ({_WIDE}) WHERE n <= 2 GROUP BY row_key",
     "scan_latest": f"""

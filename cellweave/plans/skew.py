@@ -37,6 +37,11 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.keys)
 
+    @property
+    def full(self) -> bool:
+        """There may be more heavy values than these."""
+        return len(self.keys) >= MAX_HOT_KEYS
+
     def hit(self, key: Column) -> Column:
         """True for rows of a heavy key; never NULL."""
         return F.coalesce(key.isin(list(self.keys)), F.lit(False))
@@ -71,6 +76,11 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
     return heavy(df.agg(top_keys(key).alias("top")).first()["top"], min_rows)
 
 
+def heavy_rows(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """All heavy values of ``key`` with their rows, as a table: counted exactly, however many there are."""
+    return df.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") >= min_rows)
+
+
 @dataclass(frozen=True)
 class Slices:
     """Cut points of the mutation order ``(ts, seq)``.

@@ -33,13 +33,14 @@ from cellweave.plans.inputs import (
 )
 from cellweave.plans.mutation_queries import FUNNEL_CELLS, TOMBSTONES, mix_sql
 from cellweave.plans.mutation_queries import ORACLES as MUTATION_ORACLES
-from cellweave.plans.skew import spread
+from cellweave.plans.skew import keep_keys, spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
 from cellweave.schema import DELETE_ROW, INCREMENT, PUT
 from cellweave.session import qualified
 from cellweave.sources.events import message_puts, parse_messages, read_stream, sample, tracked
 from cellweave.sources.outbox import Outbox, Staged
+from cellweave.sources.tables import BucketedTable
 from cellweave.streaming.sinks import (
     run_with_restarts,
     stream_checks,
@@ -134,13 +135,16 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events look up ten times their user's key; most find nothing."""
+    """Events look up ten times their user's key in a table by buckets; most find nothing."""
     folder = scratch(spark, "stream")
-    customers = project(customer_cells(spark, sf_dir), CUSTOMER_COLUMNS)
+    customers = BucketedTable.write(customer_cells(spark, sf_dir), f"{folder}/customers", 16)
+
+    def rows(requests: DataFrame) -> DataFrame:
+        return project(keep_keys(customers.cells(requests), requests, "row_key"), CUSTOMER_COLUMNS)
 
     def start(stream: DataFrame):
         requests = stream.select("event_id", (F.col("user_id") * 10).cast("string").alias("row_key"))
-        return stream_get(requests, customers, f"{folder}/answers", f"{folder}/checkpoint")
+        return stream_get(requests, rows, f"{folder}/answers", f"{folder}/checkpoint")
 
     arriving_events(spark, sf_dir, folder, start)
     return spark.read.parquet(f"{folder}/answers").select("event_id", "row_key", *CUSTOMER_COLUMNS)

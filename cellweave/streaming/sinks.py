@@ -79,18 +79,23 @@ def stream_checks(
 
 def stream_get(
     stream: DataFrame,
-    table: DataFrame,
+    table: DataFrame | Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
     on: str = "row_key",
     **trigger: Any,
 ) -> StreamingQuery:
-    """Look up each batch and store the answers in a folder of its own."""
+    """Look up each batch and store the answers in a folder of its own.
+
+    ``table`` may be a function that gives the rows a batch of requests needs, such as
+    those in its buckets of a ``BucketedTable``, so that a batch does not read all.
+    """
 
     def action(batch: DataFrame, batch_id: int) -> None:
         requests = batch.persist()
         try:
-            answers = bulk_get(requests, table, on)
+            rows = table(requests) if callable(table) else table
+            answers = bulk_get(requests, rows, on)
             answers.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             requests.unpersist()

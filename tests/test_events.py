@@ -1,9 +1,11 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.functions.events import millis_timestamp, tracks
+from cellweave.functions.events import has_keys, millis_timestamp, tracks
 from cellweave.sources.events import (
     message_puts,
     parse_messages,
@@ -100,6 +102,42 @@ def test_tracks(spark, phrases, text, found):
     assert df.select(tracks(F.col("text"), phrases)).collect()[0][0] is found
 
 
+def plain_tracks(text, phrases):
+    """Every word of some phrase is a token, or a plain one's hashtag or mention is."""
+    found = set(re.split(r"[^\w#@]+", text.lower()))
+    for words in (p.lower().split() for p in phrases):
+        if words and all(w in found or (w[0] not in "#@" and {f"#{w}", f"@{w}"} & found) for w in words):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_many_phrases_equal_the_plain_test(spark, seed):
+    rnd = random.Random(seed)
+    words = ["a", "b", "cc", "#a", "@b", "##a", "#", "@#b", "é", "d_1", "x"]
+    texts = [rnd.choice([" ", ", "]).join(rnd.choice(words + ["zz"]) for _ in range(rnd.randrange(6))) for _ in range(150)]
+    phrases = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(4))) for _ in range(rnd.choice([1, 5, 12]))]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    got = df.select("text", tracks(F.col("text"), phrases).alias("hit")).collect()
+    assert [(r["text"], r["hit"]) for r in got] == [(t, plain_tracks(t, phrases)) for t in texts]
+
+
+def test_a_thousand_phrases_split_the_text_once(spark):
+    phrases = [f"word{i} other{i % 7}" for i in range(1000)]
+    df = spark.createDataFrame([("so Word77, and OTHER0",), ("word77 other1",), (None,)], "text STRING")
+    hit = df.select(tracks(F.col("text"), phrases).alias("hit"))
+    assert [r["hit"] for r in hit.collect()] == [True, False, None]
+    assert hit._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 1
+
+
+def test_presence_parses_once(spark):
+    rows = ['{"a": null, "b": 1, "a": 2}', '{"a": 1}', "[]", "{", "", None, '{"b": {}, "a": []}']
+    df = spark.createDataFrame([(r,) for r in rows], "j STRING")
+    found = df.select(has_keys(F.col("j"), ["a", "b"]).alias("x"))
+    assert [r["x"] for r in found.collect()] == [True, False, None, None, None, None, True]
+    assert df.filter(has_keys(F.col("j"), ["a", "b"])).count() == 2
+
+
 def test_tracked_splits_at_commas_and_tests_the_language(spark):
     df = spark.createDataFrame([("a", "en"), ("b", "fr"), ("b", "he"), ("c", "en")], "text STRING, lang STRING")
     assert {tuple(r) for r in df.filter(tracked("a,b")).collect()} == {("a", "en"), ("b", "he")}

@@ -156,3 +156,21 @@ def test_increment_meets_the_newest_version(spark, at):
     assert [(r["value"], r["ts"]) for r in m.increment(cells, deltas).collect()] == [("15", at(4))]
     plan = m.increment(cells, deltas)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
+
+
+def test_five_thousand_heavy_rows(spark, at):
+    """More heavy rows than a sketch names: all are cut into slices, and the driver holds none of the rest."""
+    rnd = random.Random(41)
+    ops = []
+    for i in range(5000):
+        for k in range(5):
+            op, value, delta = rnd.choice([("put", "7", None), ("increment", None, 2), ("increment", None, 3), ("delete_row", None, None)])
+            cell = (None, None) if op == "delete_row" else ("f", rnd.choice("xy"))
+            ops.append((f"r{i}", *cell, op, value, delta, at(rnd.randrange(50)), 5 * i + k))
+    ops += [(f"light{i}", "f", "x", "increment", None, 1, at(i % 7), 10**6 + i) for i in range(300)]
+    df = spark.createDataFrame(ops, MUTATION)
+    hot = hot_keys(df, "row_key", min_rows=4)
+    assert len(hot.keys) == skew.MAX_HOT_KEYS and hot.full
+    light, heavy, found = m._by_weight(df, hot)
+    assert light.count() == 300 and heavy.count() == found.rows == 25_000
+    assert result(m.resolve(df, hot=hot)) == sequential({}, ops)
