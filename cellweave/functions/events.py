@@ -70,8 +70,9 @@ def tracks(text: Column, phrases: Sequence[str]) -> Column:
 
 def _forms(found: Column) -> Column:
     """Tokens, and the plain words of hashtags and mentions."""
-    plain = F.transform(found, lambda t: F.regexp_extract(t, "^[#@]([^#@].*)$", 1))
-    return F.array_union(found, F.filter(plain, lambda t: t != ""))
+    marked = lambda t: F.substring(t, 1, 1).isin("#", "@")
+    plain = F.transform(F.filter(found, marked), lambda t: F.substring(t, 2, 2**31 - 1))
+    return F.concat(found, F.filter(plain, lambda t: ~marked(t) & (t != "")))
 
 
 def in_sample(key: Column, fraction: float) -> Column:

@@ -33,7 +33,7 @@ from cellweave.plans.inputs import (
 )
 from cellweave.plans.mutation_queries import FUNNEL_CELLS, TOMBSTONES, mix_sql
 from cellweave.plans.mutation_queries import ORACLES as MUTATION_ORACLES
-from cellweave.plans.skew import keep_keys, spread
+from cellweave.plans.skew import spread
 from cellweave.plans.text_queries import ORACLES as TEXT_ORACLES
 from cellweave.plans.text_queries import TRACKED
 from cellweave.schema import DELETE_ROW, INCREMENT, PUT
@@ -140,7 +140,8 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = BucketedTable.write(customer_cells(spark, sf_dir), f"{folder}/customers", 16)
 
     def rows(requests: DataFrame) -> DataFrame:
-        return project(keep_keys(customers.cells(requests), requests, "row_key"), CUSTOMER_COLUMNS)
+        asked = requests.select("row_key").distinct()
+        return project(customers.cells(requests).join(asked, "row_key", "left_semi"), CUSTOMER_COLUMNS)
 
     def start(stream: DataFrame):
         requests = stream.select("event_id", (F.col("user_id") * 10).cast("string").alias("row_key"))
