@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from cellweave.llm.linking import class_ids, linked
-from cellweave.llm.shared import saved, widened
+from cellweave.llm.shared import saved, unused, widened
 from cellweave.llm.tokens import chunks, mix
 from cellweave.plans.skew import broadcast_if_small
 
@@ -42,6 +42,10 @@ _KEEP = np.uint64((1 << 48) - 1)
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
+# Texts whose shingles are sorted together at most.
+_OWNERS = 1 << 16
+
+
 def shingle_bags(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, 48-bit shingle and count, sorted, for texts of tokens ``hashes[bounds[i]:bounds[i + 1]]``.
 
@@ -122,7 +126,8 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A shingle's key has 16 bits for the number of its text.
+        for batch in (b.slice(i, _OWNERS) for b in batches for i in range(0, b.num_rows, _OWNERS)):
             for first, hashes, bounds in chunks(batch.column(at).to_pylist()):
                 n = len(bounds) - 1
                 owner, element, weight = shingle_bags(hashes, bounds)
@@ -151,15 +156,16 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """
     named = _rows(docs, similarity)
     away = named.filter(F.col("doc_id") != F.col("class_id")).select("doc_id", "node")
-    kept = docs.withColumn("_node", content_of(F.col("text")))
-    away = saved(away.distinct(), "bag-away").select(F.col("doc_id").alias("_id"), F.col("node").alias("_away"))
+    node, gone, its_id = (unused(n, docs) for n in ("_node", "_away", "_id"))
+    kept = docs.withColumn(node, content_of(F.col("text")))
+    away = saved(away.distinct(), "bag-away").select(F.col("doc_id").alias(its_id), F.col("node").alias(gone))
     kept = kept.join(
-        broadcast_if_small(away), (F.col("_node") == F.col("_away")) & (F.col("doc_id") == F.col("_id")), "left_anti"
+        broadcast_if_small(away), (F.col(node) == F.col(gone)) & (F.col("doc_id") == F.col(its_id)), "left_anti"
     )
     if not named.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         unnamed = kept.filter("doc_id IS NULL")
-        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_node"]).unionByName(unnamed)
-    return kept.drop("_node")
+        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", node]).unionByName(unnamed)
+    return kept.select(*docs.columns)
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

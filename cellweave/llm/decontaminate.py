@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.shared import lower_ascii, saved
+from cellweave.llm.shared import lower_ascii, saved, unused
 from cellweave.plans.skew import broadcast_if_small
 
 # Fixed value: words are runs of digits, a-z and characters past ASCII.
@@ -104,8 +104,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window of ``items``, with all columns."""
-    result = _contaminated(docs, items, window).select("_row")
-    return docs.withColumn("_row", _row()).join(broadcast_if_small(result), "_row", "left_anti").drop("_row")
+    row = unused("_row", docs)
+    result = _contaminated(docs, items, window).select(F.col("_row").alias(row))
+    return docs.withColumn(row, _row()).join(broadcast_if_small(result), row, "left_anti").select(*docs.columns)
 
 
 def _row() -> Column:

@@ -3,7 +3,7 @@
 The model's protobuf is read here, and its normaliser, marker for spaces,
 scores and byte fallback are rebuilt as a tokenizers pipeline, for models of the BPE
 and of the unigram kind. Batches of distinct words or texts go through the
-library's threads, and ``parity`` compares results with the sentencepiece library's.
+library's threads, and ``parity`` compares every whole text's ids and decoding with the sentencepiece library's.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ MARK = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-# Words whose ids a task remembers, and rows that it encodes at once.
-REMEMBER, BATCH = 500_000, 200
+# Bytes of words and ids that a task remembers, about, and rows that it encodes at once.
+REMEMBER, BATCH = 96 << 20, 200
+# What a remembered word takes besides its characters and ids.
+_OVERHEAD = 200
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,7 @@ class Codec:
         inside = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER))
         self.by_word = self.model.kind == BPE and self.model.dummy_prefix and not (inside or self.model.rules or self.model.squeeze)
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.bytes = [_plain(p, kind) for p, _, kind in self.model.pieces]
         if self.by_word:
             from tokenizers import normalizers
@@ -144,7 +147,7 @@ class Codec:
             # Words come with their marks, so the pipeline for words changes nothing.
             self.words = build(self.model)
             self.words.normalizer = normalizers.Sequence([])
-        self.other, self.odd = None, set()
+        self.other = None
         if verify:
             import sentencepiece
 
@@ -165,32 +168,23 @@ class Codec:
             packed = [b"".join([known[w] for w in words]) for words in split]
         return [np.frombuffer(p, np.int32) for p in packed]
 
-    def agreed(self, texts: list[str]) -> list[bool]:
-        """Whether the sentencepiece library, ``self.other``, gives each text the ids of ``encode``.
-
-        Where words are encoded by themselves, here as there, each is compared once.
-        """
-        if not self.by_word:
-            return [a.tolist() == b for a, b in zip(self.encode(texts), self.other.encode(texts, num_threads=_threads()))]
-        self._learn(split := [_words(t) for t in texts])
-        return [not self.odd or self.odd.isdisjoint(words) for words in split]
+    def agreed(self, texts: list[str], ids: list[np.ndarray], back: list[str]) -> list[bool]:
+        """Whether the sentencepiece library, ``self.other``, encodes each whole text to ``ids``, and decodes them to ``back``."""
+        theirs = self.other.encode(texts, num_threads=_threads())
+        their_back = self.other.decode([i.tolist() for i in ids], num_threads=_threads())
+        return [a.tolist() == b and c == d for a, b, c, d in zip(ids, theirs, back, their_back)]
 
     def _learn(self, split: list[list[str]]) -> None:
         """Make the ids of all words in ``split`` known, as packed numbers."""
-        if len(self.known) > REMEMBER:
+        if self.held > REMEMBER:
             self.known.clear()
+            self.held = 0
         known = self.known
         new = list({w for words in split for w in words if w not in known})
-        if not new:
-            return
         marked = [w if w[0] == MARK else MARK + w for w in new]
         ids = [f.ids for f in self.words.encode_batch_fast(marked, add_special_tokens=False)]
         known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
-        if self.other is not None:
-            # The other library puts a mark before the first word only, so each word follows another one.
-            lead = len(self.other.encode("x"))
-            theirs = self.other.encode(["x" + w.replace(MARK, " ") for w in marked], num_threads=_threads())
-            self.odd.update(w for w, a, b in zip(new, ids, theirs) if a != b[lead:])
+        self.held += sum(_OVERHEAD + 4 * (len(w) + len(i)) for w, i in zip(new, ids))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of lists of ids.
@@ -285,27 +279,37 @@ def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
     return kept.mapInArrow(run, widened(kept, **{into: "string"}))
 
 
-def parity(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` and two checks of each row.
+def round_trips(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, and ``round_trip``: the ids decode to the text. One pass, with one codec a task.
 
-    ``round_trip``: the ids decode to the text. ``same``: the sentencepiece library
-    gives the same ids. Columns of these names are replaced.
+    Columns of these names are replaced; NULL counts as empty.
     """
-    kept = docs.drop("ids", "round_trip", "same")
+    return _checked(docs, model, text, verify=False)
+
+
+def parity(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``round_trips`` with ``same``: the sentencepiece library gives the whole text the same ids, and the ids the same text."""
+    return _checked(docs, model, text, verify=True)
+
+
+def _checked(docs: DataFrame, model: str, text: str, verify: bool) -> DataFrame:
+    made = {"ids": ArrayType(IntegerType()), "round_trip": "boolean"} | ({"same": "boolean"} if verify else {})
+    kept = docs.drop(*made)
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(model, verify=True)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        tool = codec(model, verify)
         for part in _slices(batches):
             texts = [t or "" for t in part.column(at).to_pylist()]
             ids = tool.encode(texts)
-            trip = [a == b for a, b in zip(texts, tool.decode([i.tolist() for i in ids]))]
-            # Every word was compared as it became known; without a difference no text needs another look.
-            same = tool.agreed(texts) if tool.odd or not tool.by_word else [True] * len(texts)
-            columns = [*part.columns, _lists(ids), pa.array(trip, pa.bool_()), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "ids", "round_trip", "same"])
+            back = tool.decode([i.tolist() for i in ids])
+            columns = [*part.columns, _lists(ids), pa.array([a == b for a, b in zip(texts, back)], pa.bool_())]
+            if verify:
+                columns.append(pa.array(tool.agreed(texts, ids, back), pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *made])
 
-    return kept.mapInArrow(run, widened(kept, ids=ArrayType(IntegerType()), round_trip="boolean", same="boolean"))
+    return kept.mapInArrow(run, widened(kept, **made))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

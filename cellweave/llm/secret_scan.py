@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.shared import saved
+from cellweave.llm.shared import saved, unused
 from cellweave.plans.skew import broadcast_if_small
 
 ENTRY = "blob binary, rule string, version int, spans array<struct<start:int,end:int>>"
@@ -147,10 +147,11 @@ def findings(files: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES)
 
 def redacted(docs: DataFrame, ledger: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced, and all other columns and texts as they are."""
-    columns = [redact(F.col(text), F.coalesce("_spans", _no_spans())).alias(c) if c == text else c for c in docs.columns]
-    found = _by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    rows = docs.withColumn("_name", blob_of(F.col(text)))
-    return rows.join(broadcast_if_small(found), F.col("_name") == F.col("_blob"), "left").select(columns)
+    name, blob, spans = (unused(n, docs) for n in ("_name", "_blob", "_spans"))
+    columns = [redact(F.col(text), F.coalesce(spans, _no_spans())).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    found = _by_blob(ledger, rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    rows = docs.withColumn(name, blob_of(F.col(text)))
+    return rows.join(broadcast_if_small(found), F.col(name) == F.col(blob), "left").select(columns)
 
 
 def _no_spans() -> Column:

@@ -28,6 +28,14 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one that no column of ``df`` has in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def widened(df: DataFrame, **kinds: str | DataType) -> StructType:
     """The schema of ``df`` with further columns."""
     out = StructType(list(df.schema.fields))

@@ -1,12 +1,13 @@
 """Toxicity from subword bags.
 
 A word is the bag of its character n-grams (and itself), hashed to a fixed
-number of embedding rows; a bag of words is the average of its words' averages,
-and a linear softmax over the average gives the two classes. Embeddings and
-softmax are trained together in numpy, on the TOP distinct words of each
-document that look most toxic so far, so a few words in a long text are not
-averaged away, and a document scores by the same bag. As n-grams carry the
-weight, unseen misspellings of a word share most of it.
+number of embedding rows; a document is the average of all its distinct words' averages,
+and a linear softmax over the average gives the two classes. Words weigh in the average by the
+exponential of their own log odds, as in attention: a few toxic words in a long text are not
+averaged away, and as weights are shares of the whole, more words of the same kind do not move
+the average. Embeddings and softmax are trained together in numpy; an epoch draws some words
+of each document by their weights so far. As n-grams carry the weight, unseen
+misspellings of a word share most of it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ WORD = re.compile(r"[^\W_]+")
 ROW_BITS, DIM = 18, 8
 ROWS = 1 << ROW_BITS
 NGRAMS = (3, 4, 5, 6)
-TOP = 3
+# How fast a word's weight in the average grows with its log odds; words drawn of a document in an epoch.
+ATTENTION, DRAWN = 1.0, 12
 # The classifier is fitted on at most so many labelled rows of either class, those with the smallest hash of their id.
 SAMPLE = 2_500
 EPOCHS, BATCH, RATE = 8, 64, 0.1
@@ -98,9 +100,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     for epoch in range(EPOCHS):
         step = RATE * (1 - epoch / EPOCHS)
         word_score = _word_scores(flat, bounds, embed @ (soft[:, 1] - soft[:, 0]))
-        # Of each document its most toxic words; of clean ones some others, too.
-        picks = [(_top(word_score[docs[d]], docs[d]), labels[d], weigh[i]) for i, d in enumerate(filled)]
-        picks += [(random.choice(docs[d], TOP), 0, weigh[i]) for i, d in enumerate(filled) if not positive[i]]
+        # Of each document words by their weights; of clean ones any others, too, as none of them is toxic.
+        picks = [(random.choice(docs[d], DRAWN, p=attention(word_score[docs[d]])), labels[d], weigh[i]) for i, d in enumerate(filled)]
+        picks += [(random.choice(docs[d], DRAWN), 0, weigh[i]) for i, d in enumerate(filled) if not positive[i]]
         for chosen in np.array_split(random.permutation(len(picks)), -(-len(picks) // BATCH)):
             part = [picks[k] for k in chosen]
             words = [p[0] for p in part]
@@ -162,8 +164,10 @@ def _log_odds(docs: list[np.ndarray], labels: np.ndarray, flat: np.ndarray, boun
     return np.sign(odds) * np.maximum(sure, 0)
 
 
-def _top(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return words if len(words) <= TOP else words[np.argpartition(-scores, TOP)[:TOP]]
+def attention(scores: np.ndarray) -> np.ndarray:
+    """What share each word has in the average."""
+    weights = np.exp(ATTENTION * (scores - scores.max()))
+    return weights / weights.sum()
 
 
 class Scorer:
@@ -186,8 +190,7 @@ class Scorer:
                 counts += np.bincount(owner, minlength=len(new))
             known.update(zip(new, (sums / counts).tolist()))
         scores = np.fromiter((known[w] for w in words), np.float64, len(words))
-        top = np.partition(scores, len(scores) - TOP)[-TOP:] if len(scores) > TOP else scores
-        logit = self.model.bias + (float(top.mean()) if len(top) else NO_WORDS)
+        logit = self.model.bias + (float(scores @ attention(scores)) if len(scores) else NO_WORDS)
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.shared import lower_ascii, saved
+from cellweave.llm.shared import lower_ascii, saved, unused
 from cellweave.plans.skew import broadcast_if_small
 
 # Segments below this depth count as one tail; the tree is no deeper.
@@ -56,12 +56,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url",
     """
     made = ("host", "path", "rule", "verdict", "template", "block_share")
     own = [F.col(f"`{c}`") for c in pages.columns if c not in made]
+    fit = unused("_rule", pages)
     rows = pages.select(
         *own, host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path")
-    ).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    ).withColumn(fit, rule_of(F.col("host"), F.col("path"), rules))
     paths = saved(
-        rows.groupBy("host", "path", "_rule").agg(F.count("*").alias("n")).select(
-            "host", "path", "n", F.col("_rule.verdict").alias("label")
+        rows.groupBy("host", "path", fit).agg(F.count("*").alias("n")).select(
+            "host", "path", "n", F.col(f"{fit}.verdict").alias("label")
         ),
         "url-paths",
     )
@@ -73,8 +74,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url",
         *own,
         "host",
         "path",
-        F.col("_rule.rule").alias("rule"),
-        F.coalesce(F.col("_rule.verdict"), by_method).alias("verdict"),
+        F.col(f"{fit}.rule").alias("rule"),
+        F.coalesce(F.col(f"{fit}.verdict"), by_method).alias("verdict"),
         "template",
         "block_share",
     )

@@ -48,12 +48,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document; every text must decode to itself."""
+    """Piece ids of each document, and whether they decode to its text (NULL: empty)."""
     ship_package(spark)
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    back = piece_codec.decode(piece_codec.encode(docs, model), model)
-    whole = F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False))
-    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", whole.alias("round_trip"))
+    back = piece_codec.round_trips(docs, model)
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [

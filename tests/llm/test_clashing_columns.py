@@ -1,0 +1,69 @@
+"""Operators that filter or rewrite whole rows keep every column, whatever its name."""
+
+from pyspark.sql import functions as F
+
+from cellweave.llm import bag_minhash, decontaminate, quality_ranking, secret_scan, toxicity, url_filter
+from cellweave.llm.shared import saved, unused
+
+NAMES = ["_row", "_node", "_away", "_id", "_name", "_blob", "_spans", "_rule", "_key", "hits", "items", "node", "class_id", "spans", "blob", "_NODE_"]
+TEXT = "one two three four five six seven eight nine ten eleven twelve"
+
+
+def docs(spark):
+    rows = [(1, TEXT), (2, TEXT + " thirteen"), (3, "password = abcdef123 " + TEXT[::-1]), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in NAMES})
+
+
+def kept(df, given, ids):
+    assert df.columns == given.columns
+    rows = {r["doc_id"]: r for r in df.collect()}
+    assert set(rows) == ids
+    for i, r in rows.items():
+        assert [r[n] for n in NAMES] == [f"{n}{i}" for n in NAMES]
+    return rows
+
+
+def test_unused_names():
+    class Frame:
+        columns = ["_a", "_A_", "b"]
+
+    assert unused("_a", Frame) == "_a__" and unused("B", Frame) == "B_" and unused("c", Frame) == "c"
+
+
+def test_rows_stay_whole(spark):
+    given = docs(spark)
+    kept(bag_minhash.representatives(given), given, {1, 3, 4})
+    items = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    kept(decontaminate.clean(given, items), given, {3, 4, 5})
+    ledger = saved(secret_scan.scan_new(given.select(F.col("doc_id").alias("path"), F.col("text").alias("content"))), "t")
+    rows = kept(secret_scan.redacted(given, ledger), given, {1, 2, 3, 4, 5})
+    assert rows[3]["text"].startswith("[assign] ") and rows[1]["text"] == TEXT and rows[4]["text"] is None
+    for model, module in ((toxicity.train([], []), toxicity), (quality_ranking.train(*quality_empty()), quality_ranking)):
+        scored = module.score(given, model)
+        kept(scored.drop("score"), given, {1, 2, 3, 4, 5})
+
+
+def quality_empty():
+    import numpy as np
+
+    return np.zeros((0, quality_ranking.FEATURES)), np.zeros(0, int)
+
+
+def test_judged_pages_stay_whole(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", "r1"), (2, None, "r2"), (3, "http://b.org/y", "r3")], "page_id long, url string, _rule string")
+    got = {r["page_id"]: r for r in url_filter.judge(pages, [("block", "net/")]).collect()}
+    assert {i: r["_rule"] for i, r in got.items()} == {1: "r1", 2: "r2", 3: "r3"}
+    assert got[1]["rule"] == "net/" and got[1]["verdict"] == "block" and got[3]["rule"] is None
+
+
+def test_more_texts_than_a_shingle_key_counts(spark):
+    rows = [(i, f"{i} b c d e f") for i in range(70_000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    try:
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        signed = bag_minhash.signatures(df).select("doc_id", "signature", "shingles")
+        assert signed.filter("shingles = 2").count() == 70_000
+        assert signed.select("signature").distinct().count() == 70_000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

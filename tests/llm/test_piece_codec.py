@@ -20,11 +20,24 @@ def test_same_ids_and_text_as_the_other_library(theirs, text):
     assert tool.decode([ids]) == [theirs.decode(ids)]
 
 
-def test_verification_by_words(theirs):
+def test_verification_of_whole_texts(theirs):
     tool = piece_codec.Codec(MODEL, verify=True)
-    assert all(tool.agreed(ODD)) and not tool.odd
-    tool.odd.add("a")
-    assert [tool.agreed([t])[0] for t in ("a b", "b ab", "")] == [False, True, True]
+    texts = [*ODD, "a b", "b ab"]
+    ids = tool.encode(texts)
+    back = tool.decode([i.tolist() for i in ids])
+    assert all(tool.agreed(texts, ids, back))
+    wrong = [i[:-1] for i in ids]
+    assert [a for a, i in zip(tool.agreed(texts, wrong, back), ids) if len(i)] == [False] * sum(len(i) > 0 for i in ids)
+    assert not any(tool.agreed(texts, ids, [b + "x" for b in back]))
+
+
+def test_words_are_remembered_up_to_a_size(theirs, monkeypatch):
+    monkeypatch.setattr(piece_codec, "REMEMBER", 5_000)
+    tool = piece_codec.Codec(MODEL)
+    for i in range(50):
+        text = f"word{i} " + "x" * 500 + f" other{i}"
+        assert tool.encode([text])[0].tolist() == theirs.encode(text)
+        assert tool.held < 20_000 and len(tool.known) < 40
 
 
 @pytest.mark.parametrize("ids", [[], [1, 22557, 2], [200], [22557, 3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [13, 13]])

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -41,6 +42,51 @@ def test_misspellings_and_long_texts(model):
     assert all(scorer(t) < 0.5 for t in (None, "", "!!! ...", "river"))
 
 
+def plain_score(model, text):
+    """The weighted average of all distinct words, word by word."""
+    words = list(dict.fromkeys(toxicity.WORD.findall((text or "").lower())))
+    if not words:
+        return 1 / (1 + math.exp(-(model.bias + toxicity.NO_WORDS)))
+    scores = []
+    for word in words:
+        rows = np.concatenate([r for r, _ in toxicity.grams([word])])
+        scores.append(sum(float(model.weight[r]) for r in rows) / len(rows))
+    weights = [math.exp(toxicity.ATTENTION * x) for x in scores]
+    logit = model.bias + sum(w * x for w, x in zip(weights, scores)) / sum(weights)
+    return 1 / (1 + math.exp(-logit))
+
+
+def test_scores_equal_a_plain_average(model):
+    scorer = toxicity.Scorer(model)
+    for text in [*made(40, 5)[0], None, "", "a", "stupid", " ".join(f"w{i}" for i in range(500)), "é" * 300]:
+        assert scorer(text) == pytest.approx(plain_score(model, text), abs=1e-6)
+
+
+def test_more_words_of_the_same_kind_do_not_move_a_score():
+    """Texts of very many distinct words, none of which training has seen."""
+    rng = random.Random(8)
+    parts = ["an", "er", "th", "ou", "in", "re", "ly", "st", "ea", "le", "on", "ti"]
+
+    def text(n):
+        return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    texts, labels = [], []
+    for i in range(600):
+        words = text(rng.randint(20, 400)).split()
+        labels.append(int(i % 4 == 0))
+        if labels[-1]:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        texts.append(" ".join(words))
+    scorer = toxicity.Scorer(toxicity.train(texts, np.array(labels)))
+    long = [text(n) for n in (300, 3_000, 10_000, 30_000, 30_000)]
+    assert len(set(long[-1].split())) > 15_000
+    scores = [scorer(t) for t in long]
+    assert max(scores) < 0.5 and max(scores) - min(scores) < 0.3
+    assert all(scorer(t + " " + " ".join(BAD * 2)) > s + 0.1 for t, s in zip(long, scores))
+    assert scorer(long[1] + " " + " ".join(BAD)) > 0.5
+
+
 def test_one_class_only():
     assert toxicity.Scorer(toxicity.train(["a"], np.array([0])))("a") < 0.5
     assert toxicity.Scorer(toxicity.train([], np.array([], int)))("a") < 0.5
