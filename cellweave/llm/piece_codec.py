@@ -2,13 +2,12 @@
 
 The model's protobuf is read here, and its normaliser, marker for spaces,
 scores and byte fallback are rebuilt as a tokenizers pipeline, for models of the BPE
-and of the unigram kind. Batches of distinct words or texts go through the
-library's threads, and ``parity`` compares every whole text's ids and decoding with the sentencepiece library's.
+and of the unigram kind. Batches of whole texts go through the library's threads,
+and ``parity`` compares every text's ids and decoding with the sentencepiece library's.
 """
 
 from __future__ import annotations
 
-import itertools
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +24,8 @@ MARK = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-# Bytes of words and ids that a task remembers, about, and rows that it encodes at once.
-REMEMBER, BATCH = 96 << 20, 200
-# What a remembered word takes besides its characters and ids.
-_OVERHEAD = 200
+# Rows that a task encodes at once, and threads that share them.
+BATCH, THREADS = 200, 2
 
 
 @dataclass(frozen=True)
@@ -135,18 +132,13 @@ class Codec:
             self.model = parse(file.read())
         self.tokenizer = build(self.model)
         # Merges never cross from another character to a mark unless some piece has one inside;
-        # without such pieces, and with nothing to normalise, words are encoded by themselves.
+        # without such pieces a text is cut before its marks, which keeps merging short.
         inside = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER))
-        self.by_word = self.model.kind == BPE and self.model.dummy_prefix and not (inside or self.model.rules or self.model.squeeze)
-        self.known: dict[str, bytes] = {}
-        self.held = 0
-        self.bytes = [_plain(p, kind) for p, _, kind in self.model.pieces]
-        if self.by_word:
-            from tokenizers import normalizers
+        if self.model.kind == BPE and self.model.dummy_prefix and not inside:
+            from tokenizers import Regex, pre_tokenizers
 
-            # Words come with their marks, so the pipeline for words changes nothing.
-            self.words = build(self.model)
-            self.words.normalizer = normalizers.Sequence([])
+            self.tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
+        self.bytes = [_plain(p, kind) for p, _, kind in self.model.pieces]
         self.other = None
         if verify:
             import sentencepiece
@@ -155,37 +147,15 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; empty texts have none."""
-        if not self.by_word:
-            found = self.tokenizer.encode_batch([t for t in texts if t], add_special_tokens=False)
-            rest = iter(found)
-            return [np.array(next(rest).ids if t else [], np.int32) for t in texts]
-        split = [_words(t) for t in texts]
-        known = self.known
-        try:
-            packed = [b"".join([known[w] for w in words]) for words in split]
-        except KeyError:
-            self._learn(split)
-            packed = [b"".join([known[w] for w in words]) for words in split]
-        return [np.frombuffer(p, np.int32) for p in packed]
+        found = iter(self.tokenizer.encode_batch_fast([t for t in texts if t], add_special_tokens=False))
+        return [np.array(next(found).ids if t else [], np.int32) for t in texts]
 
     def agreed(self, texts: list[str], ids: list[np.ndarray], back: list[str]) -> list[bool]:
         """Whether the sentencepiece library, ``self.other``, encodes each whole text to ``ids``, and decodes them to ``back``."""
-        theirs = self.other.encode(texts, num_threads=_threads())
-        their_back = self.other.decode([i.tolist() for i in ids], num_threads=_threads())
+        theirs = self.other.encode(texts, num_threads=THREADS)
+        their_back = self.other.decode([i.tolist() for i in ids], num_threads=THREADS)
         return [a.tolist() == b and c == d for a, b, c, d in zip(ids, theirs, back, their_back)]
 
-    def _learn(self, split: list[list[str]]) -> None:
-        """Make the ids of all words in ``split`` known, as packed numbers."""
-        if self.held > REMEMBER:
-            self.known.clear()
-            self.held = 0
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        marked = [w if w[0] == MARK else MARK + w for w in new]
-        ids = [f.ids for f in self.words.encode_batch_fast(marked, add_special_tokens=False)]
-        known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
-        self.held += sum(_OVERHEAD + 4 * (len(w) + len(i)) for w, i in zip(new, ids))
-
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of lists of ids.
 
@@ -195,7 +165,7 @@ class Codec:
         plain = self.bytes
         out: list[str | None] = []
         for own in ids:
-            joined = b"".join([plain[i] for i in own])
+            joined = b"".join(map(plain.__getitem__, own))
             if self.model.dummy_prefix:
                 first = next((i for i in own if self.model.pieces[i][2] != CONTROL), None)
                 if first is not None and self.model.pieces[first][0].startswith(MARK):
@@ -218,35 +188,13 @@ def _plain(piece: str, kind: int) -> bytes:
     return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
 
-def _words(text: str) -> list[str]:
-    """The words of a text: plain where one space parts them, else with the marks before them.
-
-    Marks at the end of a text are a word.
-    """
-    if not text:
-        return []
-    if "  " not in text and MARK not in text and text[0] != " " != text[-1]:
-        return text.split(" ")
-    words, waiting = [], 0
-    for part in text.replace(" ", MARK).split(MARK):
-        waiting += 1
-        if part:
-            words.append(MARK * waiting + part)
-            waiting = 0
-    if waiting:
-        words.append(MARK * waiting)
-    return words
-
-
 @lru_cache(maxsize=2)
 def codec(path: str, verify: bool = False) -> Codec:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     return Codec(path, verify)
 
 
-def _threads() -> int:
-    return os.cpu_count() or 1
-
-
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the piece ids of ``text``; NULL counts as empty and has no ids.
 
@@ -256,7 +204,6 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         tool = codec(model)
         for part in _slices(batches):
             ids = tool.encode([t or "" for t in part.column(at).to_pylist()])
@@ -298,7 +245,6 @@ def _checked(docs: DataFrame, model: str, text: str, verify: bool) -> DataFrame:
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         tool = codec(model, verify)
         for part in _slices(batches):
             texts = [t or "" for t in part.column(at).to_pylist()]

@@ -31,15 +31,6 @@ def test_verification_of_whole_texts(theirs):
     assert not any(tool.agreed(texts, ids, [b + "x" for b in back]))
 
 
-def test_words_are_remembered_up_to_a_size(theirs, monkeypatch):
-    monkeypatch.setattr(piece_codec, "REMEMBER", 5_000)
-    tool = piece_codec.Codec(MODEL)
-    for i in range(50):
-        text = f"word{i} " + "x" * 500 + f" other{i}"
-        assert tool.encode([text])[0].tolist() == theirs.encode(text)
-        assert tool.held < 20_000 and len(tool.known) < 40
-
-
 @pytest.mark.parametrize("ids", [[], [1, 22557, 2], [200], [22557, 3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [13, 13]])
 def test_decode_any_ids(theirs, ids):
     assert piece_codec.codec(MODEL).decode([ids]) == [theirs.decode(ids)]
