@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Characters of a token; everything else separates tokens.
 NOT_TOKEN = r"[^\p{L}\p{N}_#@]+"
@@ -18,8 +21,19 @@ def has_keys(json: Column, names: Sequence[str]) -> Column:
 
     NULL for text that is no JSON object.
     """
-    found = F.array_intersect(F.json_object_keys(json), F.array(*[F.lit(n) for n in set(names)]))
-    return F.when(found.isNotNull(), F.size(found) == len(set(names)))
+    found = F.array_intersect(F.json_object_keys(json), F.array(*[F.lit(n) for n in sorted(set(names))]))
+    return F.array_size(found) == len(set(names))
+
+
+def parsed_with_keys(json: Column, schema: StructType, names: Sequence[str]) -> Column:
+    """An array of the one struct that a JSON object with all the keys holds; an empty one for other text.
+
+    The text is parsed once. Only where a key's value is null, which a struct cannot tell from
+    a missing key, are the keys themselves read. Explode it: conditions on the
+    struct then stay behind the parse and do not repeat it.
+    """
+    some_null = lambda m: reduce(or_, [m[n].isNull() for n in sorted(set(names))])
+    return F.filter(F.array(F.from_json(json, schema)), lambda m: ~some_null(m) | has_keys(json, names))
 
 
 def millis_timestamp(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellweave.functions.events import has_keys, in_sample, millis_timestamp, tracks
+from cellweave.functions.events import in_sample, millis_timestamp, parsed_with_keys, tracks
 from cellweave.functions.text import ascii_only, join_texts, or_empty
 from cellweave.schema import puts_from_wide, record
 
@@ -48,8 +48,7 @@ def parse_messages(
     keep only ASCII and are empty when missing. ``keep`` is a condition on the
     message ``m`` as it came, such as ``tracked(phrases, text="m.text", lang="m.lang")``.
     """
-    message = F.from_json(F.col(line), MESSAGE)
-    kept = lines.filter(has_keys(F.col(line), REQUIRED_FIELDS)).select(message.alias("m"))
+    kept = lines.select(F.explode(parsed_with_keys(F.col(line), MESSAGE, REQUIRED_FIELDS)).alias("m"))
     if keep is not None:
         kept = kept.filter(keep)
     hashtags = F.transform("m.entities.hashtags.text", lambda t: ascii_only(or_empty(t)))

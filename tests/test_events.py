@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.functions.events import has_keys, millis_timestamp, tracks
+from cellweave.functions.events import has_keys, millis_timestamp, parsed_with_keys, tracks
 from cellweave.sources.events import (
+    MESSAGE,
+    REQUIRED_FIELDS,
     message_puts,
     parse_messages,
     read_stream,
@@ -138,6 +140,38 @@ def test_presence_parses_once(spark):
     assert df.filter(has_keys(F.col("j"), ["a", "b"])).count() == 2
 
 
+ODD = [
+    {"id": "12", "text": 5, "timestamp_ms": 5, "user": None},
+    {"id": 1.5, "text": {"b": 1, "a": 2}, "timestamp_ms": "x", "user": "s"},
+    {"id": 1, "text": None, "timestamp_ms": None, "user": None, "entities": {"hashtags": [1, {"text": "k"}]}},
+    {"id": 10**20, "text": True, "timestamp_ms": 1.5, "user": {"id": "a", "id_str": 3}, "place": []},
+    '{"id": 1, "id": 2, "text": "a", "timestamp_ms": "1", "user": {"id": 3, "id": 4}}',
+    '{"id": 1, "text": "a", "timestamp_ms": "1", "user": {}} junk',
+    '{"id": 1, "text": "a", "timestamp_ms": "1", "user": {}, junk',
+    '[{"id": 1, "text": "a", "timestamp_ms": "1", "user": {}}]',
+    '{"place": {"id": 1, "text": "a", "timestamp_ms": "1", "user": {}}}',
+    '{"m": [], "id": null, "text": null, "timestamp_ms": null, "user": null',
+    "{'id': 1, 'text': 'a', 'timestamp_ms': '1', 'user': {}}",
+    '{"ID": 1, "text": "a", "timestamp_ms": "1", "user": {}}',
+    " ",
+]
+
+
+def test_one_parse_gives_what_two_give(spark):
+    df = lines(spark, FULL, *[{k: v for k, v in FULL.items() if k != gone} for gone in FULL], *ODD)
+    once = df.select(F.explode(parsed_with_keys(F.col("value"), MESSAGE, REQUIRED_FIELDS)).alias("m"))
+    twice = df.filter(has_keys(F.col("value"), REQUIRED_FIELDS)).select(F.from_json("value", MESSAGE).alias("m"))
+    assert once.count() == 12
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, twice.collect()))
+
+
+def test_a_condition_does_not_parse_again(spark):
+    messages = parse_messages(lines(spark, FULL), keep=tracked("x", text="m.text", lang="m.lang"))
+    plan = messages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert [r["id"] for r in messages.collect()] == [1]
+
+
 def test_tracked_splits_at_commas_and_tests_the_language(spark):
     df = spark.createDataFrame([("a", "en"), ("b", "fr"), ("b", "he"), ("c", "en")], "text STRING, lang STRING")
     assert {tuple(r) for r in df.filter(tracked("a,b")).collect()} == {("a", "en"), ("b", "he")}
