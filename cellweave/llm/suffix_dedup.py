@@ -2,7 +2,7 @@
 
 A suffix is known by its first LENGTH bytes: two tokens of half that length, each
 coded in 64 bits. Suffixes are partitioned by ranges of (tokens, document)
-whose splitters Spark samples, each bucket is sorted by multikey quicksort, and
+whose splitters are sampled, each bucket is sorted by multikey quicksort, and
 suffixes with equal tokens, which now lie side by side, are compared by document. As
 the document is part of the order, a string that a third of all documents hold fills several
 buckets; what the ends of buckets say of such a string is put together afterwards.
@@ -10,25 +10,34 @@ buckets; what the ends of buckets say of such a string is put together afterward
 Only suffixes that may repeat are sorted. Among the half-length strings inside a
 suffix's first LENGTH bytes the one with the least code is its anchor; equal
 suffixes have equal anchors, so those whose anchor occurs in one text only are left out,
-and so are whole copies of a text, which are known by their digest.
+and so are whole copies of a text, which are known by their digest. Texts of one least
+anchor, mostly near copies, are worked on together: of equal suffixes there only those of the first
+text go on to the buckets.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.shared import saved
 from cellweave.llm.tokens import mix, powers
+from cellweave.plans.skew import broadcast_if_small
 
 LENGTH = 50
 HALF = LENGTH // 2
 # Suffixes of one bucket, about; a bucket is sorted in one task's memory.
 BUCKET_ROWS = 500_000
+# Sampled suffixes for each bucket, and texts from which on not all are looked at to sample.
+SAMPLE_EACH, SAMPLE_TEXTS = 50, 2_000
+# A group of near copies with suffixes for more buckets than this is dealt to several tasks.
+TASK_BLOCKS = 8
 # Bytes of text that are worked on together.
 PIECE = 1 << 18
 # Segments as short as this are left to numpy's sort.
@@ -108,84 +117,202 @@ def multikey_quicksort(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _anchors(texts: DataFrame) -> DataFrame:
-    """Distinct ``node`` and ``anchor`` of ``texts`` (``node``, ``text``)."""
+    """``node`` and ``anchor`` of ``texts`` (``node``, ``text``), each once for a part of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column(0).to_numpy()
             for text, _, _, _, code, place in suffixes(batch.column(1).to_pylist()):
                 new = np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])])
+                text, code = text[new], code[new]
+                order = np.lexsort((code, text))
+                text, code = text[order], code[order]
+                new = np.concatenate([[True], (code[1:] != code[:-1]) | (text[1:] != text[:-1])])
                 columns = [pa.array(nodes[text[new]]), pa.array(code[new].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "anchor"])
 
     return texts.select("node", "text").mapInArrow(run, "node long, anchor long")
 
 
-def _candidates(texts: DataFrame) -> DataFrame:
-    """The suffixes of ``texts`` (``node``, ``rank``, ``text``, ``anchors``) that have one of the anchors."""
+Suffixes = tuple[np.ndarray, ...]  # first, second, rank, node, place
+
+
+def _candidates(batch: pa.RecordBatch) -> Iterator[Suffixes]:
+    """The suffixes of texts (``node``, ``rank``, ``text``, ``anchors``) that have one of the anchors."""
+    nodes, ranks, anchors = batch["node"].to_numpy(), batch["rank"].to_numpy(), batch["anchors"]
+    for text, place, first, second, code, _ in suffixes(batch["text"].to_pylist()):
+        own = np.unique(text)
+        kept = np.zeros(len(text), bool)
+        for lo, hi, i in zip(np.searchsorted(text, own), np.searchsorted(text, own, "right"), own):
+            kept[lo:hi] = np.isin(code[lo:hi], anchors[int(i)].values.to_numpy().view(np.uint64))
+        t = text[kept]
+        yield first[kept].view(np.int64), second[kept].view(np.int64), ranks[t], nodes[t], place[kept].astype(np.int32)
+
+
+def _ordered(parts: list[Suffixes]) -> tuple[Suffixes, np.ndarray]:
+    """All suffixes in order, and where each string begins among them."""
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    order = multikey_quicksort(columns[:3])
+    first, second, rank, node, place = (c[order] for c in columns)
+    new = np.concatenate([np.ones(min(len(first), 1), bool), (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+    return (first, second, rank, node, place), np.flatnonzero(new)
+
+
+def _later(rank: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Whether a suffix's string has a suffix of smaller rank before it."""
+    return rank > np.repeat(rank[heads], np.diff(np.append(heads, len(rank))))
+
+
+def _runs(node: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Node, first and last place of every run of consecutive places."""
+    order = np.lexsort((place, node))
+    node, place = node[order], place[order]
+    new = np.concatenate([np.ones(min(len(node), 1), bool), (node[1:] != node[:-1]) | (place[1:] != place[:-1] + 1)])
+    heads = np.flatnonzero(new)
+    return node[heads], place[heads], place[np.append(heads[1:], len(node)) - 1] if len(heads) else place[heads]
+
+
+def _splitters(texts: DataFrame, n_texts: int, n_suffixes: int, buckets: int) -> list[tuple[int, int, int]]:
+    """Ends (first, second, rank) of all buckets but the last, from suffixes of texts chosen by hash.
+
+    They decide how even buckets are, and nothing else. Some SAMPLE_EACH suffixes a bucket come to the driver.
+    """
+    if buckets == 1:
+        return []
+    one_in = int(np.clip(n_texts // SAMPLE_TEXTS, 1, 64))
+    step = max(1, n_suffixes // (buckets * SAMPLE_EACH * one_in))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, ranks, anchors = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
-            for text, place, first, second, code, _ in suffixes(batch.column(2).to_pylist()):
-                own = np.unique(text)
-                kept = np.zeros(len(text), bool)
-                for lo, hi, i in zip(np.searchsorted(text, own), np.searchsorted(text, own, "right"), own):
-                    kept[lo:hi] = np.isin(code[lo:hi], anchors[int(i)].values.to_numpy().view(np.uint64))
-                t = text[kept]
-                columns = [first[kept].view(np.int64), second[kept].view(np.int64), ranks[t], nodes[t], place[kept].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "second", "rank", "node", "place"])
-
-    return texts.select("node", "rank", "text", "anchors").mapInArrow(
-        run, "first long, second long, rank long, node long, place int"
-    )
+            for first, second, rank, _, _ in _candidates(batch):
+                rows = mix(first.view(np.uint64) ^ rank.view(np.uint64)) % np.uint64(step) == 0
+                columns = [pa.array(c[rows]) for c in (first, second, rank)]
+                yield pa.RecordBatch.from_arrays(columns, names=["first", "second", "rank"])
+
+    chosen = texts.filter(F.pmod(F.xxhash64("node"), F.lit(one_in)) == 0)
+    found = chosen.mapInArrow(run, "first long, second long, rank long").toArrow()
+    first, second, rank = (found[c].to_numpy() for c in ("first", "second", "rank"))
+    order = multikey_quicksort([first, second, rank])
+    ends = order[np.arange(1, buckets) * len(order) // buckets] if len(order) else order
+    return sorted(set(zip(first[ends].tolist(), second[ends].tolist(), rank[ends].tolist())))
+
 
+def _bucketed(texts: DataFrame, splitters: list[tuple[int, int, int]]) -> DataFrame:
+    """Suffixes of ``texts`` by ``bucket``: blocks of those that no other of the same block precedes, and runs of all others.
 
-def _compared(suffix: DataFrame) -> DataFrame:
-    """One bucket a partition: suffixes with an earlier equal (DECIDED), those equal to its first one (OPEN), and its EDGEs."""
+    A text's neighbours in a block are likely near copies of it, so most of what repeats is
+    decided before it is shuffled. A block is one row a bucket (``packed``); a run is ``node``, ``place`` and ``upto``.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(splitters)
+    buckets = len(splitters) + 1
+    names = ["bucket", "packed", "node", "place", "upto"]
+
+    def block(parts: list[Suffixes]) -> Iterator[pa.RecordBatch]:
+        suffix, heads = _ordered(parts)
+        later = _later(suffix[2], heads)
+        nodes, places, upto = _runs(suffix[3][later], suffix[4][later])
+        if len(nodes):
+            none = pa.nulls(len(nodes), pa.binary())
+            of = (nodes % buckets).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (of, none, nodes, places, upto)], names=names)
+        suffix = tuple(c[~later] for c in suffix)
+        of = _bucket_of(suffix, shared.value)
+        edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
+        packed = [b"".join(c[a:b].tobytes() for c in suffix) for a, b in zip(edges[:-1], edges[1:])]
+        none = [pa.nulls(len(packed), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+        columns = [pa.array(of[edges[:-1]].astype(np.int32)), pa.array(packed, pa.binary()), *none]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = list(batches)
-        if not sum(b.num_rows for b in whole):
+        held, size = [], 0
+        for part in (p for batch in batches for p in _candidates(batch) if len(p[0])):
+            held.append(part)
+            size += len(part[0])
+            if size >= BUCKET_ROWS:
+                yield from block(held)
+                held, size = [], 0
+        if held:
+            yield from block(held)
+
+    return texts.mapInArrow(run, "bucket int, packed binary, node long, place int, upto int")
+
+
+def _bucket_of(suffix: Suffixes, splitters: list[tuple[int, int, int]]) -> np.ndarray:
+    """How many splitters are less than each suffix."""
+    first = np.array([s[0] for s in splitters], np.int64)
+    bucket, most = np.searchsorted(first, suffix[0]), np.searchsorted(first, suffix[0], "right")
+    for i in np.flatnonzero(bucket < most):
+        bucket[i] = bisect_left(splitters, tuple(int(c[i]) for c in suffix[:3]))
+    return bucket
+
+
+def _unpacked(raw: bytes) -> Suffixes:
+    n = len(raw) // 36
+    longs = np.frombuffer(raw, np.int64, 4 * n).reshape(4, n)
+    return (*longs, np.frombuffer(raw, np.int32, n, 32 * n))
+
+
+def _compared(blocks: DataFrame) -> DataFrame:
+    """One bucket a partition: runs of suffixes with an earlier equal (DECIDED), those equal to its first one (OPEN), and its EDGEs."""
+    names = ["kind", "first", "second", "rank", "node", "place", "upto"]
+
+    def told(kind: int, suffix: Suffixes, rows: np.ndarray) -> pa.RecordBatch:
+        columns = [np.full(len(rows), kind, np.int8), *(c[rows] for c in suffix), suffix[4][rows]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def decided(node: pa.Array, place: pa.Array, upto: pa.Array) -> pa.RecordBatch:
+        kind, none = pa.array(np.full(len(node), DECIDED, np.int8)), pa.nulls(len(node), pa.int64())
+        return pa.RecordBatch.from_arrays([kind, none, none, none, node, place, upto], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            known = batch.filter(pc.is_valid(batch["node"]))
+            yield decided(known["node"], known["place"], known["upto"])
+            parts += [_unpacked(raw.as_py()) for raw in batch["packed"].drop_null()]
+        if not parts:
             return
-        first, second, rank, node, place = (np.concatenate([b.column(k).to_numpy() for b in whole]) for k in range(5))
-        whole.clear()
-        order = multikey_quicksort([first, second, rank])
-        first, second, rank, node, place = first[order], second[order], rank[order], node[order], place[order]
-        new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-        sizes = np.diff(np.append(new, len(first)))
-        kind = np.where(rank > np.repeat(rank[new], sizes), DECIDED, -1).astype(np.int8)
-        kind[: sizes[0]] = OPEN
-        told = np.flatnonzero(kind >= 0)
-        told = np.concatenate([told, new[[0, -1]]])
-        kinds = kind[told]
-        kinds[-2:] = EDGE
-        names = ["kind", "first", "second", "rank", "node", "place"]
-        for at in range(0, len(told), 100_000):
-            rows = told[at : at + 100_000]
-            columns = [kinds[at : at + 100_000], first[rows], second[rows], rank[rows], node[rows], place[rows]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-
-    return suffix.mapInArrow(run, "kind byte, first long, second long, rank long, node long, place int")
+        suffix, heads = _ordered(parts)
+        parts.clear()
+        later = _later(suffix[2], heads)
+        later[: heads[1] if len(heads) > 1 else len(later)] = False
+        yield told(OPEN, suffix, np.arange(heads[1] if len(heads) > 1 else len(later)))
+        yield told(EDGE, suffix, heads[[0, -1]])
+        yield decided(*map(pa.array, _runs(suffix[3][later], suffix[4][later])))
+
+    schema = "kind byte, first long, second long, rank long, node long, place int, upto int"
+    return blocks.mapInArrow(run, schema)
 
 
 def repeats(texts: DataFrame) -> DataFrame:
-    """``node`` and ``places`` of the suffixes whose first LENGTH bytes also start in a text of smaller ``rank``.
+    """``node`` and ``runs`` of places of the suffixes whose first LENGTH bytes also start in a text of smaller ``rank``.
 
     ``texts`` is a table of ``node`` (distinct), ``rank`` and ``text``.
     """
     anchors = saved(_anchors(texts), "suffix-anchors")
     many = anchors.groupBy("anchor").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("anchor")
-    shared = saved(anchors.join(many, "anchor").select("node", "anchor"), "suffix-shared")
-    buckets = max(1, shared.count() * PER_ANCHOR // BUCKET_ROWS)
-    listed = shared.groupBy("node").agg(F.collect_set("anchor").alias("anchors"))
-    suffix = _candidates(texts.join(listed, "node"))
-    told = saved(_compared(suffix.repartitionByRange(buckets, "first", "second", "rank")), "suffix-told")
-    # At most two rows a bucket.
+    listed = anchors.join(many, "anchor").groupBy("node").agg(F.collect_set("anchor").alias("anchors"), F.min("anchor").alias("lead"))
+    listed = saved(listed, "suffix-listed")
+    # Near copies mostly have the same least anchor; a large group of them is dealt to several tasks.
+    size = F.sum(F.size("anchors").cast("long"))
+    slots = F.ceil(size * PER_ANCHOR / (TASK_BLOCKS * BUCKET_ROWS)).alias("slots")
+    large = listed.groupBy("lead").agg(slots).filter("slots > 1")
+    slot = F.pmod(F.xxhash64("node"), F.coalesce("slots", F.lit(1)))
+    together = listed.join(broadcast_if_small(large), "lead", "left").select("node", "anchors", "lead", slot.alias("slot"))
+    held = listed.agg(F.count("*").alias("texts"), size.alias("anchors")).first()
+    n_suffixes = (held["anchors"] or 0) * PER_ANCHOR
+    columns = ["node", "rank", "text", "anchors"]
+    wanted = texts.join(broadcast_if_small(together), "node")
+    splitters = _splitters(wanted.select(*columns), held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
+    # Arrow batches are cut from rows in the order of their groups.
+    near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").select(*columns)
+    blocks = _bucketed(near, splitters).repartitionById(len(splitters) + 1, F.col("bucket"))
+    told = saved(_compared(blocks), "suffix-told")
     edges = told.filter(F.col("kind") == EDGE).groupBy("first", "second").agg(F.min("rank").alias("least"))
-    late = told.filter(F.col("kind") == OPEN).join(F.broadcast(edges), ["first", "second"]).filter("rank > least")
-    found = told.filter(F.col("kind") == DECIDED).select("node", "place").unionByName(late.select("node", "place"))
-    return found.groupBy("node").agg(F.collect_list("place").alias("places"))
+    late = told.filter(F.col("kind") == OPEN).join(broadcast_if_small(edges), ["first", "second"]).filter("rank > least")
+    run = F.struct("place", "upto").alias("run")
+    found = told.filter(F.col("kind") == DECIDED).select("node", run).unionByName(late.select("node", run))
+    return found.groupBy("node").agg(F.collect_list("run").alias("runs"))
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -206,28 +333,27 @@ def removed(docs: DataFrame) -> DataFrame:
     copies = rows.select("node", "rank", "digest").join(least, "digest").filter("rank > least").select("node", F.lit(True).alias("copy"))
     copies = saved(copies, "suffix-copies")
     found = repeats(rows.join(copies, "node", "left_anti").select("node", "rank", "text"))
-    every = found.select("node", "places", F.lit(False).alias("copy")).unionByName(
-        copies.select("node", F.lit(None).cast("array<int>").alias("places"), "copy")
+    every = found.select("node", "runs", F.lit(False).alias("copy")).unionByName(
+        copies.select("node", F.lit(None).cast("array<struct<place: int, upto: int>>").alias("runs"), "copy")
     )
-    return _cut(rows.select("node", "doc_id", "text").join(every, "node", "left").select("doc_id", "text", "places", "copy"))
+    return _cut(rows.select("node", "doc_id", "text").join(every, "node", "left").select("doc_id", "text", "runs", "copy"))
 
 
 def _cut(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, spans, kept = [], [], []
-            for text, places, copy in zip(batch.column(1), batch.column(2), batch.column(3)):
+            for text, told, copy in zip(batch.column(1), batch.column(2), batch.column(3)):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
-                at = np.zeros(0, np.int64)
-                if copy.as_py() and len(raw) >= LENGTH:
-                    at = np.zeros(1, np.int64)
-                elif places.is_valid:
-                    at = np.sort(places.values.to_numpy().astype(np.int64))
-                end = len(raw) if copy.as_py() else None
-                # Places no further apart than LENGTH belong to one run.
-                heads = np.flatnonzero(np.concatenate([[True], np.diff(at) > LENGTH])) if len(at) else at
-                tails = np.append(heads[1:] - 1, len(at) - 1) if len(at) else at
-                runs = [(int(at[a]), end or int(at[b]) + LENGTH) for a, b in zip(heads, tails)]
+                runs = [(0, len(raw))] if copy.as_py() and len(raw) >= LENGTH else []
+                if told.is_valid:
+                    place, upto = (told.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                    order = np.argsort(place)
+                    place, upto = place[order], upto[order]
+                    # Places no further apart than LENGTH belong to one run.
+                    heads = np.flatnonzero(np.concatenate([[True], place[1:] - upto[:-1] > LENGTH]))
+                    tails = np.append(heads[1:], len(place)) - 1
+                    runs = [(int(place[a]), int(upto[b]) + LENGTH) for a, b in zip(heads, tails)]
                 edges = [0, *(e for r in runs for e in r), len(raw)]
                 sizes.append(len(raw))
                 spans.append([{"start": a, "end": b} for a, b in runs])

@@ -85,6 +85,24 @@ def test_parts_hold_the_same_suffixes():
     assert every(100) == every(1 << 20)
 
 
+def test_bucket_of_a_suffix():
+    rng = np.random.default_rng(5)
+    columns = tuple(rng.integers(-3, 3, 300) for _ in range(3))
+    splitters = sorted({tuple(int(c[i]) for c in columns) for i in range(0, 300, 9)})
+    got = suffix_dedup._bucket_of(columns, splitters)
+    assert got.tolist() == [sum(s < row for s in splitters) for row in zip(*map(np.ndarray.tolist, columns))]
+    assert suffix_dedup._bucket_of(columns, []).tolist() == [0] * 300
+
+
+def test_a_group_of_copies_in_several_tasks(spark, monkeypatch):
+    """Near copies are dealt to tasks and blocks; none of these holds the first copy of all."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", 400)
+    monkeypatch.setattr(suffix_dedup, "TASK_BLOCKS", 1)
+    words = " ".join(f"word{i}" for i in range(40))
+    docs = [(500 - i, words.replace(f"word{i % 40}", f"other{i}")) for i in range(80)] + [(0, words[60:200])]
+    assert run(spark, docs) == plain(docs)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
