@@ -8,6 +8,7 @@ from pyspark.sql.types import DataType, StructType
 
 from cellweave.session import scratch_path
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -18,10 +19,30 @@ def lower_ascii(text: Column) -> Column:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, so that its plan runs once and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a table in the shared folder, so that its plan runs once and survives lost executors.
+
+    The shuffles that made it are of no use any more, and are removed with the write's end.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_saved(table: DataFrame) -> None:
+    """Remove the files of a ``saved`` table that no later plan reads."""
+    context = table.sparkSession.sparkContext
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sha256_hex(text: Column) -> Column:

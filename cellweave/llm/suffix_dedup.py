@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.shared import saved
+from cellweave.llm.shared import drop_saved, saved
 from cellweave.llm.tokens import mix, powers
-from cellweave.plans.skew import broadcast_if_small
+from cellweave.plans.skew import MAX_BROADCAST_BYTES, broadcast_if_small
 
 LENGTH = 50
 HALF = LENGTH // 2
@@ -290,9 +290,11 @@ def repeats(texts: DataFrame) -> DataFrame:
     ``texts`` is a table of ``node`` (distinct), ``rank`` and ``text``.
     """
     anchors = saved(_anchors(texts), "suffix-anchors")
-    many = anchors.groupBy("anchor").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("anchor")
+    many = anchors.groupBy("anchor").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
+    many = broadcast_if_small(saved(many.select("anchor"), "suffix-shared"))
     listed = anchors.join(many, "anchor").groupBy("node").agg(F.collect_set("anchor").alias("anchors"), F.min("anchor").alias("lead"))
     listed = saved(listed, "suffix-listed")
+    drop_saved(anchors)
     # Near copies mostly have the same least anchor; a large group of them is dealt to several tasks.
     size = F.sum(F.size("anchors").cast("long"))
     slots = F.ceil(size * PER_ANCHOR / (TASK_BLOCKS * BUCKET_ROWS)).alias("slots")
@@ -302,7 +304,8 @@ def repeats(texts: DataFrame) -> DataFrame:
     held = listed.agg(F.count("*").alias("texts"), size.alias("anchors")).first()
     n_suffixes = (held["anchors"] or 0) * PER_ANCHOR
     columns = ["node", "rank", "text", "anchors"]
-    wanted = texts.join(broadcast_if_small(together), "node")
+    small = (held["anchors"] or 0) * 8 + held["texts"] * 48 <= MAX_BROADCAST_BYTES
+    wanted = texts.join(F.broadcast(together) if small else together, "node")
     splitters = _splitters(wanted.select(*columns), held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
     # Arrow batches are cut from rows in the order of their groups.
     near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").select(*columns)
