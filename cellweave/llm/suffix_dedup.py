@@ -12,7 +12,7 @@ suffix's first LENGTH bytes the one with the least code is its anchor; equal
 suffixes have equal anchors, so those whose anchor occurs in one text only are left out,
 and so are whole copies of a text, which are known by their digest. Texts of one least
 anchor, mostly near copies, are worked on together: of equal suffixes there only those of the first
-text go on to the buckets.
+text go on to the buckets, and none where all texts with an anchor are there.
 """
 
 from __future__ import annotations
@@ -137,25 +137,44 @@ def _anchors(texts: DataFrame) -> DataFrame:
 Suffixes = tuple[np.ndarray, ...]  # first, second, rank, node, place
 
 
-def _candidates(batch: pa.RecordBatch) -> Iterator[Suffixes]:
-    """The suffixes of texts (``node``, ``rank``, ``text``, ``anchors``) that have one of the anchors."""
-    nodes, ranks, anchors = batch["node"].to_numpy(), batch["rank"].to_numpy(), batch["anchors"]
-    for text, place, first, second, code, _ in suffixes(batch["text"].to_pylist()):
+def _candidates(batch: pa.RecordBatch) -> Iterator[tuple[Suffixes, np.ndarray, np.ndarray]]:
+    """The suffixes of texts (``node``, ``rank``, ``text``, ``anchors``) that have one of the anchors, and which.
+
+    With them come the anchors (``anchor``, ``n``) of those texts that are whole here, not in parts.
+    """
+    nodes, ranks, anchors, raws = (batch[c] for c in ("node", "rank", "anchors", "text"))
+    nodes, ranks, raws = nodes.to_numpy(), ranks.to_numpy(), raws.to_pylist()
+    for text, place, first, second, code, _ in suffixes(raws):
         own = np.unique(text)
         kept = np.zeros(len(text), bool)
+        whole = [np.zeros((2, 0), np.int64)]
         for lo, hi, i in zip(np.searchsorted(text, own), np.searchsorted(text, own, "right"), own):
-            kept[lo:hi] = np.isin(code[lo:hi], anchors[int(i)].values.to_numpy().view(np.uint64))
+            of_text = np.stack([anchors[int(i)].values.field(k).to_numpy() for k in (0, 1)])
+            kept[lo:hi] = np.isin(code[lo:hi], of_text[0].view(np.uint64))
+            if hi - lo <= PIECE and len(raws[i].encode("utf-8", "surrogatepass")) == hi - lo + LENGTH - 1:
+                whole.append(of_text)
         t = text[kept]
-        yield first[kept].view(np.int64), second[kept].view(np.int64), ranks[t], nodes[t], place[kept].astype(np.int32)
+        suffix = first[kept].view(np.int64), second[kept].view(np.int64), ranks[t], nodes[t], place[kept].astype(np.int32)
+        yield suffix, code[kept].view(np.int64), np.concatenate(whole, axis=1)
+
+
+def _settled(anchor: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Which suffixes meet no other outside of this block: all texts with their ``anchor`` are whole in it.
+
+    Equal suffixes have equal anchors. ``whole`` lists each text's anchors, and in how many texts they are.
+    """
+    found, at, times = np.unique(whole[0], return_index=True, return_counts=True)
+    return np.isin(anchor, found[whole[1][at] == times])
 
 
 def _ordered(parts: list[Suffixes]) -> tuple[Suffixes, np.ndarray]:
     """All suffixes in order, and where each string begins among them."""
     columns = [np.concatenate(c) for c in zip(*parts)]
     order = multikey_quicksort(columns[:3])
-    first, second, rank, node, place = (c[order] for c in columns)
+    columns = tuple(c[order] for c in columns)
+    first, second = columns[:2]
     new = np.concatenate([np.ones(min(len(first), 1), bool), (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
-    return (first, second, rank, node, place), np.flatnonzero(new)
+    return columns, np.flatnonzero(new)
 
 
 def _later(rank: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -184,7 +203,7 @@ def _splitters(texts: DataFrame, n_texts: int, n_suffixes: int, buckets: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, second, rank, _, _ in _candidates(batch):
+            for (first, second, rank, _, _), _, _ in _candidates(batch):
                 rows = mix(first.view(np.uint64) ^ rank.view(np.uint64)) % np.uint64(step) == 0
                 columns = [pa.array(c[rows]) for c in (first, second, rank)]
                 yield pa.RecordBatch.from_arrays(columns, names=["first", "second", "rank"])
@@ -201,21 +220,24 @@ def _bucketed(texts: DataFrame, splitters: list[tuple[int, int, int]]) -> DataFr
     """Suffixes of ``texts`` by ``bucket``: blocks of those that no other of the same block precedes, and runs of all others.
 
     A text's neighbours in a block are likely near copies of it, so most of what repeats is
-    decided before it is shuffled. A block is one row a bucket (``packed``); a run is ``node``, ``place`` and ``upto``.
+    decided before it is shuffled, and what occurs in no other block is left out. A block is one row a bucket (``packed``); a run is ``node``, ``place`` and ``upto``.
     """
     shared = texts.sparkSession.sparkContext.broadcast(splitters)
     buckets = len(splitters) + 1
     names = ["bucket", "packed", "node", "place", "upto"]
 
-    def block(parts: list[Suffixes]) -> Iterator[pa.RecordBatch]:
-        suffix, heads = _ordered(parts)
+    def block(parts: list[tuple[Suffixes, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        (*suffix, anchor), heads = _ordered([(*found, code) for found, code, _ in parts])
         later = _later(suffix[2], heads)
         nodes, places, upto = _runs(suffix[3][later], suffix[4][later])
         if len(nodes):
             none = pa.nulls(len(nodes), pa.binary())
             of = (nodes % buckets).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (of, none, nodes, places, upto)], names=names)
-        suffix = tuple(c[~later] for c in suffix)
+        more = ~later & ~_settled(anchor, np.concatenate([w for _, _, w in parts], axis=1))
+        suffix = tuple(c[more] for c in suffix)
+        if not len(suffix[0]):
+            return
         of = _bucket_of(suffix, shared.value)
         edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
         packed = [b"".join(c[a:b].tobytes() for c in suffix) for a, b in zip(edges[:-1], edges[1:])]
@@ -225,13 +247,13 @@ def _bucketed(texts: DataFrame, splitters: list[tuple[int, int, int]]) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for part in (p for batch in batches for p in _candidates(batch) if len(p[0])):
+        for part in (p for batch in batches for p in _candidates(batch)):
             held.append(part)
-            size += len(part[0])
+            size += len(part[1])
             if size >= BUCKET_ROWS:
                 yield from block(held)
                 held, size = [], 0
-        if held:
+        if size:
             yield from block(held)
 
     return texts.mapInArrow(run, "bucket int, packed binary, node long, place int, upto int")
@@ -290,9 +312,10 @@ def repeats(texts: DataFrame) -> DataFrame:
     ``texts`` is a table of ``node`` (distinct), ``rank`` and ``text``.
     """
     anchors = saved(_anchors(texts), "suffix-anchors")
-    many = anchors.groupBy("anchor").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
-    many = broadcast_if_small(saved(many.select("anchor"), "suffix-shared"))
-    listed = anchors.join(many, "anchor").groupBy("node").agg(F.collect_set("anchor").alias("anchors"), F.min("anchor").alias("lead"))
+    many = anchors.groupBy("anchor").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n"))
+    many = broadcast_if_small(saved(many.filter("a < b").select("anchor", "n"), "suffix-shared"))
+    every = F.collect_set(F.struct("anchor", "n")).alias("anchors")
+    listed = anchors.join(many, "anchor").groupBy("node").agg(every, F.min("anchor").alias("lead"))
     listed = saved(listed, "suffix-listed")
     drop_saved(anchors)
     # Near copies mostly have the same least anchor; a large group of them is dealt to several tasks.
@@ -304,7 +327,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     held = listed.agg(F.count("*").alias("texts"), size.alias("anchors")).first()
     n_suffixes = (held["anchors"] or 0) * PER_ANCHOR
     columns = ["node", "rank", "text", "anchors"]
-    small = (held["anchors"] or 0) * 8 + held["texts"] * 48 <= MAX_BROADCAST_BYTES
+    small = (held["anchors"] or 0) * 16 + held["texts"] * 48 <= MAX_BROADCAST_BYTES
     wanted = texts.join(F.broadcast(together) if small else together, "node")
     splitters = _splitters(wanted.select(*columns), held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
     # Arrow batches are cut from rows in the order of their groups.

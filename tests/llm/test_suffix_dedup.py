@@ -103,6 +103,24 @@ def test_a_group_of_copies_in_several_tasks(spark, monkeypatch):
     assert run(spark, docs) == plain(docs)
 
 
+def test_settled_anchors():
+    whole = np.array([[7, 8, 7, 9, 9], [2, 2, 2, 3, 3]])
+    assert suffix_dedup._settled(np.array([7, 8, 9, 7, 1]), whole).tolist() == [True, False, False, True, False]
+    assert suffix_dedup._settled(np.array([7]), np.zeros((2, 0), np.int64)).tolist() == [False]
+
+
+def test_parts_of_a_text_are_not_whole(spark, monkeypatch):
+    """Copies of passages lie in different parts of long texts, and in short ones."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", 3_000)
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcé ") for _ in range(n))
+    shared = [text(n) for n in (70, 90, 300, 7_000)]
+    docs = [(i, text(rng.randint(0, 300)) + rng.choice(shared) + text(30)) for i in range(20)]
+    long = text(suffix_dedup.PIECE + 20_000)
+    docs += [(20, long + shared[2]), (7, shared[1] + long[-30_000:]), (30, long[:9_000] + shared[0]), (3, long[1_000:8_000])]
+    assert run(spark, docs) == plain(docs)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
