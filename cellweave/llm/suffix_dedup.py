@@ -326,14 +326,16 @@ def repeats(texts: DataFrame) -> DataFrame:
     together = listed.join(broadcast_if_small(large), "lead", "left").select("node", "anchors", "lead", slot.alias("slot"))
     held = listed.agg(F.count("*").alias("texts"), size.alias("anchors")).first()
     n_suffixes = (held["anchors"] or 0) * PER_ANCHOR
-    columns = ["node", "rank", "text", "anchors"]
     small = (held["anchors"] or 0) * 16 + held["texts"] * 48 <= MAX_BROADCAST_BYTES
     wanted = texts.join(F.broadcast(together) if small else together, "node")
-    splitters = _splitters(wanted.select(*columns), held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
-    # Arrow batches are cut from rows in the order of their groups.
-    near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").select(*columns)
+    # Files, and so Arrow batches, hold texts in the order of their groups.
+    near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").select("node", "rank", "text", "anchors")
+    near = saved(near, "suffix-near")
+    drop_saved(listed)
+    splitters = _splitters(near, held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
     blocks = _bucketed(near, splitters).repartitionById(len(splitters) + 1, F.col("bucket"))
     told = saved(_compared(blocks), "suffix-told")
+    drop_saved(near)
     edges = told.filter(F.col("kind") == EDGE).groupBy("first", "second").agg(F.min("rank").alias("least"))
     late = told.filter(F.col("kind") == OPEN).join(broadcast_if_small(edges), ["first", "second"]).filter("rank > least")
     run = F.struct("place", "upto").alias("run")
