@@ -328,10 +328,12 @@ def repeats(texts: DataFrame) -> DataFrame:
     n_suffixes = (held["anchors"] or 0) * PER_ANCHOR
     small = (held["anchors"] or 0) * 16 + held["texts"] * 48 <= MAX_BROADCAST_BYTES
     wanted = texts.join(F.broadcast(together) if small else together, "node")
+    wanted = saved(wanted.select("node", "rank", "text", "anchors", "lead", "slot"), "suffix-wanted")
+    drop_saved(listed)
     # Files, and so Arrow batches, hold texts in the order of their groups.
-    near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").select("node", "rank", "text", "anchors")
+    near = wanted.repartition("lead", "slot").sortWithinPartitions("lead").drop("lead", "slot")
     near = saved(near, "suffix-near")
-    drop_saved(listed)
+    drop_saved(wanted)
     splitters = _splitters(near, held["texts"], n_suffixes, max(1, n_suffixes // BUCKET_ROWS))
     blocks = _bucketed(near, splitters).repartitionById(len(splitters) + 1, F.col("bucket"))
     told = saved(_compared(blocks), "suffix-told")
