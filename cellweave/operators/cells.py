@@ -211,16 +211,22 @@ def to_maps(rows: DataFrame) -> DataFrame:
     Of a cell with several versions the first in ``cells`` counts, which is the newest.
     """
 
+    def is_newest(cell: Column, i: Column) -> Column:
+        before = F.get("cells", i - 1)
+        same = before["family"].eqNullSafe(cell["family"])
+        return (i == 0) | F.when(same, before["qualifier"] != cell["qualifier"]).otherwise(True)
+
     def one_family(family: Column) -> Column:
-        of_family = F.filter("cells", lambda c: c["family"] == family)
-        newest = F.filter(
-            of_family,
-            lambda c, i: (i == 0) | (F.get(of_family, i - 1)["qualifier"] != c["qualifier"]),
+        entries = F.transform(
+            F.filter("_newest", lambda c: c["family"] == family),
+            lambda c: F.struct(c["qualifier"], c["value"]),
         )
-        entries = F.transform(newest, lambda c: F.struct(c["qualifier"], c["value"]))
         return F.struct(family, F.map_from_entries(entries))
 
-    names = F.array_distinct(F.transform("cells", lambda c: c["family"]))
+    # Each cell is compared with the one before it in the whole row, so a row costs no more than
+    # its cells times its families.
+    rows = rows.select(*_keys(rows), F.filter("cells", is_newest).alias("_newest"))
+    names = F.array_distinct(F.transform("_newest", lambda c: c["family"]))
     nested = F.map_from_entries(F.transform(names, one_family))
     return rows.select(*_keys(rows), nested.alias("families"))
 

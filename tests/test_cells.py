@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,22 @@ def test_maps_and_missing_cells(spark, at):
     assert tuple(m.select(*look).collect()[0]) == ("1", "2", None, None)
 
 
+def test_maps_of_a_wide_row_take_linear_time(spark):
+    """30,000 cells a family: looking a family through for each of its cells took minutes."""
+    n = 30_000
+    each = F.expr("struct(f as family, concat('q', i div 2) as qualifier, concat('v', i) as value)")
+    df = spark.range(2 * n).select(
+        F.when(F.col("id") < n, "f").otherwise("g").alias("f"), (F.col("id") % n).alias("i")
+    )
+    cells = F.array_sort(F.collect_list(F.struct("f", "i", each.alias("cell"))))
+    row = df.agg(F.transform(cells, lambda c: c["cell"]).alias("cells")).withColumn("row_key", F.lit("a"))
+    began = time.monotonic()
+    (got,) = c.to_maps(row).collect()
+    assert time.monotonic() - began < 20
+    want = {f"q{i}": f"v{2 * i}" for i in range(n // 2)}
+    assert got["families"] == {"f": want, "g": want}
+
+
 def test_projection_reads_only_the_named_cells(spark, at):
     df = versions(spark, at, [("a", "f", "x", "1", 1, 0), ("a", "g", "y", "2", 1, 0), ("b", "f", "z", "3", 1, 0)])
     got = [tuple(r) for r in c.project(df, {"p": ("f", "x"), "q": ("g", "y"), "r": ("g", "no")}).collect()]
