@@ -3,7 +3,9 @@
 Every text has a score, a weighted sum of what its characters, words and lines
 look like. Weights come from pairs of labelled documents, a good one and a bad one: the good one
 is preferred with the logistic probability of the difference of their scores (the model of
-Bradley and Terry), and the loss of all pairs is minimised with a small ridge by Newton's steps in numpy.
+Bradley and Terry), and the loss of all pairs is minimised with a small ridge by Newton's steps.
+All pairs of all labelled rows count. They are not listed: rows are counted by label and score in narrow bins, and what a row
+meets in the other label follows from these counts, so a step takes two passes over the rows.
 A score's cut is the quantile at which as large a share of the labelled
 documents lies below as is labelled bad; the cut scores THRESHOLD.
 
@@ -15,7 +17,7 @@ alike, high if the label is 1. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -23,16 +25,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cellweave.llm.shared import widened
+from cellweave.llm.shared import saved, widened
 
-# The weights are fitted on at most so many labelled rows of either label, those with the smallest hash of their id.
-SAMPLE = 4_000
-# Each sampled row meets so many of the other label.
+# Where rows are in memory, each meets so many of the other label.
 PAIRS = 12
 RIDGE = 1e-3
 STEPS = 25
 THRESHOLD = 0.3
+# Bins of scores: as wide as this near their mean, and beyond FAR by the logarithm of the distance.
+WIDTH = 1 / 16
+FAR = 64
+# An exact quantile is narrowed down to so many rows by ranges of so many bins.
+FEW = 10_000
+CUTS = 4_096
 
 # What a byte is: lower case, upper case, digit, blank, line end, mark of a sentence, exclamation mark, other symbol, not ASCII.
 KINDS = 9
@@ -153,31 +160,229 @@ def _cut(weights: np.ndarray, good: np.ndarray, bad: np.ndarray, bad_share: floa
     return Model(weights, scale, float(np.log(THRESHOLD / (1 - THRESHOLD)) - scale * cut))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality``).
+def fit(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> Model:
+    """A model from all labelled rows of ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality``).
 
-    At most ``sample`` rows of each label are used; their texts stay on the executors, and only features reach the driver.
+    Rows stay on the executors; counts and sums by label and bin of scores reach the driver. With ``sample`` at most so many
+    rows of each label are used, those with the smallest hash of their id, and each meets PAIRS of the other label.
     """
     known = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
     counts = dict(known.groupBy("quality").count().collect())
+    total = sum(counts.values())
+    bad_share = counts.get(0, 0) / total if total else None
+    if sample is None:
+        return _fit_whole(_labelled(docs, known), bad_share)
     rows, marks = [np.zeros((0, FEATURES))], []
     for label in (0, 1):
         picked = known.filter(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-        made = found.select(F.col("text").cast("binary").alias("text")).mapInArrow(_features, "features array<double>")
+        made = _labelled(docs, picked).select("features")
         # Repeated ids could make them more; which are left out depends on their features alone.
         made = [r["features"] for r in made.orderBy("features").limit(sample).collect()]
         if made:
             rows.append(np.array(made))
             marks += [label] * len(made)
-    total = sum(counts.values())
-    return train(np.concatenate(rows), np.array(marks, np.int64), counts.get(0, 0) / total if total else None)
+    return train(np.concatenate(rows), np.array(marks, np.int64), bad_share)
+
+
+def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``quality`` and ``features`` of all labelled rows, as a table; features come before the join, so that it moves no text."""
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    kinds = T.StructType([docs.schema["doc_id"], T.StructField("features", T.ArrayType(T.DoubleType()))])
+    made = texts.mapInArrow(_features, kinds).join(known, "doc_id")
+    return saved(made.select("quality", "features"), "quality-features")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features(t.as_py()).tolist() for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["features"])
+        rows = [features(t.as_py()).tolist() for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "features"])
+
+
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and feature rows of a batch."""
+    return batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(-1, FEATURES)
+
+
+def _fit_whole(rows: DataFrame, bad_share: float | None) -> Model:
+    """Newton's steps on the mean loss of all pairs of a good and a bad row of ``rows``."""
+    n, middle, spread = _moments(rows)
+    if not n[0] or not n[1]:
+        return Model(np.zeros(FEATURES), 0.0, 2.0 if n[1] else -2.0)
+    weights = step = np.zeros(FEATURES)
+    least = np.inf
+    for _ in range(2 * STEPS):
+        bins = _binned(rows, weights, middle, spread)
+        loss, cross, tables = _met(bins)
+        loss += RIDGE / 2 * float(weights @ weights)
+        if loss > least + 1e-9:  # too far: half of the step
+            step = step / 2
+            weights = weights - step
+            if np.abs(step).max() < 1e-5:
+                break
+            continue
+        least = loss
+        slope, curve = _derived(rows, weights, middle, spread, tables, n)
+        slope = slope + RIDGE * weights
+        step = -np.linalg.solve(curve - cross - cross.T + RIDGE * np.eye(FEATURES), slope)
+        if np.abs(step).max() < 1e-5:
+            break
+        weights = weights + step
+    weights = weights / spread
+    return _line(rows, weights, n, bad_share)
+
+
+def _moments(rows: DataFrame) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Rows of either label, and the mean and spread of each feature over both."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(2 + FEATURES)
+        for batch in batches:
+            labels, x = _arrays(batch)
+            out += np.concatenate([np.bincount(labels, minlength=2), x.sum(0)])
+        yield _one_row(out)
+
+    found = _summed(rows, sums, 2 + FEATURES)
+    n = [int(v) for v in found[:2]]
+    middle = found[2:] / max(1, sum(n))
+
+    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(FEATURES)
+        for batch in batches:
+            out += ((_arrays(batch)[1] - middle) ** 2).sum(0)
+        yield _one_row(out)
+
+    spread = np.sqrt(_summed(rows, squares, FEATURES) / max(1, sum(n)))
+    return n, middle, np.where(spread > 1e-9, spread, np.inf)  # what never varies says nothing
+
+
+def _one_row(values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+
+def _summed(rows: DataFrame, run: Callable, size: int) -> np.ndarray:
+    """The sum of the one row of ``size`` numbers that each task makes."""
+    made = rows.mapInArrow(run, "sums array<double>").collect()
+    return np.sum([np.zeros(size), *(r["sums"] for r in made)], axis=0)
+
+
+def _bin(scores: np.ndarray) -> np.ndarray:
+    far = np.maximum(np.abs(scores), FAR)
+    return np.floor(np.where(far > FAR, np.sign(scores) * FAR * (1 + np.log(far / FAR)), scores) / WIDTH).astype(np.int64)
+
+
+def _binned(rows: DataFrame, weights: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> dict[int, np.ndarray]:
+    """For either label a line for each bin of scores that has rows: their number, mean score, and sum of features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, x = _arrays(batch)
+            x = (x - middle) / spread
+            scores = x @ weights
+            keys, at = np.unique(np.stack([labels, _bin(scores)], 1), axis=0, return_inverse=True)
+            sums = np.zeros((len(keys), 2 + FEATURES))
+            np.add.at(sums, at.ravel(), np.column_stack([np.ones(len(x)), scores, x]))
+            columns = [pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int64()), pa.array(sums.tolist(), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["quality", "bin", "sums"])
+
+    each = [F.sum(F.col("sums")[i]) for i in range(2 + FEATURES)]
+    made = rows.mapInArrow(run, "quality int, bin long, sums array<double>")
+    found = made.groupBy("quality", "bin").agg(F.array(*each).alias("sums")).orderBy("quality", "bin").collect()
+    bins = {label: np.array([r["sums"] for r in found if r["quality"] == label]) for label in (0, 1)}
+    for b in bins.values():
+        b[:, 1] /= b[:, 0]
+    return bins
+
+
+def _met(bins: dict[int, np.ndarray]) -> tuple[float, np.ndarray, dict[int, np.ndarray]]:
+    """The mean loss of all pairs, the mixed part of its curvature, and for either label by score: what a row meets on
+    average in the other label, as the chance that the bad one is preferred, and that chance's variance."""
+    bad, good = bins[0], bins[1]
+    share_bad, share_good = bad[:, 0] / bad[:, 0].sum(), good[:, 0] / good[:, 0].sum()
+    loss, cross = 0.0, np.zeros((FEATURES, FEATURES))
+    of_good, of_bad = np.zeros((len(good), 2)), np.zeros((len(bad), 2))
+    for at in range(0, len(good), 256):
+        own = slice(at, at + 256)
+        ahead = np.clip(bad[:, 1] - good[own, 1][:, None], -700, 700)
+        chance = 1 / (1 + np.exp(-ahead))
+        both = chance * (1 - chance)
+        loss += float(share_good[own] @ np.logaddexp(0, ahead) @ share_bad)
+        of_good[own] = np.column_stack([chance @ share_bad, both @ share_bad])
+        of_bad += np.column_stack([share_good[own] @ chance, share_good[own] @ both])
+        cross += good[own, 2:].T @ (both @ bad[:, 2:])
+    cross /= good[:, 0].sum() * bad[:, 0].sum()
+    return loss, cross, {0: np.column_stack([bad[:, 1], of_bad]), 1: np.column_stack([good[:, 1], of_good])}
+
+
+def _derived(
+    rows: DataFrame, weights: np.ndarray, middle: np.ndarray, spread: np.ndarray, tables: dict[int, np.ndarray], n: list[int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """The slope of the mean loss, and its curvature without the mixed part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, curve = np.zeros(FEATURES), np.zeros((FEATURES, FEATURES))
+        for batch in batches:
+            labels, x = _arrays(batch)
+            x = (x - middle) / spread
+            for label, sign in ((0, 1), (1, -1)):
+                own = x[labels == label]
+                scores, table = own @ weights, tables[label]
+                slope += sign / n[label] * (np.interp(scores, table[:, 0], table[:, 1]) @ own)
+                curve += (own * np.interp(scores, table[:, 0], table[:, 2])[:, None]).T @ own / n[label]
+        yield _one_row(np.concatenate([slope, curve.ravel()]))
+
+    found = _summed(rows, run, FEATURES * (1 + FEATURES))
+    return found[:FEATURES], found[FEATURES:].reshape(FEATURES, FEATURES)
+
+
+def _line(rows: DataFrame, weights: np.ndarray, n: list[int], bad_share: float | None) -> Model:
+    """As ``_cut``, with exact quantiles of the scores of all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = _arrays(batch)[1] @ weights
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["quality", "score"])
+
+    scored = saved(rows.mapInArrow(run, "quality int, score double"), "quality-scores")
+    if bad_share is None:
+        bad_share = n[0] / sum(n)
+    cut = sum(_quantile(scored, (bad_share / n[0], (1 - bad_share) / n[1]), bad_share)) / 2
+    medians = []
+    for label in (0, 1):
+        low, high = _quantile(scored.filter(F.col("quality") == label), (1 / n[label], 1 / n[label]), 0.5)
+        medians.append(low if n[label] % 2 else (low + high) / 2)
+    scale = 1 / max(1e-9, abs(medians[1] - medians[0]) / 8)
+    return Model(weights, scale, float(np.log(THRESHOLD / (1 - THRESHOLD)) - scale * cut))
+
+
+def _quantile(scored: DataFrame, weigh: tuple[float, float], share: float) -> tuple[float, float]:
+    """The least score at which rows weigh ``share`` together, each as ``weigh`` says for its label, and the next row's score."""
+    wanted = share * (1 - 1e-9)
+    below = np.zeros(2)  # rows of either label left of the range
+    found = scored.agg(F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("n")).first()
+    low, high, n, after = found["low"], found["high"], found["n"], found["high"]
+    while n > FEW and low < high:
+        at = F.least(F.floor((F.col("score") - low) / (high - low) * CUTS), F.lit(CUTS - 1))
+        bad = F.count_if(F.col("quality") == 0)
+        inside = scored.filter(F.col("score").between(low, high)).groupBy(at.alias("at"))
+        sums = inside.agg(bad.alias("bad"), F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+        parts = sums.orderBy("at").collect()
+        for i, part in enumerate(parts):
+            counts = np.array([part["bad"], part["n"] - part["bad"]])
+            if (below + counts) @ weigh >= wanted or i == len(parts) - 1:
+                break
+            below = below + counts
+        if i < len(parts) - 1:
+            after = parts[i + 1]["low"]
+        low, high, n = part["low"], part["high"], part["n"]
+    if low == high:
+        tied = scored.filter(F.col("score") == low).groupBy().agg(F.count_if(F.col("quality") == 0).alias("bad"), F.count("*").alias("n")).first()
+        whole = below + np.array([tied["bad"], tied["n"] - tied["bad"]])
+        last = weigh[0] if tied["bad"] == tied["n"] else weigh[1]
+        return low, low if whole @ weigh - last >= wanted else after
+    rows = scored.filter(F.col("score").between(low, high)).orderBy("score", "quality").collect()
+    upto = below @ weigh + np.cumsum([weigh[r["quality"]] for r in rows])
+    at = min(int(np.searchsorted(upto, wanted)), len(rows) - 1)
+    return rows[at]["score"], rows[at + 1]["score"] if at + 1 < len(rows) else after
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -124,6 +124,37 @@ def test_fit_takes_bounded_labelled_rows(spark):
     assert quality.fit(docs, marks.limit(0))(rows_of(["x"])) < quality.THRESHOLD
 
 
+def test_fit_takes_all_pairs_of_all_labelled_rows(spark):
+    """With more than 4,000 good rows each counts: no descent from the fit betters all pairs, and the cut leaves as many below as are bad."""
+    texts, labels = made(6000, 6, 3, 12)
+    labels ^= np.random.default_rng(6).random(len(labels)) < 0.1  # so that the labels' scores overlap
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)], "doc_id long, quality int")
+    fitted, rows = quality.fit(docs, marks), rows_of(texts)
+    scores = fitted(rows)
+    assert (scores < quality.THRESHOLD).sum() == (labels == 0).sum()
+    spread = rows.std(0)
+    spread = np.where(spread > 1e-9, spread, np.inf)
+    good, bad = rows[labels == 1] / spread, rows[labels == 0] / spread
+    weights = np.where(np.isfinite(spread), fitted.weights * np.where(np.isfinite(spread), spread, 0), 0)
+    chance = 1 / (1 + np.exp((good @ weights)[:, None] - bad @ weights))
+    slope = quality.RIDGE * weights + (chance.mean(0) @ bad) / len(bad) - (chance.mean(1) @ good) / len(good)
+    assert np.abs(slope).max() < 2e-4
+
+
+def test_quantiles_of_many_rows_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FEW", 3)
+    monkeypatch.setattr(quality, "CUTS", 4)
+    rng = random.Random(5)
+    for values in ([rng.gauss(0, 1) for _ in range(200)], [rng.randrange(4) * 1.0 for _ in range(50)], [7.0] * 9, [1.0, 1e9, 2.0, 2.0, 3.0]):
+        ranked = sorted(values)
+        df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "quality int, score double")
+        for share in (0.1, 0.5, 1.0):
+            at = int(np.searchsorted(np.arange(1, len(ranked) + 1) / len(ranked), share * (1 - 1e-9)))
+            each = 1 / len(ranked)
+            assert quality._quantile(df, (each, each), share) == (ranked[at], ranked[min(at + 1, len(ranked) - 1)])
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     rows = queries.queries()["op13_quality_ranking"](spark, folder).collect()
