@@ -230,7 +230,8 @@ def grow(grams: DataFrame) -> Tree:
     states = saved(states.distinct(), "lm-states")
     # Bounded by SHARE: at most DEPTH / SHARE states of at most 256 symbols.
     kept = rows.filter("k > 0").join(broadcast_if_small(states), ["k", "context"], "left_semi")
-    return _tree(rows.filter("k = 0").unionByName(kept).toPandas())
+    # As columns: a row object for each would be the most that the driver holds.
+    return _tree(rows.filter("k = 0").unionByName(kept).toArrow().to_pandas())
 
 
 def _tree(rows) -> Tree:
@@ -275,7 +276,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     words = learnt.filter(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
     facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")).first()
     tokens, kinds = facts["tokens"], facts["kinds"]
-    frequent = words.filter(F.col("n") >= max(1.0, FREQUENT * tokens)).toPandas().sort_values("word")
+    frequent = words.filter(F.col("n") >= max(1.0, FREQUENT * tokens)).toArrow().to_pandas().sort_values("word")
     table = (frequent["word"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64))
     shared = docs.sparkSession.sparkContext.broadcast((tree, table))
     divisor = np.log10(float(tokens + kinds + 1))

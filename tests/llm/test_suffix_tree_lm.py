@@ -104,6 +104,17 @@ def test_next_symbols_sum_to_one(spark):
     assert len(tree.log10) > 10 and np.allclose(sums, 1, atol=1e-4)
 
 
+def test_tree_and_words_reach_the_driver_as_columns(spark, monkeypatch):
+    """Without a row object for each count, which were most of the driver's memory."""
+    df = spark.createDataFrame(made(40), "doc_id long, text string")
+
+    def refused(*_):
+        raise AssertionError("row objects in the driver")
+
+    monkeypatch.setattr(type(df), "toPandas", refused)
+    assert lm.score(df, F.lit(True)).count() == 40
+
+
 def test_without_training_rows_and_empty(spark):
     rows = run(spark, [(1, "ab"), (2, None)], F.lit(False))
     assert {r["doc_id"]: r["score"] for r in rows} == pytest.approx({1: 3 * math.log10(1 / 256), 2: math.log10(1 / 256)}, rel=1e-5)
