@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ END_TOKEN = int(mix(np.array([0xE17D], np.uint64)).view(np.int64)[0])
 WORD, SHORTEST = 0, 3
 # Contexts longer than SHORTEST are first counted together, by the slot of their hash.
 SLOT_BITS, CHUNK_SLOTS = 20, 1024
-# Counts that a task gathers before it hands them on.
+# Counts of all kinds together that a task gathers before it hands them on.
 FLUSH = 3_000_000
 
 
@@ -65,17 +66,14 @@ def pasts(data: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _parts(texts: list[str | None], size: int = 2 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """Texts in parts of about ``size`` characters, with the number of the first."""
-    first, part, held = 0, [], 0
-    for i, text in enumerate(texts):
-        if part and held + len(text or "") > size:
-            yield first, part
-            first, part, held = i, [], 0
-        part.append(text)
-        held += len(text or "")
-    if part:
-        yield first, part
+def _parts(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts of a column in parts of about ``size`` bytes, with the number of the first; only one part is held as strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first, begin = 0, 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, begin + size, "right")))
+        yield first, texts.slice(first, last - first).to_pylist()
+        first, begin = last, ends[last - 1]
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +107,7 @@ def busy_slots(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(lengths), 1 << SLOT_BITS), np.int64)
         for batch in batches:
-            for _, texts in _parts(batch.column(0).to_pylist()):
+            for _, texts in _parts(batch.column(0)):
                 key = _keys(symbols(texts)[0])
                 for k in lengths:
                     sums[k - SHORTEST - 1] += np.bincount(_slots(key, k), minlength=1 << SLOT_BITS)
@@ -146,18 +144,8 @@ def counts(docs: DataFrame) -> DataFrame:
         held = {kind: ([], []) for kind in (WORD, *lengths)}
         may_be = np.unpackbits(busy.value, axis=1).astype(bool)
 
-        def flushed(limit: int) -> Iterator[pa.RecordBatch]:
-            for kind, (keys, n) in held.items():
-                if sum(map(len, keys)) > limit:
-                    keys[:], n[:] = ([a] for a in _merged(keys, n))
-                    if len(keys[0]) > limit / 2:
-                        kinds = pa.array(np.full(len(keys[0]), kind, np.int8))
-                        yield pa.RecordBatch.from_arrays([kinds, pa.array(keys[0].view(np.int64)), pa.array(n[0])], names=["kind", "key", "n"])
-                        keys.clear()
-                        n.clear()
-
         for batch in batches:
-            for _, texts in _parts(batch.column(0).to_pylist()):
+            for _, texts in _parts(batch.column(0)):
                 for _, hashes, bounds in chunks(texts):
                     ends = np.full(len(bounds) - 1, END_TOKEN, np.int64).view(np.uint64)
                     _add(held[WORD], np.concatenate([hashes, ends]))
@@ -167,8 +155,8 @@ def counts(docs: DataFrame) -> DataFrame:
                     dropped = ((1 << 8 * (DEPTH - k)) - 1) << 8
                     _add(held[k], key[longest] & np.uint64(~dropped & (2**64 - 1)))
                     key = key[~longest]
-                yield from flushed(FLUSH)
-        yield from flushed(0)
+                yield from _handed_on(held, FLUSH)
+        yield from _handed_on(held, 0)
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "kind byte, key long, n long")
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
@@ -182,6 +170,27 @@ def _add(held: tuple[list, list], keys: np.ndarray) -> None:
         held[1].append(np.diff(np.append(new, len(keys))))
 
 
+def _handed_on(held: dict[int, tuple[list, list]], limit: int) -> Iterator[pa.RecordBatch]:
+    """Once more than ``limit`` counts are held, of all kinds together, they are merged, and the largest kinds go until half are left."""
+    if sum(len(a) for keys, _ in held.values() for a in keys) <= limit:
+        return
+    sizes = {}
+    for kind, (keys, n) in held.items():
+        if keys:
+            keys[:], n[:] = ([a] for a in _merged(keys, n))
+            sizes[kind] = len(keys[0])
+    left = sum(sizes.values())
+    for kind in sorted(sizes, key=sizes.get, reverse=True):
+        if left <= limit / 2:
+            return
+        keys, n = held[kind]
+        kinds = pa.array(np.full(sizes[kind], kind, np.int8))
+        yield pa.RecordBatch.from_arrays([kinds, pa.array(keys[0].view(np.int64)), pa.array(n[0])], names=["kind", "key", "n"])
+        keys.clear()
+        n.clear()
+        left -= sizes[kind]
+
+
 @dataclass(frozen=True)
 class Tree:
     """States as numbers, 0 the root. ``child[state, symbol]``: the state whose context has one more symbol before, or -1.
@@ -196,13 +205,15 @@ class Tree:
     def score(self, texts: list[str | None]) -> np.ndarray:
         """The log10 probability of each text."""
         data, starts = symbols(texts)
-        state = np.zeros(len(data), np.int32)
-        live = np.arange(len(data))
+        child, log10, width = self.child.ravel(), self.log10.ravel(), self.child.shape[1]
+        state = np.zeros(len(data), np.int64)
+        live, at = np.arange(len(data)), state
         for past in pasts(data):
-            after = self.child[state[live], self.symbol[past[live]]]
-            live = live[after >= 0]
-            state[live] = after[after >= 0]
-        return np.add.reduceat(self.log10[state, self.symbol[data]].astype(np.float64), starts)
+            after = child.take(at * width + self.symbol.take(past.take(live)))
+            deeper = np.flatnonzero(after >= 0)
+            live, at = live.take(deeper), after.take(deeper).astype(np.int64)
+            state[live] = at
+        return np.add.reduceat(log10.take(state * width + self.symbol.take(data)).astype(np.float64), starts)
 
 
 def grow(grams: DataFrame) -> Tree:
@@ -284,7 +295,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, (known, n) = shared.value
         for batch in batches:
-            for first, texts in _parts(batch.column(1).to_pylist()):
+            for first, texts in _parts(batch.column(1)):
                 ids = batch.column(0).slice(first, len(texts))
                 scores = tree.score(texts)
                 for at, hashes, bounds in chunks(texts):

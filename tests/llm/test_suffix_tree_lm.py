@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,35 @@ def test_common_contexts_are_counted_whole(spark, monkeypatch):
     common = {c for c, of in want.items() if sum(of.values()) >= lm.SHARE * len(data)}
     assert common and all(got.get(c) == want[c] for c in common)
     assert any(c not in got for c in want)
+
+
+def test_a_task_holds_a_bounded_number_of_counts():
+    """The bound is on all kinds together; before, each kind had its own."""
+    rng = np.random.default_rng(5)
+    held = {kind: ([], []) for kind in (lm.WORD, *range(lm.SHORTEST, lm.DEPTH + 1))}
+    expected, got = Counter(), Counter()
+
+    def take(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                got[row["kind"], row["key"]] += row["n"]
+
+    for _ in range(20):
+        for kind in held:
+            keys = rng.integers(0, 400 * (kind + 1), 300).astype(np.uint64)
+            expected.update((kind, int(k)) for k in keys)
+            lm._add(held[kind], keys)
+        take(lm._handed_on(held, 1000))
+        assert sum(len(a) for keys, _ in held.values() for a in keys) <= 1000
+    take(lm._handed_on(held, 0))
+    assert got == expected and not any(keys for keys, _ in held.values())
+
+
+def test_parts_of_a_column():
+    texts = ["ab", None, "", "é" * 30, "x", "y" * 9, "z"]
+    for size in (1, 4, 10, 60, 1000):
+        parts = list(lm._parts(pa.array(texts, pa.string()), size))
+        assert [t for _, part in parts for t in part] == texts
+        assert [first for first, _ in parts] == np.cumsum([0, *(len(part) for _, part in parts[:-1])]).tolist()
+        assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part) <= size for _, part in parts)
+    assert not list(lm._parts(pa.array([], pa.string())))
