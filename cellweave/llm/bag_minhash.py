@@ -9,8 +9,9 @@ time by which all slots are surely filled are never drawn.
 
 Signatures are cut into bands. Texts that share a band are compared, all
 with a leader among them, exactly: by multiset overlap. Those that differ from it
-meet again among themselves, until none are left; then all that share a band and are not
-connected yet meet, but for those that exact bounds part. Connected texts form a class.
+meet again among themselves; then all that share a band and are not
+connected yet meet, but for those that exact bounds part. In large bands those are found by shingles that
+part them alike from their leader. Connected texts form a class.
 """
 
 from __future__ import annotations
@@ -36,8 +37,13 @@ SLOTS = BANDS * ROWS
 # What the leader of a band does not settle meets again where FINE_ROWS slots agree, in any of FINE choices
 # of slots: a pair at 0.8 shares none with a probability below 1e-5, one at 0.4 shares one with 4e-2.
 FINE, FINE_ROWS = 64, 8
+# Slots that agree from which on such a pair is compared; all others are left to the last comparison, which is exact.
+LIKELY = 72
+# Slots that count how often elements part texts from leaders.
+OFTEN_BITS = 20
 # How far past the mean time to fill all slots the first drawing goes.
 MARGIN = 3.0
+Bag = tuple[np.ndarray, np.ndarray]  # shingles in order, and how often
 _KEEP = np.uint64((1 << 48) - 1)
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -206,7 +212,22 @@ def _rows(docs: DataFrame, similarity: float) -> DataFrame:
         return rows.select("node", F.explode(buckets).alias("bucket")).distinct()
 
     sizes = signed.select("node", F.col("shingles").alias("size")).dropDuplicates(["node"])
-    links = linked(open_rows, lambda pairs: _overlaps(pairs, texts), similarity, sizes, finer)
+    signature = signed.select("node", "signature")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Those pairs whose signatures agree in many slots."""
+        nodes = pairs.select("node").union(pairs.select("leader")).distinct()
+        own = broadcast_if_small(saved(signature.join(broadcast_if_small(nodes), "node").dropDuplicates(["node"]), "bag-likely"))
+        other = own.select(F.col("node").alias("leader"), F.col("signature").alias("_signature"))
+        agree = F.aggregate(
+            F.zip_with("signature", "_signature", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, same: n + same
+        )
+        return pairs.join(own, "node").join(other, "leader").filter(agree >= LIKELY).select("node", "leader")
+
+    def apart(pairs: DataFrame, similarity: float) -> DataFrame:
+        return _fronts(pairs, texts, similarity)
+
+    links = linked(open_rows, lambda pairs: _overlaps(pairs, texts), similarity, sizes, finer, likely, apart)
     return class_ids(signed.select("doc_id", "node"), nodes, links)
 
 
@@ -219,10 +240,86 @@ def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("node", "text").dropDuplicates(["node"])
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
+    return pairs.join(texts, "node").join(other, "leader").select("node", "leader", "text", "leader_text")
+
+
+def _gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, pa.Scalar, np.ndarray, int, int]]:
+    """Of each row of ``_with_texts`` node, leader, the elements that part their bags, and the sizes of both bags."""
+    last, bag = None, None
+    for batch in batches:
+        for node, leader, a, b in zip(*(batch[c] for c in ("node", "leader", "text", "leader_text"))):
+            if leader != last:
+                last, bag = leader, _bag(b.as_py())
+            own = _bag(a.as_py())
+            yield node, leader, parting(own, bag), int(own[1].sum()), int(bag[1].sum())
+
+
+def _fronts(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The first elements that part each node's bag from its leader's, rare ones first, for ``linking._sharing``.
+
+    ``place`` counts the elements before; ``indexed`` ones are those by which a node with a smaller gap may meet one with a larger.
+    Which elements are rare is counted by slots of their hashes, so the counts have one size for any number of texts.
+    """
+    pairs = saved(pairs, "bag-apart")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(1 << OFTEN_BITS, np.int64)
+        for _, _, element, _, _ in _gaps(batches):
+            np.add.at(sums, _slot(element), 1)
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["slot", "n"])
+
+    counted = _with_texts(pairs, texts).mapInArrow(count, "slot int, n long")
+    counted = saved(counted.groupBy("slot").agg(F.sum("n").alias("n")), "bag-often").toArrow()
+    often = np.zeros(1 << OFTEN_BITS, np.int32)
+    often[counted["slot"].to_numpy()] = np.minimum(counted["n"].to_numpy(), 2**31 - 1)
+    shared = pairs.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, leader, element, size, size_of_leader in _gaps(batches):
+            first, indexed = front(element, size, size_of_leader, similarity, shared.value)
+            n = len(first)
+            columns = [pa.repeat(node, n), pa.repeat(leader, n), pa.array(first), pa.array(np.arange(n))]
+            columns += [pa.array(np.full(n, len(element), np.int64)), pa.array(indexed)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "element", "place", "gap", "indexed"])
+
+    schema = "node binary, leader binary, element long, place long, gap long, indexed boolean"
+    return _with_texts(pairs, texts).mapInArrow(run, schema)
+
+
+def parting(a: Bag, b: Bag) -> np.ndarray:
+    """The elements that one of two bags has and the other lacks; the k-th of equal shingles is an element of its own."""
+    shingle = np.union1d(a[0], b[0])
+    n, m = np.zeros((2, len(shingle)), np.int64)
+    n[np.searchsorted(shingle, a[0])] = a[1]
+    m[np.searchsorted(shingle, b[0])] = b[1]
+    more = np.abs(n - m)
+    at = np.repeat(np.arange(len(shingle)), more)
+    k = np.minimum(n, m)[at] + np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
+    return mix(shingle[at] + (k.astype(np.uint64) << np.uint64(48))).view(np.int64)
+
+
+def _slot(element: np.ndarray) -> np.ndarray:
+    return (element.view(np.uint64) >> np.uint64(64 - OFTEN_BITS)).astype(np.int64)
+
+
+def front(element: np.ndarray, size: int, size_of_leader: int, similarity: float, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of ``element``, the rarest ones by ``often`` a slot, and which of them are indexed."""
+    r = (1 - similarity) / (1 + similarity)
+    last = r * (size + size / similarity) + 1e-6
+    half = last / 2
+    if len(element) <= r * (size + size_of_leader):
+        # Similar to the leader itself: only a text that is not may be of another class.
+        last = min(last, (len(element) - r * (size_of_leader - size)) / 2 + 1e-6)
+    first = element[np.lexsort((element, often[_slot(element)]))][: max(0, int(np.floor(last)) + 1)]
+    return first, np.arange(len(first)) <= half
+
+
 def _overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``pairs`` with ``overlap``, their exact weighted Jaccard similarity."""
-    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
-    joined = pairs.join(texts, "node").join(other, "leader").select("node", "leader", "text", "leader_text")
+    joined = _with_texts(pairs, texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag = None, None
@@ -239,12 +336,12 @@ def _overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "node binary, leader binary, overlap double")
 
 
-def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+def _bag(text: str) -> Bag:
     ((_, hashes, bounds),) = chunks([text])
     return shingle_bags(hashes, bounds)[1:]
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+def overlap(a: Bag, b: Bag) -> float:
     """Weighted Jaccard similarity of two bags of sorted elements and weights; 0 if both are empty."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())

@@ -12,10 +12,14 @@ from cellweave.plans.skew import broadcast_if_small
 
 
 Judge = Callable[[DataFrame], DataFrame]
+# Pairs and a similarity, to what parts a node from its leader.
+Apart = Callable[[DataFrame, float], DataFrame]
 
 
 # Nodes of a bucket that meet in one cell of a join, at most about, on either side.
 CELL = 256
+# Buckets of more nodes than this are searched by what parts their nodes from the leader, where that is known.
+DENSE = 8
 
 
 def linked(
@@ -24,6 +28,8 @@ def linked(
     similarity: float,
     sizes: DataFrame,
     finer: Callable[[DataFrame], DataFrame] | None = None,
+    likely: Callable[[DataFrame], DataFrame] | None = None,
+    apart: Apart | None = None,
 ) -> DataFrame:
     """Pairs (``node``, ``leader``) of similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
 
@@ -36,23 +42,30 @@ def linked(
     judged against one leader a bucket, then 4, then 16 and so on, until no bucket has two nodes
     left. At last all nodes of a bucket of ``rows`` that the links so far leave unconnected are
     judged, but for those that exact bounds part, so the links connect all that similar pairs within buckets connect.
+
+    With ``apart`` there is one turn in finer buckets, of those pairs that ``likely`` keeps, and large buckets are not
+    searched pair by pair, see ``_sharing``. ``apart`` gives ``node``, ``leader``, ``element``, ``place``, ``gap``
+    and ``indexed`` for pairs.
     """
     found, rest, near = _turn(_ranked(rows), judge, similarity, 1)
     near = saved(near, "link-near")
     leaders_each = 4
     if finer is not None and not rest.isEmpty():
         rest, leaders_each = _ranked(saved(finer(rest.select("node").distinct()), "link-finer")), 1
+    further = judge if likely is None else lambda pairs: judge(likely(pairs))
     while not rest.isEmpty():
-        links, rest, _ = _turn(rest, judge, similarity, leaders_each)
+        links, rest, _ = _turn(rest, further, similarity, leaders_each)
         found = found.unionByName(links)
         leaders_each *= 4
-    pairs = saved(_unconnected(near, components(found), sizes, similarity), "link-unconnected")
+        if apart is not None:
+            break
+    pairs = saved(_unconnected(near, components(found), sizes, similarity, apart), "link-unconnected")
     judged = saved(judge(pairs), "link-pairs")
     return found.unionByName(judged.filter(F.col("overlap") >= similarity).select("node", "leader"))
 
 
-def _unconnected(near: DataFrame, root: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of nodes that share a bucket of ``near`` (``bucket``, ``node``, ``near``) and no ``root``, and may be similar.
+def _unconnected(near: DataFrame, root: DataFrame, sizes: DataFrame, similarity: float, apart: Apart | None) -> DataFrame:
+    """Pairs of nodes that share a bucket of ``near`` (``bucket``, ``node``, ``lead``, ``near``) and no ``root``, and may be similar.
 
     One less the similarity is a metric, so two nodes whose similarities (``near``) to their bucket's leader are further apart
     are not similar; nor are bags whose sizes differ too much. Large buckets are cut into cells.
@@ -70,8 +83,56 @@ def _unconnected(near: DataFrame, root: DataFrame, sizes: DataFrame, similarity:
         F.col("most.root").alias("main"),
         cells(F.col("all") - F.col("most.n")).alias("outer_cells"),
         cells(F.col("all")).alias("cells"),
+        F.col("all").alias("nodes"),
     )
+    if apart is None:
+        return _in_cells(saved(rows.join(broadcast_if_small(buckets), "bucket"), "link-open"), similarity)
+    buckets = buckets.withColumn("dense", F.col("nodes") > DENSE).drop("nodes")
     rows = saved(rows.join(broadcast_if_small(buckets), "bucket"), "link-open")
+    pairs = _in_cells(rows.filter("NOT dense"), similarity)
+    members = saved(rows.filter("dense").select("lead", "node", "root", "size").distinct(), "link-dense")
+    return pairs if members.isEmpty() else pairs.unionByName(_sharing(members, similarity, apart)).distinct()
+
+
+def _sharing(members: DataFrame, similarity: float, apart: Apart) -> DataFrame:
+    """Pairs of nodes of one ``lead`` and no one ``root`` that may be similar, of ``members`` (``lead``, ``node``, ``root``, ``size``).
+
+    What parts a node's bag from its leader's are the elements that one of them has and the other lacks; ``gap`` is their number.
+    Bags x, y have as many elements apart as their gaps have together, less twice those that both gaps hold. They are similar if that
+    is at most r * (size x + size y), r = (1 - similarity) / (1 + similarity); leaders' own links have one root, so one of a pair
+    is further than that from the leader, and both gaps hold at least c = (gap x + gap y - r * (size x + size y)) / 2 > 0 elements in common.
+    The first of them, in an order of all elements, has at least c - 1 behind it in either gap. So nodes meet
+    where an element is near the front of both gaps (``place``), and copies with edits of their own don't meet at all.
+    """
+    r = (1 - similarity) / (1 + similarity)
+    roots = members.groupBy("lead", "root").agg(F.count("*").alias("n"))
+    main = roots.groupBy("lead").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    members = members.join(broadcast_if_small(main), "lead").withColumn("outer", F.col("root") != F.col("main")).drop("main")
+    fronts = apart(members.filter("node != lead").select("node", F.col("lead").alias("leader")), similarity)
+    fronts = fronts.withColumnRenamed("leader", "lead").join(broadcast_if_small(members), ["lead", "node"])
+    fronts = saved(fronts, "link-fronts")
+    # An element that one node has alone brings nobody together.
+    met = fronts.groupBy("lead", "element").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
+    fronts = saved(fronts.join(met.select("lead", "element"), ["lead", "element"], "left_semi"), "link-fronts")
+    less = fronts.filter("indexed").select(
+        "lead", "element", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "size", "place", "gap", "outer"))
+    )
+    common = (F.col("gap") + F.col("_gap") - r * (F.col("size") + F.col("_size"))) / 2 - 1e-6
+    may_be = (
+        (F.col("root") != F.col("_root"))
+        & (F.col("gap") >= F.col("_gap"))
+        & (F.least("size", "_size") >= similarity * F.greatest("size", "_size") - 1e-9)
+        & (F.least(F.col("gap") - F.col("place"), F.col("_gap") - F.col("_place")) >= common)
+    )
+    # Each pair has a node outside of the largest group.
+    both = fronts.join(less.filter("_outer"), ["lead", "element"]).filter(may_be).unionByName(
+        fronts.filter("outer").join(less.filter("NOT _outer"), ["lead", "element"]).filter(may_be)
+    )
+    return both.select(F.least("node", "_node").alias("node"), F.greatest("node", "_node").alias("leader")).distinct()
+
+
+def _in_cells(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes that share a bucket of ``rows`` and no ``root``, and may be similar by their ``near`` and ``size``."""
     own = F.xxhash64("node", F.lit(1))
     one = rows.filter("root != main").select(
         "bucket", "node", "root", "near", "size",
@@ -117,8 +178,9 @@ def _turn(rows: DataFrame, judge: Judge, similarity: float, leaders_each: int) -
     settled = saved(settled.unionByName(leaders.withColumnRenamed("leader", "node")).distinct(), "link-settled")
     rest = rows.join(broadcast_if_small(settled), ["bucket", "node"], "left_anti")
     many = rest.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
-    near = met.join(judged, ["node", "leader"]).select("bucket", "node", F.col("overlap").alias("near"))
-    near = near.unionByName(leaders.select("bucket", F.col("leader").alias("node"), F.lit(1.0).alias("near")))
+    near = met.join(judged, ["node", "leader"]).select("bucket", "node", F.col("leader").alias("lead"), F.col("overlap").alias("near"))
+    own = leaders.select("bucket", F.col("leader").alias("node"), F.col("leader").alias("lead"), F.lit(1.0).alias("near"))
+    near = near.unionByName(own)
     return links, saved(rest.join(broadcast_if_small(many), "bucket", "left_semi"), "link-rows"), near
 
 

@@ -154,3 +154,63 @@ def test_links_of_settled_nodes(spark):
     table = spark.createDataFrame([(x, y, near.get(frozenset(x + y), 0.9)) for x in "abde" for y in "abde"], "node string, leader string, overlap double")
     links = linking.linked(rows, lambda pairs: pairs.join(table, ["node", "leader"]), 0.8, sizes)
     assert frozenset("ab") in {frozenset((r["node"], r["leader"])) for r in links.collect()}
+
+
+def near_copies(seed, n, edits):
+    """``n`` copies of one text, each with as many edits of its own as a choice of ``edits``, and edits of some of the copies."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(n):
+        own = list(base)
+        for at in rng.sample(range(300), rng.choice(edits)):
+            own[at] = f"e{i}x{at}"
+        rows.append((i + 1, " ".join(own)))
+        if i % 4 == 0:
+            own[rng.randrange(300)] = f"f{i}"
+            rows.append((10_000 + i, " ".join(own)))
+    return rows
+
+
+def test_large_group_that_its_leader_does_not_settle(spark):
+    """Classes are those of all pairs, where most copies are too far from the text they were made from, and edits of copies are near."""
+    rows = near_copies(6, 160, [2, 7, 8, 9, 10, 14])
+    assert run(spark, rows) == plain(rows)
+
+
+def test_comparisons_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    """Copies with edits of their own share nothing beyond the text they were made from."""
+    judged = []
+    overlaps = bag._overlaps
+
+    def counting(pairs, texts):
+        judged.append(pairs.count())
+        return overlaps(pairs, texts)
+
+    monkeypatch.setattr(bag, "_overlaps", counting)
+    rows = near_copies(7, 400, [8, 9, 10])
+    run(spark, rows)
+    assert sum(judged) < 20 * len(rows)
+
+
+def test_first_elements_of_similar_texts_meet():
+    """Of two similar bags, one of which is not similar to the leader, an element that both gaps begin with is found."""
+    rng = np.random.default_rng(8)
+    met = 0
+    for _ in range(1500):
+        e = np.sort(rng.integers(0, 2**48, 120).astype(np.uint64))
+        leader = rng.integers(0, 3, 120)
+        x = np.where(rng.random(120) < rng.uniform(0, 0.4), rng.integers(0, 3, 120), leader)
+        y = np.where(rng.random(120) < rng.uniform(0, 0.2), rng.integers(0, 3, 120), x)
+        leader, x, y = ((e[w > 0], w[w > 0]) for w in (leader, x, y))
+        if bag.overlap(x, y) < 0.8 or max(bag.overlap(x, leader), bag.overlap(y, leader)) >= 0.8 and min(bag.overlap(x, leader), bag.overlap(y, leader)) >= 0.8:
+            continue
+        often = rng.integers(0, 4, 1 << bag.OFTEN_BITS)
+        gaps = sorted(((bag.parting(v, leader), v[1].sum()) for v in (x, y)), key=lambda g: -len(g[0]))
+        p, q = (len(g) for g, _ in gaps)
+        (a, _), (b, indexed) = (bag.front(*g, leader[1].sum(), 0.8, often) for g in gaps)
+        c = (p + q - (x[1].sum() + y[1].sum()) / 9) / 2
+        shared = [(p - m, q - n) for m in range(len(a)) for n in range(len(b)) if a[m] == b[n] and indexed[n]]
+        assert any(min(s) >= c - 1e-6 for s in shared)
+        met += 1
+    assert met > 100
