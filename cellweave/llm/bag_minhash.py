@@ -41,6 +41,8 @@ FINE, FINE_ROWS = 64, 8
 LIKELY = 72
 # Slots that count how often elements part texts from leaders.
 OFTEN_BITS = 20
+# Parting elements that are counted together.
+ELEMENTS = 1 << 20
 # How far past the mean time to fill all slots the first drawing goes.
 MARGIN = 3.0
 Bag = tuple[np.ndarray, np.ndarray]  # shingles in order, and how often
@@ -134,7 +136,7 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A shingle's key has 16 bits for the number of its text.
         for batch in (b.slice(i, _OWNERS) for b in batches for i in range(0, b.num_rows, _OWNERS)):
-            for first, hashes, bounds in chunks(batch.column(at).to_pylist()):
+            for first, hashes, bounds in chunks(t.as_py() for t in batch.column(at)):
                 n = len(bounds) - 1
                 owner, element, weight = shingle_bags(hashes, bounds)
                 signed = bag_signatures(owner, element, weight, n)
@@ -261,17 +263,20 @@ def _fronts(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     ``place`` counts the elements before; ``indexed`` ones are those by which a node with a smaller gap may meet one with a larger.
     Which elements are rare is counted by slots of their hashes, so the counts have one size for any number of texts.
+    An element that one text has alone beside its leader brings nobody together, so it is not counted: what is sent
+    grows with what texts share. The counts choose an order and no result.
     """
     pairs = saved(pairs, "bag-apart")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << OFTEN_BITS, np.int64)
-        for _, _, element, _, _ in _gaps(batches):
-            np.add.at(sums, _slot(element), 1)
+        for slot in _by_leader(_gaps(batches)):
+            slot, n = np.unique(slot, return_counts=True)
+            sums[slot[n > 1]] += n[n > 1]
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["slot", "n"])
 
-    counted = _with_texts(pairs, texts).mapInArrow(count, "slot int, n long")
+    counted = _with_texts(pairs, texts).sortWithinPartitions("leader").mapInArrow(count, "slot int, n long")
     counted = saved(counted.groupBy("slot").agg(F.sum("n").alias("n")), "bag-often").toArrow()
     often = np.zeros(1 << OFTEN_BITS, np.int32)
     often[counted["slot"].to_numpy()] = np.minimum(counted["n"].to_numpy(), 2**31 - 1)
@@ -301,6 +306,19 @@ def parting(a: Bag, b: Bag) -> np.ndarray:
     return mix(shingle[at] + (k.astype(np.uint64) << np.uint64(48))).view(np.int64)
 
 
+def _by_leader(gaps: Iterator[tuple]) -> Iterator[np.ndarray]:
+    """Slots of the elements that part texts from one leader, at most some ELEMENTS at a time."""
+    last, held, size = None, [], 0
+    for _, leader, element, _, _ in gaps:
+        if held and (leader != last or size >= ELEMENTS):
+            yield np.concatenate(held)
+            held, size = [], 0
+        last, size = leader, size + len(element)
+        held.append(_slot(element))
+    if held:
+        yield np.concatenate(held)
+
+
 def _slot(element: np.ndarray) -> np.ndarray:
     return (element.view(np.uint64) >> np.uint64(64 - OFTEN_BITS)).astype(np.int64)
 

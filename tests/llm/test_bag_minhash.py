@@ -193,6 +193,22 @@ def test_comparisons_grow_with_a_group_and_not_with_its_square(spark, monkeypatc
     assert sum(judged) < 20 * len(rows)
 
 
+def test_elements_of_one_text_are_not_counted(spark, monkeypatch):
+    """What is sent to tell often elements grows with what texts share, not with the edits that each has alone."""
+    sent = {}
+    saved = bag.saved
+
+    def keeping(df, name):
+        sent[name] = saved(df, name)
+        return sent[name]
+
+    monkeypatch.setattr(bag, "saved", keeping)
+    rows = [r for r in near_copies(7, 400, [8, 9, 10]) if r[0] < 10_000]
+    run(spark, rows)
+    n = [r["n"] for r in sent["bag-often"].collect()]
+    assert min(n) > 1 and len(n) < 10 * len(rows)
+
+
 def test_first_elements_of_similar_texts_meet():
     """Of two similar bags, one of which is not similar to the leader, an element that both gaps begin with is found."""
     rng = np.random.default_rng(8)
