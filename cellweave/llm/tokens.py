@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# Bytes of text that are worked on together; a longer text is cut at white space.
+# Bytes of text that are worked on together.
 CHUNK = 2 << 20
+# Bytes that are hashed together, at 8 bytes an array for each; a longer text is cut at white space.
+PIECE = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -29,7 +31,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK + 1024)
+        size = max(n, 2 * PIECE + 1024)
         for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -46,15 +48,18 @@ def token_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     blank = SPACE[data]
     edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[LOWER[data]] * up[: len(data)], dtype=np.uint64)])
+    values = _VALUE[LOWER[data]]
+    values *= up[: len(data)]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
-    """``text`` cut at white space into parts of about CHUNK bytes."""
+    """``text`` cut at white space into parts of about PIECE bytes."""
     at = 0
-    while len(text) - at > CHUNK:
-        cut = at + CHUNK
+    while len(text) - at > PIECE:
+        cut = at + PIECE
         while cut < len(text) and not SPACE[text[cut]]:
             cut += 1
         yield text[at:cut]
@@ -62,7 +67,7 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Texts in order, many at a time: the first one's number, all their token hashes, and where each text's begin.
 
     The last array has one entry more than there are texts. NULL counts as empty.
@@ -80,9 +85,27 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def _together(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    if len(parts) == 1 and len(parts[0]) > CHUNK:
-        hashes = np.concatenate([token_hashes(p)[0] for p in _pieces(parts[0])])
-        return hashes, np.array([0, len(hashes)])
-    hashes, starts = token_hashes(b"\n".join(parts))
-    ends = np.cumsum([len(p) + 1 for p in parts])
-    return hashes, np.concatenate([[0], np.searchsorted(starts, ends)])
+    hashes, bounds, n = [], [np.zeros(1, np.int64)], 0
+    for held in _held(parts):
+        if len(held) == 1 and len(held[0]) > PIECE:
+            found = [token_hashes(p)[0] for p in _pieces(held[0])]
+            ends = np.array([sum(len(h) for h in found)])
+        else:
+            own, starts = token_hashes(b"\n".join(held))
+            found, ends = [own], np.searchsorted(starts, np.cumsum([len(p) + 1 for p in held]))
+        hashes += found
+        bounds.append(ends + n)
+        n += int(ends[-1])
+    return np.concatenate(hashes), np.concatenate(bounds)
+
+
+def _held(parts: list[bytes]) -> Iterator[list[bytes]]:
+    """``parts`` in order, of about PIECE bytes together; a longer one is alone."""
+    held, size = [], 0
+    for part in parts:
+        if held and size + len(part) > PIECE:
+            yield held
+            held, size = [], 0
+        held.append(part)
+        size += len(part) + 1
+    yield held

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -68,6 +69,27 @@ def test_long_text_is_cut_at_spaces(monkeypatch):
     assert sum(len(b) - 1 for _, _, b in tokens.chunks(["a b", None, text, "", "c"])) == 5
 
 
+def test_pieces_are_hashed_as_a_whole(monkeypatch):
+    made = [" ".join(texts(5, 20)[0]), None, "", "a", "alpha beta " * 30, " lead and tail ", "\t"]
+    whole = next(tokens.chunks(made))
+    for size in (1, 16, 64, 300):
+        monkeypatch.setattr(tokens, "PIECE", size)
+        (parts,) = tokens.chunks(t for t in made)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
+
+
+def test_memory_of_hashing_is_that_of_a_piece(monkeypatch):
+    """Two megabytes of texts are hashed without arrays of 8 bytes for each of their bytes."""
+    made = ["alpha beta gamma delta " * 90] * 900
+    monkeypatch.setattr(tokens, "_powers", {})
+    tracemalloc.start()
+    try:
+        assert sum(len(h) for _, h, _ in tokens.chunks(made)) == 4 * 90 * 900
+        assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     gaps = []
