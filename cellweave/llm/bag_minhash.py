@@ -41,12 +41,16 @@ FINE, FINE_ROWS = 64, 8
 LIKELY = 72
 # Slots that count how often elements part texts from leaders.
 OFTEN_BITS = 20
-# Parting elements that are counted together.
-ELEMENTS = 1 << 20
+# Parting elements that are counted together, and those that are packed or looked at together.
+ELEMENTS, TOGETHER = 1 << 20, 1 << 18
 # How far past the mean time to fill all slots the first drawing goes.
 MARGIN = 3.0
 Bag = tuple[np.ndarray, np.ndarray]  # shingles in order, and how often
 _KEEP = np.uint64((1 << 48) - 1)
+# Stands for all slots where they are counted.
+ALL = -1
+# An element of a front: 16 bytes each of its node's and its leader's name, and what ``_fronts`` tells of it.
+_FRONT = np.dtype([("names", np.uint64, 4), ("element", np.int64), ("place", np.int64), ("gap", np.int64), ("indexed", bool)])
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -262,6 +266,7 @@ def _fronts(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The first elements that part each node's bag from its leader's, rare ones first, for ``linking._sharing``.
 
     ``place`` counts the elements before; ``indexed`` ones are those by which a node with a smaller gap may meet one with a larger.
+    Elements are dealt by hash in packed blocks, and only those that two nodes or more have beside one leader become rows.
     Which elements are rare is counted by slots of their hashes, so the counts have one size for any number of texts.
     An element that one text has alone beside its leader brings nobody together, so it is not counted: what is sent
     grows with what texts share. The counts choose an order and no result.
@@ -269,29 +274,86 @@ def _fronts(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     pairs = saved(pairs, "bag-apart")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << OFTEN_BITS, np.int64)
-        for slot in _by_leader(_gaps(batches)):
+        sums, total = np.zeros(1 << OFTEN_BITS, np.int64), 0
+
+        def passing() -> Iterator[tuple]:
+            nonlocal total
+            for gap in _gaps(batches):
+                total += min(len(gap[2]), _reach(len(gap[2]), *gap[3:], similarity)[0])
+                yield gap
+
+        for slot in _by_leader(passing()):
             slot, n = np.unique(slot, return_counts=True)
             sums[slot[n > 1]] += n[n > 1]
         used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["slot", "n"])
+        slots, n = np.append(used, ALL).astype(np.int32), np.append(sums[used], total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], names=["slot", "n"])
 
     counted = _with_texts(pairs, texts).sortWithinPartitions("leader").mapInArrow(count, "slot int, n long")
     counted = saved(counted.groupBy("slot").agg(F.sum("n").alias("n")), "bag-often").toArrow()
+    slot, n = counted["slot"].to_numpy(), counted["n"].to_numpy()
     often = np.zeros(1 << OFTEN_BITS, np.int32)
-    often[counted["slot"].to_numpy()] = np.minimum(counted["n"].to_numpy(), 2**31 - 1)
+    often[slot[slot != ALL]] = np.minimum(n[slot != ALL], 2**31 - 1)
     shared = pairs.sparkSession.sparkContext.broadcast(often)
+    buckets = 1 + int(n[slot == ALL].sum()) // TOGETHER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, leader, element, size, size_of_leader in _gaps(batches):
-            first, indexed = front(element, size, size_of_leader, similarity, shared.value)
-            n = len(first)
-            columns = [pa.repeat(node, n), pa.repeat(leader, n), pa.array(first), pa.array(np.arange(n))]
-            columns += [pa.array(np.full(n, len(element), np.int64)), pa.array(indexed)]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "element", "place", "gap", "indexed"])
-
+        held, size = [], 0
+        for node, leader, element, *sizes in _gaps(batches):
+            held.append((node.as_py(), leader.as_py(), len(element), *front(element, *sizes, similarity, shared.value)))
+            size += len(held[-1][3])
+            if size >= TOGETHER:
+                yield packed_fronts(held, buckets)
+                held, size = [], 0
+        if size:
+            yield packed_fronts(held, buckets)
+
+    packed = _with_texts(pairs, texts).mapInArrow(run, "bucket int, packed binary")
     schema = "node binary, leader binary, element long, place long, gap long, indexed boolean"
-    return _with_texts(pairs, texts).mapInArrow(run, schema)
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(_meeting, schema)
+
+
+def packed_fronts(fronts: list[tuple[bytes, bytes, int, np.ndarray, np.ndarray]], buckets: int) -> pa.RecordBatch:
+    """One row a bucket of ``fronts`` (node, leader, gap, elements, indexed); an element and leader are in one bucket always."""
+    sizes = np.array([len(f[3]) for f in fronts])
+    rows = np.zeros(sizes.sum(), _FRONT)
+    names = np.frombuffer(b"".join(f[0] + f[1] for f in fronts), np.uint64).reshape(-1, 4)
+    rows["names"] = np.repeat(names, sizes, axis=0)
+    rows["gap"] = np.repeat([f[2] for f in fronts], sizes)
+    rows["element"] = np.concatenate([f[3] for f in fronts])
+    rows["indexed"] = np.concatenate([f[4] for f in fronts])
+    rows["place"] = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    of = (_met_by(rows) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(of, kind="stable")
+    rows, of = rows[order], of[order]
+    heads = np.flatnonzero(np.diff(of, prepend=-1))
+    packed = [p.tobytes() for p in np.split(rows, heads[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(of[heads]), pa.array(packed, pa.binary())], names=["bucket", "packed"])
+
+
+def _met_by(rows: np.ndarray) -> np.ndarray:
+    """A hash of leader and element."""
+    leader = rows["names"][:, 2:]
+    return mix(rows["element"].view(np.uint64) ^ mix(leader[:, 0] ^ mix(leader[:, 1])))
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``packed_fronts`` but for elements that one node has alone beside its leader, which bring nobody together.
+
+    A partition has whole buckets. Hashes that clash leave a row too many, which meets nobody.
+    """
+    parts = [np.frombuffer(raw.as_py(), _FRONT) for batch in batches for raw in batch["packed"]]
+    if not parts:
+        return
+    rows = np.concatenate(parts)
+    parts.clear()
+    _, at, times = np.unique(_met_by(rows), return_inverse=True, return_counts=True)
+    rows = rows[times[at] > 1]
+    for part in (rows[i : i + ELEMENTS // 16] for i in range(0, len(rows), ELEMENTS // 16)):
+        names = [np.ascontiguousarray(part["names"][:, k : k + 2]).tobytes() for k in (0, 2)]
+        columns = [pa.Array.from_buffers(pa.binary(16), len(part), [None, pa.py_buffer(n)]).cast(pa.binary()) for n in names]
+        columns += [pa.array(part[c].astype(np.int64)) for c in ("element", "place", "gap")] + [pa.array(part["indexed"].copy())]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "element", "place", "gap", "indexed"])
 
 
 def parting(a: Bag, b: Bag) -> np.ndarray:
@@ -323,15 +385,21 @@ def _slot(element: np.ndarray) -> np.ndarray:
     return (element.view(np.uint64) >> np.uint64(64 - OFTEN_BITS)).astype(np.int64)
 
 
-def front(element: np.ndarray, size: int, size_of_leader: int, similarity: float, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first of ``element``, the rarest ones by ``often`` a slot, and which of them are indexed."""
+def _reach(gap: int, size: int, size_of_leader: int, similarity: float) -> tuple[int, float]:
+    """How many first elements of a gap may bring a node to another, and up to which place with a larger gap."""
     r = (1 - similarity) / (1 + similarity)
     last = r * (size + size / similarity) + 1e-6
     half = last / 2
-    if len(element) <= r * (size + size_of_leader):
+    if gap <= r * (size + size_of_leader):
         # Similar to the leader itself: only a text that is not may be of another class.
-        last = min(last, (len(element) - r * (size_of_leader - size)) / 2 + 1e-6)
-    first = element[np.lexsort((element, often[_slot(element)]))][: max(0, int(np.floor(last)) + 1)]
+        last = min(last, (gap - r * (size_of_leader - size)) / 2 + 1e-6)
+    return max(0, int(np.floor(last)) + 1), half
+
+
+def front(element: np.ndarray, size: int, size_of_leader: int, similarity: float, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of ``element``, the rarest ones by ``often`` a slot, and which of them are indexed."""
+    reach, half = _reach(len(element), size, size_of_leader, similarity)
+    first = element[np.lexsort((element, often[_slot(element)]))][:reach]
     return first, np.arange(len(first)) <= half
 
 

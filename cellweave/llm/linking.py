@@ -45,7 +45,7 @@ def linked(
 
     With ``apart`` there is one turn in finer buckets, of those pairs that ``likely`` keeps, and large buckets are not
     searched pair by pair, see ``_sharing``. ``apart`` gives ``node``, ``leader``, ``element``, ``place``, ``gap``
-    and ``indexed`` for pairs.
+    and ``indexed`` for pairs, of elements that two nodes or more have beside one leader.
     """
     found, rest, near = _turn(_ranked(rows), judge, similarity, 1)
     near = saved(near, "link-near")
@@ -111,9 +111,6 @@ def _sharing(members: DataFrame, similarity: float, apart: Apart) -> DataFrame:
     fronts = apart(members.filter("node != lead").select("node", F.col("lead").alias("leader")), similarity)
     fronts = fronts.withColumnRenamed("leader", "lead").join(broadcast_if_small(members), ["lead", "node"])
     fronts = saved(fronts, "link-fronts")
-    # An element that one node has alone brings nobody together.
-    met = fronts.groupBy("lead", "element").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
-    fronts = saved(fronts.join(met.select("lead", "element"), ["lead", "element"], "left_semi"), "link-fronts")
     less = fronts.filter("indexed").select(
         "lead", "element", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "size", "place", "gap", "outer"))
     )

@@ -231,6 +231,40 @@ def test_elements_of_one_text_are_not_counted(spark, monkeypatch):
     assert min(n) > 1 and len(n) < 10 * len(rows)
 
 
+def test_elements_of_one_text_make_no_rows(spark):
+    """Of the elements that part texts from a leader only those come out that two texts or more have."""
+    rows = near_copies(7, 40, [8, 9, 10])
+    named = [(f"{i:016d}".encode(), text) for i, text in rows]
+    pairs = spark.createDataFrame([(n, named[0][0]) for n, _ in named[1:]], "node binary, leader binary")
+    got = bag._fronts(pairs, spark.createDataFrame(named, "node binary, text string"), 0.8).collect()
+    times = Counter(r["element"] for r in got)
+    assert got and min(times.values()) > 1 and len({(r["node"], r["element"]) for r in got}) == len(got)
+
+
+def test_packed_fronts_are_those_that_meet():
+    rng = np.random.default_rng(4)
+    fronts, plain = [], []
+    for i in range(60):
+        node, leader = (bytes(rng.integers(0, 256, 14).astype(np.uint8)) + b"\0\0" for _ in "ab")
+        leader = b"\0" * 15 + bytes([i % 3])
+        element = rng.choice(np.arange(-300, 300), rng.integers(0, 12), replace=False)
+        indexed = np.arange(len(element)) < 5
+        fronts.append((node, leader, 100 + i, element, indexed))
+        plain += [(node, leader, e, place, 100 + i, f) for place, (e, f) in enumerate(zip(element.tolist(), indexed.tolist()))]
+    times = Counter(r[1:3] for r in plain)
+    want = sorted(r for r in plain if times[r[1:3]] > 1)
+    for buckets in (1, 7):
+        by = {}
+        for part in (fronts[:20], fronts[20:]):
+            batch = bag.packed_fronts(part, buckets)
+            assert batch.num_rows <= buckets
+            for b, packed in zip(batch["bucket"].to_pylist(), batch["packed"].to_pylist()):
+                by.setdefault(b, []).append(packed)
+        batches = (bag.pa.RecordBatch.from_pydict({"packed": packed}) for packed in by.values())
+        got = [tuple(r.values()) for b in batches for out in bag._meeting([b]) for r in out.to_pylist()]
+        assert sorted(got) == want and 0 < len(want) < len(plain)
+
+
 def test_first_elements_of_similar_texts_meet():
     """Of two similar bags, one of which is not similar to the leader, an element that both gaps begin with is found."""
     rng = np.random.default_rng(8)
