@@ -31,7 +31,7 @@ def linked(
     likely: Callable[[DataFrame], DataFrame] | None = None,
     apart: Apart | None = None,
 ) -> DataFrame:
-    """Pairs (``node``, ``leader``) of similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
+    """Pairs (``node``, ``leader``) that connect similar nodes among distinct ``rows`` (``node``, ``bucket``), found in turns.
 
     ``judge`` adds ``overlap``, the exact Jaccard similarity, to pairs; ``sizes`` has the ``size`` of each ``node``'s
     bag. In the first turn all nodes of a bucket are
@@ -42,6 +42,7 @@ def linked(
     judged against one leader a bucket, then 4, then 16 and so on, until no bucket has two nodes
     left. At last all nodes of a bucket of ``rows`` that the links so far leave unconnected are
     judged, but for those that exact bounds part, so the links connect all that similar pairs within buckets connect.
+    What the turns have connected is returned as pairs of each node and its component's least, not judged themselves.
 
     With ``apart`` there is one turn in finer buckets, of those pairs that ``likely`` keeps, and large buckets are not
     searched pair by pair, see ``_sharing``. ``apart`` gives ``node``, ``leader``, ``element``, ``place``, ``gap``
@@ -59,8 +60,10 @@ def linked(
         leaders_each *= 4
         if apart is not None:
             break
-    pairs = saved(_unconnected(near, components(found), sizes, similarity, apart), "link-unconnected")
+    root = components(found)
+    pairs = saved(_unconnected(near, root, sizes, similarity, apart), "link-unconnected")
     judged = saved(judge(pairs), "link-pairs")
+    found = root.withColumnRenamed("root", "leader")
     return found.unionByName(judged.filter(F.col("overlap") >= similarity).select("node", "leader"))
 
 
@@ -188,20 +191,24 @@ def components(links: DataFrame) -> DataFrame:
     their neighbours, which halves the height of a component's tree. Every round is a table.
     """
     edges = saved(links.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct(), "stars")
-    before = None
-    while True:
-        mark = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
-        if mark == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = mark
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = saved(large.filter("u != v").distinct(), "stars")
+        # One row an edge, some of them equal.
+        large = saved(large.filter("u != v"), "stars")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v")))
         edges = saved(small.filter("u != v").distinct(), "stars")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each ``u`` of distinct ``edges`` (``u`` > ``v``) has one edge only, so its ``v`` is the least of all it is connected to."""
+    ends = edges.select("u", F.lit(1).alias("up")).union(edges.select("v", F.lit(0)))
+    more = ends.groupBy("u").agg(F.sum("up").alias("up"), F.count("*").alias("n")).filter("up > 0 AND n > 1")
+    return more.agg(F.count("*")).first()[0] == 0
 
 
 def class_ids(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -265,6 +265,26 @@ def test_packed_fronts_are_those_that_meet():
         assert sorted(got) == want and 0 < len(want) < len(plain)
 
 
+def test_components(spark, monkeypatch):
+    from cellweave.llm import linking
+
+    tables = []
+    saved = linking.saved
+    monkeypatch.setattr(linking, "saved", lambda df, name: tables.append(name) or saved(df, name))
+    rng = random.Random(3)
+    stars = [(f"n{i}", f"a{i % 5}") for i in range(40)]
+    for links, n in ((stars, 1), ([], 1), ([(f"n{rng.randrange(90)}", f"n{rng.randrange(90)}") for _ in range(70)], None), ([(f"p{i:02}", f"p{i + 1:02}") for i in range(30)], None)):
+        links = [x for x in links if x[0] != x[1]]
+        root = {x: x for link in links for x in link}
+        for _ in range(len(root)):
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        tables.clear()
+        got = {r["node"]: r["root"] for r in linking.components(spark.createDataFrame(links, "node string, leader string")).collect()}
+        assert got == {x: r for x, r in root.items() if x != r}
+        assert n is None or len(tables) == n
+
+
 def test_first_elements_of_similar_texts_meet():
     """Of two similar bags, one of which is not similar to the leader, an element that both gaps begin with is found."""
     rng = np.random.default_rng(8)
